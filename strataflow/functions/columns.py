@@ -59,10 +59,10 @@ def all_present(schema: T.StructType, names: Sequence[str]) -> Column:
 
 def complete_rows(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Rows with a value in each of the columns (all columns by default)."""
-    return df.filter(all_present(df.schema, names or df.columns))
+    return df.filter(all_present(df.schema, df.columns if names is None else names))
 
 
-def number(field: T.StructField, on_bad: str = "error") -> Column:
+def number(name: str, data_type: T.DataType, on_bad: str = "error") -> Column:
     """The column as double, NaN as null.
 
     Text that is no number and infinite values raise, or become null with
@@ -70,13 +70,22 @@ def number(field: T.StructField, on_bad: str = "error") -> Column:
     """
     if on_bad not in BAD_NUMBER_MODES:
         raise ValueError(f"on_bad must be one of {BAD_NUMBER_MODES}, not {on_bad!r}")
-    raw = column(field.name)
-    value = raw.try_cast("double")
-    if isinstance(field.dataType, T.IntegralType):
-        return value
-    infinite = F.abs(value) == F.lit(float("inf"))
+    raw = column(name)
+    if isinstance(data_type, (T.IntegralType, T.DecimalType)):
+        return raw.cast("double")
+    fractional = isinstance(data_type, T.FractionalType)
+    value = raw.cast("double") if fractional else raw.try_cast("double")
+    bad = F.abs(value) == F.lit(float("inf"))
+    if not fractional:
+        bad = bad | (raw.isNotNull() & value.isNull())
     if on_bad == "null":
-        return F.when(~F.isnan(value) & ~infinite, value)
-    bad = raw.isNotNull() & (value.isNull() | infinite)
-    message = F.concat(F.lit(f"column {field.name}: not a finite number: "), raw.cast("string"))
+        return F.when(~(bad | F.isnan(value)), value)
+    message = F.concat(F.lit("not a finite number: "), raw.cast("string"))
     return F.when(bad, F.raise_error(message)).when(~F.isnan(value), value)
+
+
+def number_may_vanish(data_type: T.DataType, on_bad: str) -> bool:
+    """Whether :func:`number` can be null for a value that is neither null nor NaN."""
+    if isinstance(data_type, (T.IntegralType, T.DecimalType)):
+        return False
+    return on_bad == "null" or not isinstance(data_type, T.FractionalType)

@@ -12,7 +12,7 @@ from strataflow.operators.features import (
     to_vectors,
     transform,
 )
-from strataflow.operators.joins import frequent_key_hashes, join_column, join_on_keys
+from strataflow.operators.joins import join_column, join_on_keys, may_broadcast, sketch_keys
 from strataflow.operators.registry import Registry
 from strataflow.operators.split import hash_bucket, hash_split
 
@@ -26,13 +26,14 @@ __all__ = [
     "fit_categories",
     "fit_logistic",
     "fit_ranges",
-    "frequent_key_hashes",
     "hash_bucket",
     "hash_split",
     "join_column",
     "join_on_keys",
     "load_preparation",
+    "may_broadcast",
     "save_preparation",
+    "sketch_keys",
     "split_target",
     "to_vectors",
     "transform",

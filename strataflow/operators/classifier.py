@@ -43,11 +43,11 @@ class LinearClassifier:
     def predicted_class(self) -> Column:
         """The predicted class as bigint, null if a feature is null. On a tie the first class wins."""
         classes = [F.lit(c).cast("bigint") for c in self.classes]
-        if len(classes) == 1:
-            return F.when(self.margin().isNotNull(), classes[0])
         if len(classes) == 2:
-            margin = self.margin()
-            return F.when(margin > 0, classes[1]).when(margin <= 0, classes[0])
+            # null where the margin is null, and the margin is spelled out once only
+            return classes[0] + F.lit(self.classes[1] - self.classes[0]).cast("bigint") * (
+                self.margin() > 0
+            ).cast("bigint")
         margins = F.array(*[self.margin(i) for i in range(len(classes))])
         place = F.array_position(margins, F.array_max(margins)).cast("int")
         return F.when(place > 0, F.element_at(F.array(*classes), place))

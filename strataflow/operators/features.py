@@ -23,6 +23,7 @@ from strataflow.functions.columns import (
     complete_rows,
     feature_name,
     number,
+    number_may_vanish,
 )
 from strataflow.spec import FeatureSpec
 
@@ -91,9 +92,13 @@ def fit_ranges(df: DataFrame, columns: Sequence[str], on_bad: str = "error") ->
     """Minimum and maximum of each column over rows complete in all of them, in one pass."""
     if not columns:
         return {}
-    numbers = _numbers(df, columns, on_bad)
+    present = complete_rows(df, columns)
+    numbers = present.select([number(c, df.schema[c].dataType, on_bad).alias(c) for c in columns])
+    vanishing = [c for c in columns if number_may_vanish(df.schema[c].dataType, on_bad)]
+    for name in vanishing:
+        numbers = numbers.filter(column(name).isNotNull())
     bounds = [f(column(name)).alias(f"{kind}{i}") for i, name in enumerate(columns) for kind, f in _BOUNDS.items()]
-    found = complete_rows(numbers).agg(*bounds).first()
+    found = numbers.agg(*bounds).first()
     if found["low0"] is None:
         raise ValueError(f"no row is complete in {tuple(columns)}")
     return {name: (found[f"low{i}"], found[f"high{i}"]) for i, name in enumerate(columns)}
@@ -102,11 +107,6 @@ def fit_ranges(df: DataFrame, columns: Sequence[str], on_bad: str = "error") ->
 _BOUNDS = {"low": F.min, "high": F.max}
 
 
-def _numbers(df: DataFrame, columns: Sequence[str], on_bad: str) -> DataFrame:
-    present = complete_rows(df, columns)
-    return present.select([number(df.schema[name], on_bad).alias(name) for name in columns])
-
-
 def fit(df: DataFrame, spec: FeatureSpec, limit: int = WIDE_LIMIT, on_bad: str = "error") -> Preparation:
     """Learn categories and ranges. Each group of columns has its own complete rows."""
     check_names(feature_name(n, "") for n in spec.categorical)
@@ -133,48 +133,69 @@ def transform(
     group; with ``"encode"`` each column stands alone, a missing category giving zeros and
     a missing number null.
     """
-    kept = [column(c) if isinstance(c, str) else c for c in keep]
-    encoded, scaled = _checked(df, preparation, on_unknown, incomplete, on_bad)
-    first = df.select(
-        *kept,
-        *[value.alias(f"__category_{i}") for i, value in enumerate(encoded)],
-        *[value.alias(f"__number_{i}") for i, value in enumerate(scaled)],
-    )
-    names = first.columns[: len(kept)]
+    checked, names = _checked(df, preparation, keep, on_unknown, incomplete, on_bad)
     check_names([*names, *preparation.feature_names])
-    return first.select(
-        *[column(name) for name in names],
+    return checked.select(
+        *map(column, names),
         *_one_hot(preparation, incomplete),
         *_min_max(preparation),
     )
 
 
 def _checked(
-    df: DataFrame, preparation: Preparation, on_unknown: str, incomplete: str, on_bad: str
-) -> tuple[list[Column], list[Column]]:
-    """The source columns as text and numbers, unknown and incomplete values handled."""
+    df: DataFrame,
+    preparation: Preparation,
+    keep: Sequence[str | Column],
+    on_unknown: str,
+    incomplete: str,
+    on_bad: str,
+) -> tuple[DataFrame, list[str]]:
+    """The kept columns, then each source column as text or number, unknown and incomplete values handled.
+
+    Every step is one projection. A value used by many features has a step of its own, so
+    the expressions grow with the number of features and not with its square.
+    """
     if on_unknown not in ("error", "ignore"):
         raise ValueError(f"on_unknown must be 'error' or 'ignore', not {on_unknown!r}")
     if incomplete not in ("null", "encode"):
         raise ValueError(f"incomplete must be 'null' or 'encode', not {incomplete!r}")
-    texts = [_known(name, values, on_unknown) for name, values in preparation.categories.items()]
-    numbers = [number(df.schema[name], on_bad) for name in preparation.ranges]
-    if incomplete == "null":
-        whole = all_present(df.schema, list(preparation.categories))
-        texts = [F.when(whole, text) for text in texts]
-        whole = all_present(df.schema, list(preparation.ranges))
-        for value in numbers:
-            whole = whole & value.isNotNull()
-        numbers = [F.when(whole, value) for value in numbers]
-    return texts, numbers
-
-
-def _known(name: str, categories: Sequence[str], on_unknown: str) -> Column:
-    text = column(name).cast("string")
-    if on_unknown == "ignore":
-        return text
-    unknown = text.isNotNull() & ~text.isin(list(categories))
-    return F.when(unknown, _unknown_category(name, text)).otherwise(text)
+    categorical, numeric = list(preparation.categories), list(preparation.ranges)
+    types = [df.schema[name].dataType for name in numeric]
+    texts, numbers = ([f"__{p}_{i}" for i in range(n)] for p, n in (("text", len(categorical)), ("number", len(numeric))))
+    rows = df.select(
+        *[column(c) if isinstance(c, str) else c for c in keep],
+        *[column(c).cast("string").alias(text) for c, text in zip(categorical, texts)],
+        *[column(c).alias(value) for c, value in zip(numeric, numbers)],
+        all_present(df.schema, categorical).alias("__texts"),
+        all_present(df.schema, numeric).alias("__numbers"),
+    )
+    names = rows.columns[: len(keep)]
+
+    def step(text, value, *flags):
+        return rows.select(*map(column, names), *map(text, texts), *map(value, numbers), *flags)
+
+    known = {
+        text: F.col(text) if on_unknown == "ignore" else _known(name, preparation.categories[name], text)
+        for name, text in zip(categorical, texts)
+    }
+    value = {name: number(name, kind, on_bad) for name, kind in zip(numbers, types)}
+    if incomplete == "encode":
+        return step(lambda t: known[t].alias(t), lambda n: value[n].alias(n)), names
+    rows = step(
+        lambda t: F.when(F.col("__texts"), known[t]).alias(t),
+        lambda n: F.when(F.col("__numbers"), value[n]).alias(n),
+    )
+    vanishing = [n for n, kind in zip(numbers, types) if number_may_vanish(kind, on_bad)]
+    if vanishing and len(numbers) > 1:
+        whole = all_present(rows.schema, vanishing)
+        rows = step(F.col, F.col, whole.alias("__numbers"))
+        rows = step(F.col, lambda n: F.when(F.col("__numbers"), F.col(n)).alias(n))
+    return rows, names
+
+
+def _known(name: str, categories: Sequence[str], text: str) -> Column:
+    unknown = F.col(text).isNotNull() & ~F.col(text).isin(list(categories))
+    return F.when(unknown, _unknown_category(name, F.col(text))).otherwise(F.col(text))
 
 
 def _unknown_category(name: str, text: Column) -> Column:
@@ -184,7 +205,7 @@ def _unknown_category(name: str, text: Column) -> Column:
 def _one_hot(preparation: Preparation, incomplete: str) -> list[Column]:
     features = []
     for i, (name, categories) in enumerate(preparation.categories.items()):
-        text = F.col(f"__category_{i}")
+        text = F.col(f"__text_{i}")
         for category in categories:
             hit = text == F.lit(category) if incomplete == "null" else text.eqNullSafe(F.lit(category))
             features.append(hit.cast("double").alias(feature_name(name, category)))
@@ -218,19 +239,12 @@ def to_vectors(
     ``preparation.feature_names``.
     """
     # categories are looked up in the indexer's hash table, not in an expression
-    encoded, scaled = _checked(df, preparation, "ignore", incomplete, on_bad)
-    rows = df.select(
-        *[column(c) for c in keep],
-        *[value.alias(f"__category_{i}") for i, value in enumerate(encoded)],
-        *[value.alias(f"__number_{i}") for i, value in enumerate(scaled)],
-    )
-    needed = [f"__number_{i}" for i in range(len(scaled))]
-    if incomplete == "null":
-        needed += [f"__category_{i}" for i in range(len(encoded))]
-    rows = complete_rows(rows, needed) if needed else rows
+    rows, kept = _checked(df, preparation, keep, "ignore", incomplete, on_bad)
+    texts, numbers = ([c for c in rows.columns[len(kept) :] if c.startswith(p)] for p in ("__text_", "__number_"))
+    rows = complete_rows(rows, numbers + texts if incomplete == "null" else numbers)
     blocks = []
-    if encoded:
-        texts, indexes, blocks = ([f"__{p}_{i}" for i in range(len(encoded))] for p in ("category", "index", "block"))
+    if texts:
+        indexes, blocks = ([f"__{p}_{i}" for i in range(len(texts))] for p in ("index", "block"))
         # an unknown or missing category gets the extra last index, which dropLast turns into zeros
         for (name, values), text, index in zip(preparation.categories.items(), texts, indexes):
             indexer = StringIndexerModel.from_labels(list(values), text, index, handleInvalid="keep")
@@ -240,11 +254,11 @@ def to_vectors(
                 known = F.when(unknown, _unknown_category(name, F.col(text))).otherwise(F.lit(True))
                 rows = rows.filter(known)
         rows = OneHotEncoder(inputCols=indexes, outputCols=blocks, dropLast=True).fit(rows).transform(rows)
-    scaled_names = [f"__scaled_{i}" for i in range(len(scaled))]
-    minmax = [value.alias(name) for value, name in zip(_min_max(preparation), scaled_names)]
-    rows = rows.select(*[column(c) for c in keep], *blocks, *minmax)
-    assembled = VectorAssembler(inputCols=[*blocks, *scaled_names], outputCol=output).transform(rows)
-    return assembled.select(*[column(c) for c in keep], output)
+    scaled = [f"__scaled_{i}" for i in range(len(numbers))]
+    minmax = [value.alias(name) for value, name in zip(_min_max(preparation), scaled)]
+    rows = rows.select(*map(column, kept), *blocks, *minmax)
+    assembled = VectorAssembler(inputCols=[*blocks, *scaled], outputCol=output).transform(rows)
+    return assembled.select(*map(column, kept), output)
 
 
 def save_preparation(spark: SparkSession, preparation: Preparation, path: str) -> None:

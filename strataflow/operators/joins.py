@@ -1,15 +1,17 @@
 """Inner joins on key columns that hold when one key fills a large part of a table.
 
-A sort-merge join sends all rows of a key to one task. Frequent keys are therefore found
-first, with a sketch of fixed size over the key columns alone. Their rows stay where they
-are and meet the few matching rows of the other side by broadcast, after those have been
-counted. All other keys take the plan Spark chooses. Without frequent keys the join is
-left as it is.
+A sort-merge join sends all rows of a key to one task. So both key sets are sketched first,
+in one job over the key columns alone. A side that is small, counted in rows and bytes, is
+broadcast. Otherwise the rows of frequent keys stay where they are and meet the few
+matching rows of the other side by broadcast, after those have been counted as well, and
+all other keys take the plan Spark chooses.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,10 +23,11 @@ FREQUENT_SHARE = 0.01
 """Part of a table's rows from which a key counts as frequent: at most 100 keys."""
 
 TRACKED_KEYS = 10_000
-"""Keys followed by the sketch, well above ``1 / FREQUENT_SHARE`` so that none is missed."""
+"""Keys followed by the sketch, far more than ``1 / FREQUENT_SHARE`` so that none is missed."""
 
 BROADCAST_ROWS = 100_000
-"""Rows matching the frequent keys up to which they are broadcast."""
+BROADCAST_BYTES = 64 << 20
+"""What may be broadcast, checked by counting."""
 
 
 def key_hash(schema: T.StructType, keys: Sequence[str]) -> Column:
@@ -32,26 +35,43 @@ def key_hash(schema: T.StructType, keys: Sequence[str]) -> Column:
     return F.xxhash64(*[column(k).cast("bigint") if k in whole else column(k) for k in keys])
 
 
-def frequent_key_hashes(
-    frames: Sequence[DataFrame], keys: Sequence[str], share: float = FREQUENT_SHARE
-) -> list[list[int]]:
-    """For each frame, hashes of the keys that hold at least ``share`` of its rows.
+@dataclass(frozen=True)
+class KeySketch:
+    """Rows of a frame, and hashes of the keys that hold at least a given share of them."""
 
-    One job that reads only the key columns and shuffles only sketches. Two keys with equal
-    hashes are routed alike, which changes no result.
+    rows: int
+    frequent: list[int]
+
+
+def sketch_keys(frames: Sequence[DataFrame], keys: Sequence[str], share: float = FREQUENT_SHARE) -> list[KeySketch]:
+    """One job that reads only the key columns and shuffles only sketches of fixed size.
+
+    Two keys with equal hashes are routed alike, which changes no result.
     """
     most = int(1 / share) + 1
     top = F.expr(f"approx_top_k(h, {most}, {max(TRACKED_KEYS, most)})").alias("top")
-    sketches = None
-    for i, df in enumerate(frames):
-        hashed = df.select(key_hash(df.schema, keys).alias("h"))
-        sketch = hashed.agg(F.lit(i).alias("frame"), top, F.count("*").alias("n"))
-        sketches = sketch if sketches is None else sketches.union(sketch)
-    found: list[list[int]] = [[] for _ in frames]
-    for row in sketches.collect():
-        least = max(share * row["n"], 2)
-        found[row["frame"]] = [entry["item"] for entry in row["top"] or [] if entry["count"] >= least]
-    return found
+    sketches = [
+        df.select(key_hash(df.schema, keys).alias("h")).agg(F.lit(i).alias("frame"), top, F.count("*").alias("n"))
+        for i, df in enumerate(frames)
+    ]
+    found = sorted(reduce(DataFrame.union, sketches).collect())
+    return [
+        KeySketch(row["n"], [e["item"] for e in row["top"] or [] if e["count"] >= max(share * row["n"], 2)])
+        for row in found
+    ]
+
+
+def may_broadcast(df: DataFrame) -> bool:
+    """Count rows and bytes of a frame that is expected to be small."""
+    size = F.lit(8 * len(df.columns))
+    for field in df.schema:
+        if not isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            text = column(field.name)
+            if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+                text = F.to_json(F.struct(text))
+            size = size + F.coalesce(F.octet_length(text), F.lit(0))
+    found = df.agg(F.count("*").alias("n"), F.sum(size.cast("bigint")).alias("bytes")).first()
+    return found["n"] <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def same_hashes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
@@ -70,12 +90,14 @@ def join_on_keys(
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
     handle_frequent: bool = True,
+    key_frames: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """All columns of ``left`` and ``columns`` of ``right`` for equal, non-null keys.
 
     SQL inner join: a key that occurs m times on the left and n times on the right gives
     m * n rows, so one of the sides should have each key once. ``handle_frequent`` reads
-    the key columns of both sides once more beforehand.
+    the key columns of both sides once more beforehand, from ``key_frames`` where those
+    hold the keys (and maybe more) at less cost.
     """
     keys = list(keys)
     extra = list(columns) if columns is not None else [c for c in right.columns if c not in keys]
@@ -83,12 +105,9 @@ def join_on_keys(
     right = complete_keys(right, keys).select([column(c) for c in [*keys, *extra]])
     parts = [(left, right)]
     if handle_frequent and same_hashes(left, right, keys):
-        parts = _split_frequent(left, right, keys)
-    joined = [_inner(a, b, keys, extra) for a, b in parts]
-    result = joined[0]
-    for part in joined[1:]:
-        result = result.unionByName(part)
-    return result
+        sketched = [complete_keys(df, keys) for df in key_frames or (left, right)]
+        parts = _parts(left, right, keys, *sketch_keys(sketched, keys))
+    return reduce(DataFrame.unionByName, [_inner(a, b, keys, extra) for a, b in parts])
 
 
 def join_column(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str, **options) -> DataFrame:
@@ -104,18 +123,24 @@ def complete_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(condition)
 
 
-def _split_frequent(left: DataFrame, right: DataFrame, keys: list[str]) -> list[tuple[DataFrame, DataFrame]]:
-    """Pairs of frames that together join to the whole, frequent keys against a broadcast side."""
+def _parts(
+    left: DataFrame, right: DataFrame, keys: list[str], left_keys: KeySketch, right_keys: KeySketch
+) -> list[tuple[DataFrame, DataFrame]]:
+    """Pairs of frames that together join to the whole."""
+    if right_keys.rows <= BROADCAST_ROWS and may_broadcast(right):
+        return [(left, F.broadcast(right))]
+    if left_keys.rows <= BROADCAST_ROWS and may_broadcast(left):
+        return [(F.broadcast(left), right)]
     parts = []
-    for big_is_left, hashes in zip((True, False), frequent_key_hashes([left, right], keys)):
-        if not hashes:
+    for big_is_left, sketch in ((True, left_keys), (False, right_keys)):
+        if not sketch.frequent:
             continue
-        here, there = key_hash(left.schema, keys).isin(hashes), key_hash(right.schema, keys).isin(hashes)
-        matching = right.filter(there) if big_is_left else left.filter(here)
-        # beyond the limit the key is frequent on both sides: left to the join's own skew handling
-        if matching.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        here, there = (key_hash(df.schema, keys).isin(sketch.frequent) for df in (left, right))
+        few = right.filter(there) if big_is_left else left.filter(here)
+        if not may_broadcast(few):
+            # frequent on both sides: left to the join's own handling of skew
             continue
-        held = F.broadcast(matching)
+        held = F.broadcast(few)
         parts.append((left.filter(here), held) if big_is_left else (held, right.filter(there)))
         left, right = left.filter(~here), right.filter(~there)
     return [(left, right), *parts]

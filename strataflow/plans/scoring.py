@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import check_names, column, complete_rows
+from strataflow.functions.columns import check_names, column, complete_rows, number, number_may_vanish
 from strataflow.operators.classifier import LinearClassifier
 from strataflow.operators.features import Preparation, transform
 from strataflow.operators.joins import complete_keys, join_column
@@ -34,18 +34,36 @@ def gold_by_join(
     """
     check_names([*bronze.columns, model.label])
     found = predictions(silver, model, spec)
-    return join_column(bronze, found, spec.keys, model.label, handle_frequent=handle_frequent)
+    return join_column(
+        bronze, found, spec.keys, model.label, handle_frequent=handle_frequent, key_frames=(bronze, silver)
+    )
 
 
 def gold_in_place(
-    bronze: DataFrame, preparation: Preparation, model: LinearClassifier, spec: FeatureSpec, **options
+    bronze: DataFrame,
+    preparation: Preparation,
+    model: LinearClassifier,
+    spec: FeatureSpec,
+    on_unknown: str = "error",
+    incomplete: str = "null",
+    on_bad: str = "error",
 ) -> DataFrame:
-    """As :func:`gold_by_join` where keys are unique, without a shuffle: one projection of the raw rows."""
+    """As :func:`gold_by_join` where keys are unique, without a shuffle: one projection of the raw rows.
+
+    With ``incomplete="encode"`` only numbers are needed for a prediction, as in a stream.
+    """
     check_names([*bronze.columns, model.label])
     unknown = set(model.features) - set(preparation.feature_names)
     if unknown:
         raise ValueError(f"the model has features that are not prepared: {sorted(unknown)}")
+    # filters on the raw columns reach the scan, a filter on the prediction would score every row twice
+    numeric = list(preparation.ranges)
+    needed = numeric if incomplete == "encode" else [*preparation.categories, *numeric]
+    rows = complete_rows(complete_keys(bronze, spec.keys), needed)
+    types = {name: bronze.schema[name].dataType for name in numeric}
+    for name in numeric:
+        if number_may_vanish(types[name], on_bad):
+            rows = rows.filter(number(name, types[name], on_bad).isNotNull())
     record = F.struct(*map(column, bronze.columns)).alias("__record")
-    features = transform(complete_keys(bronze, spec.keys), preparation, [record], **options)
-    scored = features.select("__record", model.predicted_class().alias("__class"))
-    return scored.filter(F.col("__class").isNotNull()).select("__record.*", F.col("__class").alias(model.label))
+    features = transform(rows, preparation, [record], on_unknown, incomplete, on_bad)
+    return features.select("__record.*", model.predicted_class().alias(model.label))

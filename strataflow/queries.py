@@ -227,7 +227,7 @@ def numbers(spark, sf_dir):
     raw = load(spark, sf_dir, "documents").select(
         "doc_id", F.when(F.col("lang") == "de", F.concat(F.lit("x"), text)).otherwise(text).alias("chars")
     )
-    return raw.select("doc_id", number(raw.schema["chars"], "null").alias("chars"))
+    return raw.select("doc_id", number("chars", raw.schema["chars"].dataType, "null").alias("chars"))
 
 
 # features
@@ -336,8 +336,9 @@ def label_join_frequent(spark, sf_dir):
 
 def gold_join(spark, sf_dir):
     documents = selected(spark, sf_dir)
-    silver = feature_rows(documents, fit(documents, DOCUMENTS), DOCUMENTS)
-    return gold_by_join(documents, silver, DOCUMENT_SCORER, DOCUMENTS)
+    table = f"{new_database(spark)}.silver"
+    overwrite(feature_rows(documents, fit(documents, DOCUMENTS), DOCUMENTS), table)
+    return gold_by_join(documents, read_table(spark, table), DOCUMENT_SCORER, DOCUMENTS)
 
 
 def gold_without_join(spark, sf_dir):
