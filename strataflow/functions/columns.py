@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
+import operator
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +41,15 @@ def sanitize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*renamed)
 
 
+def combine(operation: Callable[[Column, Column], Column], terms: Sequence[Column], empty: Column) -> Column:
+    """Combine by halves, so that the expression stays shallow for many terms."""
+    terms = list(terms)
+    while len(terms) > 1:
+        pairs = [operation(a, b) for a, b in zip(terms[::2], terms[1::2])]
+        terms = pairs + terms[len(pairs) * 2 :]
+    return terms[0] if terms else empty
+
+
 def present(field: T.StructField) -> Column:
     value = column(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
@@ -54,7 +63,7 @@ def all_present(schema: T.StructType, names: Sequence[str]) -> Column:
     A conjunction of ``isNotNull`` reaches the Parquet scan as pushed filters, which the
     count of non-null columns behind ``dropna`` does not.
     """
-    return reduce(Column.__and__, (present(schema[name]) for name in names), F.lit(True))
+    return combine(operator.and_, [present(schema[name]) for name in names], F.lit(True))
 
 
 def complete_rows(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -62,7 +71,7 @@ def complete_rows(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
     return df.filter(all_present(df.schema, df.columns if names is None else names))
 
 
-def number(name: str, data_type: T.DataType, on_bad: str = "error") -> Column:
+def number(name: str, data_type: T.DataType, on_bad: str = "error", shown: str | None = None) -> Column:
     """The column as double, NaN as null.
 
     Text that is no number and infinite values raise, or become null with
@@ -80,12 +89,20 @@ def number(name: str, data_type: T.DataType, on_bad: str = "error") -> Column:
         bad = bad | (raw.isNotNull() & value.isNull())
     if on_bad == "null":
         return F.when(~(bad | F.isnan(value)), value)
-    message = F.concat(F.lit("not a finite number: "), raw.cast("string"))
+    message = F.concat(F.lit(f"not a finite number in {shown or name}: "), raw.cast("string"))
     return F.when(bad, F.raise_error(message)).when(~F.isnan(value), value)
 
 
-def number_may_vanish(data_type: T.DataType, on_bad: str) -> bool:
-    """Whether :func:`number` can be null for a value that is neither null nor NaN."""
+def number_present(name: str, data_type: T.DataType, on_bad: str = "error") -> Column:
+    """Where :func:`number` gives a value or raises. Never raises itself, so it may be a filter."""
+    raw = column(name)
     if isinstance(data_type, (T.IntegralType, T.DecimalType)):
-        return False
-    return on_bad == "null" or not isinstance(data_type, T.FractionalType)
+        return raw.isNotNull()
+    if on_bad == "error":
+        return raw.isNotNull() & ~F.isnan(raw.try_cast("double"))
+    return raw.isNotNull() & number(name, data_type, on_bad).isNotNull()
+
+
+def numbers_present(schema: T.StructType, names: Sequence[str], on_bad: str = "error") -> Column:
+    """True where every one of the columns has a number."""
+    return combine(operator.and_, [number_present(n, schema[n].dataType, on_bad) for n in names], F.lit(True))

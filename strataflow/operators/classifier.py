@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -10,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import column
+from strataflow.functions.columns import column, combine
 
 MAX_CLASSES = 1_000
 
@@ -38,7 +39,7 @@ class LinearClassifier:
         """``intercept + sum(weight * feature)``, null if a feature is null."""
         terms = [F.lit(float(self.intercepts[row]))]
         terms += [F.lit(float(w)) * column(name) for w, name in zip(self.weights[row], self.features)]
-        return _sum(terms)
+        return combine(operator.add, terms, F.lit(0.0))
 
     def predicted_class(self) -> Column:
         """The predicted class as bigint, null if a feature is null. On a tie the first class wins."""
@@ -95,14 +96,6 @@ class LinearClassifier:
         )
 
 
-def _sum(terms: list[Column]) -> Column:
-    """Sum by halves, so that the expression stays shallow for many features."""
-    while len(terms) > 1:
-        pairs = [a + b for a, b in zip(terms[::2], terms[1::2])]
-        terms = pairs + terms[len(pairs) * 2 :]
-    return terms[0]
-
-
 def split_target(df: DataFrame, label: str, ignore: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """``(features, target)`` of a training table, without the ``ignore`` columns."""
     return df.drop(label, *ignore), df.select(column(label))

@@ -23,7 +23,7 @@ from strataflow.functions.columns import (
     complete_rows,
     feature_name,
     number,
-    number_may_vanish,
+    numbers_present,
 )
 from strataflow.spec import FeatureSpec
 
@@ -92,11 +92,8 @@ def fit_ranges(df: DataFrame, columns: Sequence[str], on_bad: str = "error") ->
     """Minimum and maximum of each column over rows complete in all of them, in one pass."""
     if not columns:
         return {}
-    present = complete_rows(df, columns)
+    present = df.filter(numbers_present(df.schema, columns, on_bad))
     numbers = present.select([number(c, df.schema[c].dataType, on_bad).alias(c) for c in columns])
-    vanishing = [c for c in columns if number_may_vanish(df.schema[c].dataType, on_bad)]
-    for name in vanishing:
-        numbers = numbers.filter(column(name).isNotNull())
     bounds = [f(column(name)).alias(f"{kind}{i}") for i, name in enumerate(columns) for kind, f in _BOUNDS.items()]
     found = numbers.agg(*bounds).first()
     if found["low0"] is None:
@@ -109,7 +106,6 @@ _BOUNDS = {"low": F.min, "high": F.max}
 
 def fit(df: DataFrame, spec: FeatureSpec, limit: int = WIDE_LIMIT, on_bad: str = "error") -> Preparation:
     """Learn categories and ranges. Each group of columns has its own complete rows."""
-    check_names(feature_name(n, "") for n in spec.categorical)
     preparation = Preparation(
         fit_categories(df, spec.categorical, limit),
         fit_ranges(df, spec.numeric, on_bad),
@@ -167,30 +163,20 @@ def _checked(
         *[column(c).cast("string").alias(text) for c, text in zip(categorical, texts)],
         *[column(c).alias(value) for c, value in zip(numeric, numbers)],
         all_present(df.schema, categorical).alias("__texts"),
-        all_present(df.schema, numeric).alias("__numbers"),
+        numbers_present(df.schema, numeric, on_bad).alias("__numbers"),
     )
     names = rows.columns[: len(keep)]
 
-    def step(text, value, *flags):
-        return rows.select(*map(column, names), *map(text, texts), *map(value, numbers), *flags)
-
     known = {
         text: F.col(text) if on_unknown == "ignore" else _known(name, preparation.categories[name], text)
         for name, text in zip(categorical, texts)
     }
-    value = {name: number(name, kind, on_bad) for name, kind in zip(numbers, types)}
-    if incomplete == "encode":
-        return step(lambda t: known[t].alias(t), lambda n: value[n].alias(n)), names
-    rows = step(
-        lambda t: F.when(F.col("__texts"), known[t]).alias(t),
-        lambda n: F.when(F.col("__numbers"), value[n]).alias(n),
-    )
-    vanishing = [n for n, kind in zip(numbers, types) if number_may_vanish(kind, on_bad)]
-    if vanishing and len(numbers) > 1:
-        whole = all_present(rows.schema, vanishing)
-        rows = step(F.col, F.col, whole.alias("__numbers"))
-        rows = step(F.col, lambda n: F.when(F.col("__numbers"), F.col(n)).alias(n))
-    return rows, names
+    value = {name: number(name, kind, on_bad, shown) for name, kind, shown in zip(numbers, types, numeric)}
+    if incomplete == "null":
+        known = {text: F.when(F.col("__texts"), checked) for text, checked in known.items()}
+        value = {name: F.when(F.col("__numbers"), checked) for name, checked in value.items()}
+    checked = [c.alias(name) for name, c in (known | value).items()]
+    return rows.select(*map(column, names), *checked), names
 
 
 def _known(name: str, categories: Sequence[str], text: str) -> Column:

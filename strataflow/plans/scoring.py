@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import check_names, column, complete_rows, number, number_may_vanish
+from strataflow.functions.columns import check_names, column, complete_rows, numbers_present
 from strataflow.operators.classifier import LinearClassifier
 from strataflow.operators.features import Preparation, transform
 from strataflow.operators.joins import complete_keys, join_column
@@ -57,13 +57,9 @@ def gold_in_place(
     if unknown:
         raise ValueError(f"the model has features that are not prepared: {sorted(unknown)}")
     # filters on the raw columns reach the scan, a filter on the prediction would score every row twice
-    numeric = list(preparation.ranges)
-    needed = numeric if incomplete == "encode" else [*preparation.categories, *numeric]
-    rows = complete_rows(complete_keys(bronze, spec.keys), needed)
-    types = {name: bronze.schema[name].dataType for name in numeric}
-    for name in numeric:
-        if number_may_vanish(types[name], on_bad):
-            rows = rows.filter(number(name, types[name], on_bad).isNotNull())
+    rows = complete_keys(bronze, spec.keys).filter(numbers_present(bronze.schema, list(preparation.ranges), on_bad))
+    if incomplete == "null":
+        rows = complete_rows(rows, list(preparation.categories))
     record = F.struct(*map(column, bronze.columns)).alias("__record")
     features = transform(rows, preparation, [record], on_unknown, incomplete, on_bad)
     return features.select("__record.*", model.predicted_class().alias(model.label))
