@@ -43,14 +43,16 @@ class LinearClassifier:
 
     def predicted_class(self) -> Column:
         """The predicted class as bigint, null if a feature is null. On a tie the first class wins."""
+        return self.class_of([self.margin(row) for row in range(len(self.weights))])
+
+    def class_of(self, margins: Sequence[Column]) -> Column:
         classes = [F.lit(c).cast("bigint") for c in self.classes]
         if len(classes) == 2:
             # null where the margin is null, and the margin is spelled out once only
-            return classes[0] + F.lit(self.classes[1] - self.classes[0]).cast("bigint") * (
-                self.margin() > 0
-            ).cast("bigint")
-        margins = F.array(*[self.margin(i) for i in range(len(classes))])
-        place = F.array_position(margins, F.array_max(margins)).cast("int")
+            step = F.lit(self.classes[1] - self.classes[0]).cast("bigint")
+            return classes[0] + step * (margins[0] > 0).cast("bigint")
+        all_margins = F.array(*margins)
+        place = F.array_position(all_margins, F.array_max(all_margins)).cast("int")
         return F.when(place > 0, F.element_at(F.array(*classes), place))
 
     def predict(self, df: DataFrame, output: str | None = None) -> DataFrame:

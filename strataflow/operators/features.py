@@ -24,6 +24,7 @@ from strataflow.functions.columns import (
     feature_name,
     number,
     numbers_present,
+    quoted,
 )
 from strataflow.spec import FeatureSpec
 
@@ -129,15 +130,62 @@ def transform(
     group; with ``"encode"`` each column stands alone, a missing category giving zeros and
     a missing number null.
     """
-    checked, names = _checked(df, preparation, keep, on_unknown, incomplete, on_bad)
+    rows, names = coded_rows(df, preparation, keep, on_unknown, incomplete, on_bad)
     check_names([*names, *preparation.feature_names])
-    return checked.select(
+    return rows.select(
         *map(column, names),
-        *_one_hot(preparation, incomplete),
-        *_min_max(preparation),
+        *_one_hot(preparation),
+        *[F.col(scaled_name(i)).alias(name) for i, name in enumerate(preparation.ranges)],
     )
 
 
+def place_name(i: int) -> str:
+    return f"__place_{i}"
+
+
+def scaled_name(i: int) -> str:
+    return f"__scaled_{i}"
+
+
+def coded_rows(
+    df: DataFrame,
+    preparation: Preparation,
+    keep: Sequence[str | Column] = (),
+    on_unknown: str = "error",
+    incomplete: str = "null",
+    on_bad: str = "error",
+) -> tuple[DataFrame, list[str]]:
+    """The kept columns and two kinds of columns from which features or scores are made, with the names of the former.
+
+    ``place_name(i)`` is the place of the i-th column's category among the fitted ones,
+    counted from 1, or 0 for a category that gives zeros; ``scaled_name(i)`` is the i-th
+    number, scaled. A category is looked up once however many features it has: comparing
+    text in every feature makes a method too long for the JVM to compile.
+    """
+    rows, names = _checked(df, preparation, keep, on_unknown, incomplete, on_bad)
+    texts = range(len(preparation.categories))
+    places = [
+        F.array_position(F.array(*map(F.lit, values)), F.col(f"__text_{i}")).cast("int")
+        for i, values in enumerate(preparation.categories.values())
+    ]
+    found = rows.select(
+        *map(column, names),
+        *[F.col(f"__text_{i}") for i in texts if on_unknown == "error"],
+        *[place.alias(place_name(i)) for i, place in enumerate(places)],
+        *[value.alias(scaled_name(i)) for i, value in enumerate(_min_max(preparation))],
+    )
+    checked = []
+    for i, name in enumerate(preparation.categories):
+        place = F.col(place_name(i))
+        if on_unknown == "error":
+            place = F.when(place == 0, _unknown_category(name, F.col(f"__text_{i}"))).otherwise(place)
+        if incomplete == "encode":
+            place = F.coalesce(place, F.lit(0))
+        checked.append(place.alias(place_name(i)))
+    scaled = [F.col(scaled_name(i)) for i in range(len(preparation.ranges))]
+    return found.select(*map(column, names), *checked, *scaled), names
+
+
 def _checked(
     df: DataFrame,
     preparation: Preparation,
@@ -146,18 +194,16 @@ def _checked(
     incomplete: str,
     on_bad: str,
 ) -> tuple[DataFrame, list[str]]:
-    """The kept columns, then each source column as text or number, unknown and incomplete values handled.
-
-    Every step is one projection. A value used by many features has a step of its own, so
-    the expressions grow with the number of features and not with its square.
-    """
+    """The kept columns, then each source column as text or number, null where its group is incomplete."""
     if on_unknown not in ("error", "ignore"):
         raise ValueError(f"on_unknown must be 'error' or 'ignore', not {on_unknown!r}")
     if incomplete not in ("null", "encode"):
         raise ValueError(f"incomplete must be 'null' or 'encode', not {incomplete!r}")
     categorical, numeric = list(preparation.categories), list(preparation.ranges)
     types = [df.schema[name].dataType for name in numeric]
-    texts, numbers = ([f"__{p}_{i}" for i in range(n)] for p, n in (("text", len(categorical)), ("number", len(numeric))))
+    texts, numbers = (
+        [f"__{p}_{i}" for i in range(n)] for p, n in (("text", len(categorical)), ("number", len(numeric)))
+    )
     rows = df.select(
         *[column(c) if isinstance(c, str) else c for c in keep],
         *[column(c).cast("string").alias(text) for c, text in zip(categorical, texts)],
@@ -166,46 +212,35 @@ def _checked(
         numbers_present(df.schema, numeric, on_bad).alias("__numbers"),
     )
     names = rows.columns[: len(keep)]
-
-    known = {
-        text: F.col(text) if on_unknown == "ignore" else _known(name, preparation.categories[name], text)
-        for name, text in zip(categorical, texts)
-    }
+    text = {name: F.col(name) for name in texts}
     value = {name: number(name, kind, on_bad, shown) for name, kind, shown in zip(numbers, types, numeric)}
     if incomplete == "null":
-        known = {text: F.when(F.col("__texts"), checked) for text, checked in known.items()}
-        value = {name: F.when(F.col("__numbers"), checked) for name, checked in value.items()}
-    checked = [c.alias(name) for name, c in (known | value).items()]
+        text = {name: F.when(F.col("__texts"), c) for name, c in text.items()}
+        value = {name: F.when(F.col("__numbers"), c) for name, c in value.items()}
+    checked = [c.alias(name) for name, c in (text | value).items()]
     return rows.select(*map(column, names), *checked), names
 
 
-def _known(name: str, categories: Sequence[str], text: str) -> Column:
-    unknown = F.col(text).isNotNull() & ~F.col(text).isin(list(categories))
-    return F.when(unknown, _unknown_category(name, F.col(text))).otherwise(F.col(text))
-
-
 def _unknown_category(name: str, text: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"unknown category in {name}: "), text))
 
 
-def _one_hot(preparation: Preparation, incomplete: str) -> list[Column]:
-    features = []
-    for i, (name, categories) in enumerate(preparation.categories.items()):
-        text = F.col(f"__text_{i}")
-        for category in categories:
-            hit = text == F.lit(category) if incomplete == "null" else text.eqNullSafe(F.lit(category))
-            features.append(hit.cast("double").alias(feature_name(name, category)))
-    return features
+def _one_hot(preparation: Preparation) -> list[Column]:
+    return [
+        F.expr(f"CAST({place_name(i)} = {j + 1} AS DOUBLE) AS {quoted(feature_name(name, category))}")
+        for i, (name, categories) in enumerate(preparation.categories.items())
+        for j, category in enumerate(categories)
+    ]
 
 
 def _min_max(preparation: Preparation) -> list[Column]:
     """Values outside the fitted range are not clipped; a constant column becomes its distance to the constant."""
     features = []
-    for i, (name, (low, high)) in enumerate(preparation.ranges.items()):
+    for i, (low, high) in enumerate(preparation.ranges.values()):
         width = high - low
         if width < 10 * sys.float_info.epsilon:
             width = 1.0
-        features.append(((F.col(f"__number_{i}") - F.lit(low)) / F.lit(width)).alias(name))
+        features.append((F.col(f"__number_{i}") - F.lit(low)) / F.lit(width))
     return features
 
 
@@ -240,7 +275,7 @@ def to_vectors(
                 known = F.when(unknown, _unknown_category(name, F.col(text))).otherwise(F.lit(True))
                 rows = rows.filter(known)
         rows = OneHotEncoder(inputCols=indexes, outputCols=blocks, dropLast=True).fit(rows).transform(rows)
-    scaled = [f"__scaled_{i}" for i in range(len(numbers))]
+    scaled = [scaled_name(i) for i in range(len(numbers))]
     minmax = [value.alias(name) for value, name in zip(_min_max(preparation), scaled)]
     rows = rows.select(*map(column, kept), *blocks, *minmax)
     assembled = VectorAssembler(inputCols=[*blocks, *scaled], outputCol=output).transform(rows)

@@ -14,6 +14,7 @@ from strataflow.operators.joins import join_column
 from strataflow.operators.registry import Registry
 from strataflow.operators.split import hash_split
 from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place
+from strataflow.session import short_methods
 from strataflow.sources.catalog import create_database, create_table, create_table_like, overwrite, read_table
 from strataflow.sources.files import export_csv, read_csv
 from strataflow.spec import FeatureSpec, Layers
@@ -44,8 +45,7 @@ def build_features(
     if preparation_path:
         save_preparation(spark, preparation, preparation_path)
     silver = feature_rows(bronze, preparation, spec, on_bad=on_bad)
-    create_table_like(silver, layers.table("silver"), layers.fmt)
-    overwrite(silver, layers.table("silver"), layers.fmt)
+    _replace(silver, layers, "silver")
     return preparation
 
 
@@ -60,7 +60,8 @@ def export_training_set(
     """Join silver with a label CSV and write the result as CSV."""
     labels = read_csv(spark, labels_path)
     rows = training_set(read_table(spark, layers.table("silver")), labels, key, label)
-    export_csv(rows, path, single_file)
+    with short_methods(spark):
+        export_csv(rows, path, single_file)
 
 
 @dataclass(frozen=True)
@@ -85,8 +86,9 @@ def train(
     """Fit on complete rows outside the held-out part, log the accuracy on that part, register the model."""
     features = [c for c in rows.columns if c not in spec.keys and c != spec.label]
     kept, held_out = hash_split(complete_rows(rows), spec.keys, test_size, seed)
-    model = fit_logistic(kept, spec.label, features, **options)
-    share = accuracy(model.predict(held_out, "__class"), spec.label, "__class").first()["accuracy"]
+    with short_methods(spark):
+        model = fit_logistic(kept, spec.label, features, **options)
+        share = accuracy(model.predict(held_out, "__class"), spec.label, "__class").first()["accuracy"]
     if share is None:
         raise ValueError("no rows were held out")
     registry.create(spark)
@@ -100,7 +102,9 @@ def score(
     """Predict for silver with a registered model and replace gold by bronze joined with the predictions."""
     model = registry.load(spark, name, version)
     bronze, silver = (read_table(spark, layers.table(layer)) for layer in ("bronze", "silver"))
-    _write_gold(gold_by_join(bronze, silver, model, spec), layers)
+    with short_methods(spark):
+        gold = gold_by_join(bronze, silver, model, spec)
+    _replace(gold, layers, "gold")
 
 
 def score_in_place(
@@ -116,9 +120,10 @@ def score_in_place(
     """As :func:`score` for unique keys, from bronze alone and without a shuffle."""
     model = registry.load(spark, name, version)
     bronze = read_table(spark, layers.table("bronze"))
-    _write_gold(gold_in_place(bronze, preparation, model, spec, **options), layers)
+    _replace(gold_in_place(bronze, preparation, model, spec, **options), layers, "gold")
 
 
-def _write_gold(gold: DataFrame, layers: Layers) -> None:
-    create_table_like(gold, layers.table("gold"), layers.fmt)
-    overwrite(gold, layers.table("gold"), layers.fmt)
+def _replace(df: DataFrame, layers: Layers, layer: str) -> None:
+    create_table_like(df, layers.table(layer), layers.fmt)
+    with short_methods(df.sparkSession):
+        overwrite(df, layers.table(layer), layers.fmt)

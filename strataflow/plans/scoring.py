@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import operator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import check_names, column, complete_rows, numbers_present
+from strataflow.functions.columns import (
+    check_names,
+    column,
+    combine,
+    complete_rows,
+    feature_name,
+    numbers_present,
+)
 from strataflow.operators.classifier import LinearClassifier
-from strataflow.operators.features import Preparation, transform
+from strataflow.operators.features import Preparation, coded_rows, place_name, scaled_name, transform
 from strataflow.operators.joins import complete_keys, join_column
 from strataflow.spec import FeatureSpec
 
@@ -61,5 +70,20 @@ def gold_in_place(
     if incomplete == "null":
         rows = complete_rows(rows, list(preparation.categories))
     record = F.struct(*map(column, bronze.columns)).alias("__record")
-    features = transform(rows, preparation, [record], on_unknown, incomplete, on_bad)
-    return features.select("__record.*", model.predicted_class().alias(model.label))
+    coded, _ = coded_rows(rows, preparation, [record], on_unknown, incomplete, on_bad)
+    margins = [_coded_margin(preparation, model, row) for row in range(len(model.weights))]
+    return coded.select("__record.*", model.class_of(margins).alias(model.label))
+
+
+def _coded_margin(preparation: Preparation, model: LinearClassifier, row: int) -> Column:
+    """The margin from the places of categories: one weight is looked up per column, no feature is built."""
+    weight = dict(zip(model.features, model.weights[row]))
+    terms = [F.lit(float(model.intercepts[row]))]
+    for i, (name, values) in enumerate(preparation.categories.items()):
+        weights = [0.0, *(float(weight.get(feature_name(name, v), 0.0)) for v in values)]
+        if any(weights):
+            terms.append(F.get(F.array(*map(F.lit, weights)), F.col(place_name(i))))
+    for i, name in enumerate(preparation.ranges):
+        if name in weight:
+            terms.append(F.lit(float(weight[name])) * F.col(scaled_name(i)))
+    return combine(operator.add, terms, F.lit(0.0))

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +15,7 @@ from strataflow.functions.messages import decode_json
 from strataflow.operators.classifier import LinearClassifier
 from strataflow.operators.features import Preparation
 from strataflow.plans.scoring import feature_rows, gold_in_place
+from strataflow.session import short_methods
 from strataflow.sources.catalog import create_database, create_table, write_batch
 from strataflow.spec import FeatureSpec, Layers
 from strataflow.streaming.queries import for_each_batch, stream_id
@@ -58,8 +58,9 @@ class LayerStream:
         try:
             features = feature_rows(rows, self.preparation, self.spec, **options)
             scored = gold_in_place(rows, self.preparation, self.model, self.spec, **options)
-            for layer, frame in (("bronze", rows), ("silver", features), ("gold", scored)):
-                write_batch(frame, self.layers.table(layer), self.layers.fmt, stream, batch_id)
+            with short_methods(batch.sparkSession):
+                for layer, frame in (("bronze", rows), ("silver", features), ("gold", scored)):
+                    write_batch(frame, self.layers.table(layer), self.layers.fmt, stream, batch_id)
         finally:
             rows.unpersist()
 
