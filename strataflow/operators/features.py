@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strataflow.functions.columns import (
     all_present,

@@ -4,12 +4,13 @@ from strataflow.plans.jobs import (
     build_features,
     export_training_set,
     ingest_csv,
+    save_training_set,
     score,
     score_in_place,
     train,
     training_set,
 )
-from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place, predictions
+from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place, labelled_features, predictions
 
 __all__ = [
     "build_features",
@@ -18,7 +19,9 @@ __all__ = [
     "gold_by_join",
     "gold_in_place",
     "ingest_csv",
+    "labelled_features",
     "predictions",
+    "save_training_set",
     "score",
     "score_in_place",
     "train",

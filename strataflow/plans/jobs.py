@@ -13,7 +13,7 @@ from strataflow.operators.features import WIDE_LIMIT, Preparation, fit, save_pre
 from strataflow.operators.joins import join_column
 from strataflow.operators.registry import Registry
 from strataflow.operators.split import hash_split
-from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place
+from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place, labelled_features
 from strataflow.session import short_methods
 from strataflow.sources.catalog import create_database, create_table, create_table_like, overwrite, read_table
 from strataflow.sources.files import export_csv, read_csv
@@ -64,6 +64,27 @@ def export_training_set(
         export_csv(rows, path, single_file)
 
 
+def save_training_set(
+    spark: SparkSession,
+    layers: Layers,
+    labels: DataFrame,
+    spec: FeatureSpec,
+    preparation: Preparation,
+    key: str,
+    table: str,
+    **options,
+) -> None:
+    """Join bronze with labels and write the features as a table.
+
+    Training reads its rows several times, so they should be stored and not a join that is
+    run again each time. The table keeps types and is read by column, which CSV is not.
+    """
+    bronze = read_table(spark, layers.table("bronze"))
+    rows = labelled_features(bronze, labels, preparation, spec, key, **options)
+    with short_methods(spark):
+        overwrite(rows, table, layers.fmt)
+
+
 @dataclass(frozen=True)
 class Trained:
     model: LinearClassifier
@@ -83,7 +104,10 @@ def train(
     seed: int = 42,
     **options,
 ) -> Trained:
-    """Fit on complete rows outside the held-out part, log the accuracy on that part, register the model."""
+    """Fit on complete rows outside the held-out part, log the accuracy on that part, register the model.
+
+    ``rows`` are read several times: a table or files, not a join.
+    """
     features = [c for c in rows.columns if c not in spec.keys and c != spec.label]
     kept, held_out = hash_split(complete_rows(rows), spec.keys, test_size, seed)
     with short_methods(spark):

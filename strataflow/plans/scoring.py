@@ -26,6 +26,28 @@ def feature_rows(bronze: DataFrame, preparation: Preparation, spec: FeatureSpec,
     return transform(bronze, preparation, spec.keys, **options)
 
 
+def labelled_features(
+    bronze: DataFrame,
+    labels: DataFrame,
+    preparation: Preparation,
+    spec: FeatureSpec,
+    key: str,
+    handle_frequent: bool = True,
+    **options,
+) -> DataFrame:
+    """The training rows of raw rows and a label table: keys, features, label.
+
+    Equal to joining silver with the labels, but the raw rows are what is shuffled, which
+    are several times narrower than one double per category.
+    """
+    rows = bronze.select(*map(column, dict.fromkeys([key, *spec.keys, *spec.categorical, *spec.numeric])))
+    joined = join_column(rows, labels, [key], spec.label, handle_frequent=handle_frequent)
+    features = transform(joined, preparation, [*spec.keys, column(spec.label).alias("__label")], **options)
+    return features.select(
+        *map(column, [*spec.keys, *preparation.feature_names]), F.col("__label").alias(spec.label)
+    )
+
+
 def predictions(silver: DataFrame, model: LinearClassifier, spec: FeatureSpec) -> DataFrame:
     """Keys and predicted class of the feature rows that have every value."""
     complete = complete_rows(silver)

@@ -19,7 +19,7 @@ from strataflow.operators import (
     Registry,
     accuracy,
     fit,
-    fit_ranges,
+    fit_logistic,
     hash_bucket,
     hash_split,
     join_column,
@@ -29,7 +29,6 @@ from strataflow.operators import (
     to_vectors,
     transform,
 )
-from strataflow.operators import fit_logistic
 from strataflow.plans import (
     build_features,
     export_training_set,
@@ -37,6 +36,8 @@ from strataflow.plans import (
     gold_by_join,
     gold_in_place,
     ingest_csv,
+    labelled_features,
+    save_training_set,
     score,
     score_in_place,
     train,
@@ -334,6 +335,13 @@ def label_join_frequent(spark, sf_dir):
     return join_column(events.select("event_id", "key", "value"), users, ["key"], "c_mktsegment")
 
 
+def labelled(spark, sf_dir):
+    documents = selected(spark, sf_dir)
+    return labelled_features(
+        documents, load(spark, sf_dir, "labels"), fit(documents, DOCUMENTS), DOCUMENTS, "doc_id"
+    )
+
+
 def gold_join(spark, sf_dir):
     documents = selected(spark, sf_dir)
     table = f"{new_database(spark)}.silver"
@@ -373,9 +381,19 @@ def _labelled(spark, sf_dir) -> DataFrame:
     return training_set(silver, load(spark, sf_dir, "labels"), "doc_id", "quality")
 
 
+def _training_table(spark, sf_dir) -> DataFrame:
+    """The labelled rows as a table, since fitting reads them several times."""
+    layers = Layers(new_database(spark))
+    overwrite(selected(spark, sf_dir), layers.table("bronze"))
+    preparation = fit(read_table(spark, layers.table("bronze")), DOCUMENTS)
+    table = f"{layers.database}.training"
+    save_training_set(spark, layers, load(spark, sf_dir, "labels"), DOCUMENTS, preparation, "doc_id", table)
+    return read_table(spark, table)
+
+
 def trained(spark, sf_dir):
     """Weight of each feature, the intercept under an empty name."""
-    rows = _labelled(spark, sf_dir)
+    rows = _training_table(spark, sf_dir)
     features = [c for c in rows.columns if c not in (*DOCUMENTS.keys, "quality")]
     model = fit_logistic(complete_rows(rows), "quality", features)
     weights = [*zip(model.features, model.weights[0]), ("", model.intercepts[0])]
@@ -384,7 +402,7 @@ def trained(spark, sf_dir):
 
 def _trained_run(spark, sf_dir):
     registry = Registry(new_database(spark), scratch_path(spark, "models"))
-    return registry, train(spark, _labelled(spark, sf_dir), DOCUMENTS, registry, "quality", "check")
+    return registry, train(spark, _training_table(spark, sf_dir), DOCUMENTS, registry, "quality", "check")
 
 
 def run_metrics(spark, sf_dir):
@@ -490,10 +508,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the quality that a model trained on the labelled ones predicts for them."""
     documents = selected(spark, sf_dir)
     preparation = fit(documents, DOCUMENTS)
-    rows = training_set(
-        feature_rows(documents, preparation, DOCUMENTS), load(spark, sf_dir, "labels"), "doc_id", "quality"
-    )
-    kept, _ = hash_split(complete_rows(rows), DOCUMENTS.keys)
+    kept, _ = hash_split(complete_rows(_training_table(spark, sf_dir)), DOCUMENTS.keys)
     model = fit_logistic(kept, "quality", preparation.feature_names)
     return gold_in_place(documents, preparation, model, DOCUMENTS)
 
@@ -532,6 +547,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_vectors": vectors,
     "q_label_join": label_join,
     "q_label_join_frequent": label_join_frequent,
+    "q_labelled_features": labelled,
+    "q_training_table": _training_table,
     "q_gold_join": gold_join,
     "q_gold_in_place": gold_without_join,
     "q_split": split,

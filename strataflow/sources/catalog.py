@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions.columns import column, quoted
+from strataflow.functions.columns import quoted
 from strataflow.spec import TableFormat
 
 STREAM_ID, BATCH_ID = "stream_id", "batch_id"
@@ -33,8 +33,6 @@ def create_table(spark: SparkSession, name: str, columns: str | T.StructType, fm
     if fmt.batch_partitions:
         ddl += f", {STREAM_ID} STRING, {BATCH_ID} BIGINT"
         tail = f" PARTITIONED BY ({STREAM_ID}, {BATCH_ID})"
-    if fmt.buckets:
-        tail += f" CLUSTERED BY ({', '.join(map(quoted, fmt.bucket_by))}) INTO {fmt.buckets} BUCKETS"
     if fmt.options:
         tail += " OPTIONS (" + ", ".join(f"'{_text(k)}' '{_text(str(v))}'" for k, v in fmt.options.items()) + ")"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING {fmt.name}{tail}")
@@ -60,8 +58,6 @@ def overwrite(df: DataFrame, name: str, fmt: TableFormat = TableFormat()) -> Non
         writer = writer.option("overwriteSchema", "true")
     if fmt.batch_partitions:
         writer = writer.partitionBy(*BATCH_COLUMNS)
-    if fmt.buckets:
-        writer = writer.bucketBy(fmt.buckets, *fmt.bucket_by)
     writer.saveAsTable(name)
 
 
@@ -70,8 +66,6 @@ def append(df: DataFrame, name: str, fmt: TableFormat = TableFormat()) -> None:
     writer = _marked(df, fmt).write.format(fmt.name).mode("append").options(**fmt.options)
     if fmt.batch_partitions:
         writer = writer.partitionBy(*BATCH_COLUMNS)
-    if fmt.buckets:
-        writer = writer.bucketBy(fmt.buckets, *fmt.bucket_by)
     writer.saveAsTable(name)
 
 
@@ -108,9 +102,6 @@ def publish(df: DataFrame, name: str) -> str:
 
 
 def _marked(df: DataFrame, fmt: TableFormat) -> DataFrame:
-    if fmt.buckets:
-        # one file per bucket instead of one per task and bucket
-        df = df.repartition(fmt.buckets, *map(column, fmt.bucket_by))
     if not fmt.batch_partitions:
         return df
     stream_id, batch_id = NOT_STREAMED

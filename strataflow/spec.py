@@ -38,21 +38,11 @@ class TableFormat:
 
     ``streamed`` tables also take micro-batches: where the format has no transactions of
     its own they carry two partition columns that make a replayed batch replace itself.
-    ``bucket_by`` / ``buckets`` co-locate later joins on those columns. A bucket is one
-    task, so use it only for columns whose values are spread evenly.
     """
 
     name: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
     streamed: bool = False
-    bucket_by: tuple[str, ...] = ()
-    buckets: int = 0
-
-    def __post_init__(self):
-        if bool(self.bucket_by) != (self.buckets > 0):
-            raise ValueError("bucket_by and buckets go together")
-        if self.streamed and self.buckets:
-            raise ValueError("a streamed table cannot be bucketed")
 
     @property
     def transactional(self) -> bool:

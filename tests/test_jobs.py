@@ -5,12 +5,15 @@ from __future__ import annotations
 import csv
 import json
 import os
+import random
 
 import pytest
 
 from strataflow.functions import decode_json
-from strataflow.operators import LinearClassifier, Registry, load_preparation
-from strataflow.plans import build_features, export_training_set, ingest_csv, score, score_in_place, train
+from strataflow.operators import LinearClassifier, Registry, fit, load_preparation
+from strataflow.plans import build_features, export_training_set, ingest_csv, save_training_set, score, score_in_place, train
+from strataflow.plans import feature_rows, gold_by_join, gold_in_place
+from strataflow.session import METHOD_LIMIT, short_methods
 from strataflow.sources import overwrite, read_csv, read_messages, read_table, scratch_path
 from strataflow.spec import FeatureSpec, Layers, TableFormat
 from strataflow.streaming import LayerStream, await_any, console, stream_id, to_table
@@ -74,6 +77,12 @@ def test_csv_to_gold(spark, database, tmp_path, streamed):
     training = read_csv(spark, out, infer=True)
     assert training.columns == [*silver.columns, "Survived"] and training.count() == 60
 
+    typed = read_csv(spark, str(labels)).selectExpr("Id", "int(Survived) AS Survived")
+    save_training_set(spark, layers, typed, SPEC, preparation, "Id", f"{database}.training")
+    stored = read_table(spark, f"{database}.training")
+    assert stored.columns == training.columns
+    assert values(stored.selectExpr("int(Id) AS Id", *stored.columns[1:])) == values(training)
+
     registry = Registry(database, scratch_path(spark, "models"))
     done = train(spark, training, SPEC, registry, "survival", "trial")
     assert done.version == 1 and 0 <= done.accuracy <= 1
@@ -103,6 +112,29 @@ def test_duplicate_keys_multiply_in_the_join_only(spark, database):
     assert spark.table(layers.table("gold")).filter("Id = '1'").count() == 2
 
 
+def test_setting_for_wide_rows_is_put_back(spark):
+    before = spark.conf.get(METHOD_LIMIT)
+    with pytest.raises(RuntimeError), short_methods(spark):
+        assert spark.conf.get(METHOD_LIMIT) == "8000"
+        raise RuntimeError
+    assert spark.conf.get(METHOD_LIMIT) == before != "8000"
+
+
+def test_scoring_in_place_builds_no_features(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    spec = FeatureSpec(("o_orderkey",), ("o_orderpriority", "o_orderstatus"), ("o_totalprice",))
+    fitted = fit(orders, spec)
+    draw = random.Random(2)
+    weights = tuple(tuple(draw.uniform(-1, 1) for _ in fitted.feature_names) for _ in range(3))
+    model = LinearClassifier("y", tuple(fitted.feature_names), (1, 2, 3), weights, (0.1, 0.0, -0.1))
+    found = gold_in_place(orders, fitted, model, spec)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "o_orderpriority_1-URGENT" not in plan
+    assert "IsNotNull(o_orderpriority)" in plan and "IsNotNull(o_totalprice)" in plan
+    expected = gold_by_join(orders, feature_rows(orders, fitted, spec), model, spec)
+    assert values(found) == values(expected) and found.select("y").distinct().count() > 1
+
+
 # streams
 
 MODEL = LinearClassifier("Survived", ("Class_1", "Deck_A1", "Age", "Fare"), (0, 1), ((0.5, -0.25, 1.0, 0.75),), (-0.5,))

@@ -30,6 +30,11 @@ def rows_by_name(columns, rows):
     return sorted(columns), sorted(plain, key=repr)
 
 
+def types_by_name(columns, types):
+    names = {"VARCHAR": "string", "DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int"}
+    return sorted((c, names.get(str(t), str(t))) for c, t in zip(columns, types))
+
+
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, duck, name):
     found = contract.queries()[name](spark, DIRECTORY)
@@ -39,6 +44,8 @@ def test_query(spark, duck, name):
     if sql is None:
         return
     expected = duck.sql(sql)
+    found_types = [f.dataType.simpleString() for f in found.schema]
+    assert types_by_name(found.columns, found_types) == types_by_name(expected.columns, expected.types)
     assert rows_by_name(found.columns, rows) == rows_by_name(expected.columns, expected.fetchall())
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.functions import decode_json, encode_json
-from strataflow.operators import join_on_keys
 from strataflow.sources import (
     append,
     create_table,
@@ -127,21 +126,6 @@ def test_overwrite_of_a_streamed_table_replaces_batches(spark, database):
     assert read_table(spark, table).count() == 7
 
 
-def test_bucketed_tables_join_without_shuffle(spark, database):
-    fmt = TableFormat(bucket_by=("k",), buckets=4)
-    left, right = f"{database}.l", f"{database}.r"
-    overwrite(spark.range(1000).withColumnRenamed("id", "k").withColumn("x", F.lit(1)), left, fmt)
-    create_table(spark, right, "k BIGINT, y INT", fmt)
-    append(spark.range(500).withColumnRenamed("id", "k").withColumn("y", F.lit(2)), right, fmt)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = join_on_keys(spark.table(left), spark.table(right), ["k"], handle_frequent=False)
-        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
-        assert joined.count() == 500
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_table_options(spark, database):
     fmt = TableFormat(options={"compression": "gzip"})
     for table, make in ((f"{database}.a", overwrite), (f"{database}.b", append)):
@@ -210,7 +194,3 @@ def test_spec_is_checked():
         FeatureSpec((), ("b",))
     with pytest.raises(ValueError, match="categorical or numeric"):
         FeatureSpec(("a",))
-    with pytest.raises(ValueError, match="together"):
-        TableFormat(buckets=4)
-    with pytest.raises(ValueError, match="bucketed"):
-        TableFormat(streamed=True, bucket_by=("a",), buckets=4)
