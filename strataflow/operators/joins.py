@@ -61,19 +61,41 @@ def sketch_keys(frames: Sequence[DataFrame], keys: Sequence[str], share: float =
     ]
 
 
-def may_broadcast(df: DataFrame) -> bool:
-    """Count rows and bytes of a frame that is expected to be small."""
-    size = F.lit(8 * len(df.columns))
-    for field in df.schema:
+def row_bytes(schema: T.StructType) -> Column:
+    """About the size of a row: eight bytes per column and the length of what has one."""
+    size = F.lit(8 * len(schema)).cast("bigint")
+    for field in schema:
         if not isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
             text = column(field.name)
             if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
                 text = F.to_json(F.struct(text))
             size = size + F.coalesce(F.octet_length(text), F.lit(0))
-    found = df.agg(F.count("*").alias("n"), F.sum(size.cast("bigint")).alias("bytes")).first()
+    return size
+
+
+def may_broadcast(df: DataFrame) -> bool:
+    """Count rows and bytes of a frame that is expected to be small."""
+    found = df.agg(F.count("*").alias("n"), F.sum(row_bytes(df.schema)).alias("bytes")).first()
     return found["n"] <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
 
 
+def broadcast_hashes(df: DataFrame, keys: Sequence[str], hashes: list[int]) -> list[int]:
+    """As many of the key hashes as have rows that may be broadcast together, those with few rows first."""
+    h = key_hash(df.schema, keys)
+    matching = df.filter(h.isin(hashes))
+    sizes = matching.groupBy(h.alias("h")).agg(F.count("*").alias("n"), F.sum(row_bytes(df.schema)).alias("bytes"))
+    # one row per frequent key
+    found = {row["h"]: (row["n"], row["bytes"]) for row in sizes.collect()}
+    chosen, rows, size = [], 0, 0
+    for value in sorted(hashes, key=lambda k: found.get(k, (0, 0))):
+        n, length = found.get(value, (0, 0))
+        rows, size = rows + n, size + length
+        if rows > BROADCAST_ROWS or size > BROADCAST_BYTES:
+            break
+        chosen.append(value)
+    return chosen
+
+
 def same_hashes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
     """Whether equal keys hash equally on both sides."""
     for key in keys:
@@ -135,13 +157,15 @@ def _parts(
     for big_is_left, sketch in ((True, left_keys), (False, right_keys)):
         if not sketch.frequent:
             continue
-        here, there = (key_hash(df.schema, keys).isin(sketch.frequent) for df in (left, right))
-        few = right.filter(there) if big_is_left else left.filter(here)
-        if not may_broadcast(few):
-            # frequent on both sides: left to the join's own handling of skew
+        # a key with many rows on both sides is left to the join's own handling of skew
+        hashes = broadcast_hashes(right if big_is_left else left, keys, sketch.frequent)
+        if not hashes:
             continue
-        held = F.broadcast(few)
-        parts.append((left.filter(here), held) if big_is_left else (held, right.filter(there)))
+        here, there = (key_hash(df.schema, keys).isin(hashes) for df in (left, right))
+        if big_is_left:
+            parts.append((left.filter(here), F.broadcast(right.filter(there))))
+        else:
+            parts.append((F.broadcast(left.filter(here)), right.filter(there)))
         left, right = left.filter(~here), right.filter(~there)
     return [(left, right), *parts]
 

@@ -18,11 +18,13 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header. All columns are text unless a schema is given or ``infer`` is set.
 
+    The columns of a schema must be those of the header, in order; other headers raise.
+
     An empty field is null. ``infer`` reads the files twice; a schema reads them once and
     lets columns be skipped. Files with line breaks inside quotes need ``multiLine=True``,
     which makes a file one task.
     """
-    reader = spark.read.options(header=True, **options)
+    reader = spark.read.options(**{"header": True, "enforceSchema": False, **options})
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer).csv(path)

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from strataflow.operators import joins
-from strataflow.operators.joins import join_column, join_on_keys, may_broadcast, sketch_keys
+from strataflow.operators.joins import broadcast_hashes, join_column, join_on_keys, may_broadcast, sketch_keys
 
 
 def brute_force(left, right):
@@ -58,6 +58,19 @@ def test_frequent_keys_are_not_shuffled(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_frequent_keys_with_many_partners_stay_in_the_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 30)
+    left = [(i % 3, i) for i in range(300)] + [(100 + i, i) for i in range(300)]
+    right = [(0, "a"), (1, "b"), (1, "c")] + [(2, f"y{i}") for i in range(40)] + [(100 + i, "z") for i in range(300)]
+    a, b = frames(spark, left, right)
+    (sketch, _) = sketch_keys([a, b], ["k"])
+    assert len(sketch.frequent) == 3
+    chosen = broadcast_hashes(b, ["k"], sketch.frequent)
+    expected = {r[0] for r in spark.range(2).selectExpr("xxhash64(id)").collect()}
+    assert set(chosen) == expected
+    assert Counter(tuple(r) for r in join_on_keys(a, b, ["k"]).collect()) == brute_force(left, right)
+
+
 def test_sketch_finds_the_frequent_key(spark):
     a, b = frames(spark, HOT_LEFT, FLAT_RIGHT)
     left, right = sketch_keys([a.dropna(), b.dropna()], ["k"])

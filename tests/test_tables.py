@@ -90,6 +90,15 @@ def test_csv_is_text_and_empty_is_null(spark):
         export_csv(rows, path)
 
 
+def test_schema_must_fit_the_header(spark):
+    path = scratch_path(spark, "csv")
+    export_csv(spark.createDataFrame([(1, "a", 2.5)], "id int, name string, x double"), path)
+    assert read_csv(spark, path, "id INT, name STRING, x DOUBLE").first() == (1, "a", 2.5)
+    assert read_csv(spark, path, "id INT, name STRING, x DOUBLE").select("x").first() == (2.5,)
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, path, "name STRING, id STRING, x DOUBLE").collect()
+
+
 def test_single_csv_file(spark):
     path = scratch_path(spark, "csv")
     rows = spark.range(100).repartition(8)
