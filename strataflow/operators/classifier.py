@@ -111,12 +111,14 @@ def fit_logistic(
     c: float = 1.0,
     max_iter: int = 100,
     tol: float = 1e-8,
+    depth: int = 2,
 ) -> LinearClassifier:
     """L2-regularised logistic regression that minimises ``c * loss + |w|^2 / 2``, intercept free.
 
     ``features`` are double columns, or the names of the entries of the ``vector`` column.
     Labels are whole numbers. One pass counts the rows of each class, then each iteration
-    is one pass over the vectors, which Spark ML keeps in memory and on disk.
+    is one pass over the vectors, which Spark ML keeps in memory and on disk. ``depth`` is
+    that of the tree in which gradients are summed: raise it for many tasks and features.
     """
     target = column(label).cast("bigint")
     counts = df.groupBy(target.alias("class")).count().limit(MAX_CLASSES + 1).collect()
@@ -140,6 +142,7 @@ def fit_logistic(
         standardization=False,
         maxIter=max_iter,
         tol=tol,
+        aggregationDepth=depth,
     ).fit(rows)
     weights = model.coefficientMatrix.toArray().tolist()
     return LinearClassifier(

@@ -56,8 +56,8 @@ ORACLE: dict[str, str] = {
     "q_json_messages": "SELECT p_partkey::varchar AS p_partkey, p_name, p_size::varchar AS p_size FROM part",
     "q_global_view": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'",
     "q_select": "SELECT doc_id, lang, source, n_chars FROM documents",
-    "q_drop": """SELECT toxic AS value, count(*) AS n FROM labels GROUP BY toxic
-        UNION ALL SELECT quality AS value, count(*) AS n FROM labels GROUP BY quality""",
+    "q_drop": "SELECT doc_id, toxic FROM labels",
+    "q_target": "SELECT quality FROM labels",
     "q_dropna_subset": f"""SELECT doc_id, lang, source, n_chars, lang0, src FROM {GAPS}
         WHERE lang0 IS NOT NULL AND src IS NOT NULL""",
     "q_dropna_all": f"""SELECT doc_id, lang, source, n_chars, lang0, src FROM {GAPS}

@@ -103,9 +103,7 @@ def _coded_margin(preparation: Preparation, model: LinearClassifier, row: int) -
     terms = [F.lit(float(model.intercepts[row]))]
     for i, (name, values) in enumerate(preparation.categories.items()):
         weights = [0.0, *(float(weight.get(feature_name(name, v), 0.0)) for v in values)]
-        if any(weights):
-            terms.append(F.get(F.array(*map(F.lit, weights)), F.col(place_name(i))))
+        terms.append(F.get(F.array(*map(F.lit, weights)), F.col(place_name(i))))
     for i, name in enumerate(preparation.ranges):
-        if name in weight:
-            terms.append(F.lit(float(weight[name])) * F.col(scaled_name(i)))
+        terms.append(F.lit(float(weight.get(name, 0.0))) * F.col(scaled_name(i)))
     return combine(operator.add, terms, F.lit(0.0))

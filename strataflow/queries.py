@@ -197,10 +197,13 @@ def selected(spark, sf_dir):
 
 
 def dropped(spark, sf_dir):
-    features, target = split_target(load(spark, sf_dir, "labels"), "quality", ["doc_id"])
-    return features.groupBy("toxic").agg(F.count("*").alias("n")).union(
-        target.groupBy("quality").agg(F.count("*").alias("n"))
-    ).toDF("value", "n")
+    features, _ = split_target(load(spark, sf_dir, "labels"), "quality")
+    return features
+
+
+def target(spark, sf_dir):
+    _, labels = split_target(load(spark, sf_dir, "labels"), "quality")
+    return labels
 
 
 def complete_subset(spark, sf_dir):
@@ -529,6 +532,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_global_view": global_view,
     "q_select": selected,
     "q_drop": dropped,
+    "q_target": target,
     "q_dropna_subset": complete_subset,
     "q_dropna_all": complete_all,
     "q_sanitize_names": sanitized,
