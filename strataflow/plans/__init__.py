@@ -5,7 +5,7 @@ from strataflow.plans.jobs import (
     export_training_set,
     ingest_csv,
     save_training_set,
-    score,
+    score_by_join,
     score_in_place,
     train,
     training_set,
@@ -22,7 +22,7 @@ __all__ = [
     "labelled_features",
     "predictions",
     "save_training_set",
-    "score",
+    "score_by_join",
     "score_in_place",
     "train",
     "training_set",

@@ -120,7 +120,7 @@ def train(
     return Trained(model, share, run_id, registry.register(spark, model, name, run_id))
 
 
-def score(
+def score_by_join(
     spark: SparkSession, layers: Layers, spec: FeatureSpec, registry: Registry, name: str, version: int = 1
 ) -> None:
     """Predict for silver with a registered model and replace gold by bronze joined with the predictions."""
@@ -141,7 +141,7 @@ def score_in_place(
     version: int = 1,
     **options,
 ) -> None:
-    """As :func:`score` for unique keys, from bronze alone and without a shuffle."""
+    """As :func:`score_by_join` for unique keys, from bronze alone and without a shuffle."""
     model = registry.load(spark, name, version)
     bronze = read_table(spark, layers.table("bronze"))
     _replace(gold_in_place(bronze, preparation, model, spec, **options), layers, "gold")

@@ -38,7 +38,7 @@ from strataflow.plans import (
     ingest_csv,
     labelled_features,
     save_training_set,
-    score,
+    score_by_join,
     score_in_place,
     train,
     training_set,
@@ -470,7 +470,7 @@ def job_gold(spark, sf_dir, in_place: bool):
     if in_place:
         score_in_place(spark, layers, DOCUMENTS, preparation, registry, "quality")
     else:
-        score(spark, layers, DOCUMENTS, registry, "quality")
+        score_by_join(spark, layers, DOCUMENTS, registry, "quality")
     return read_table(spark, layers.table("gold"))
 
 

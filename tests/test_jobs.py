@@ -11,7 +11,7 @@ import pytest
 
 from strataflow.functions import decode_json
 from strataflow.operators import LinearClassifier, Registry, fit, load_preparation
-from strataflow.plans import build_features, export_training_set, ingest_csv, save_training_set, score, score_in_place, train
+from strataflow.plans import build_features, export_training_set, ingest_csv, save_training_set, score_by_join, score_in_place, train
 from strataflow.plans import feature_rows, gold_by_join, gold_in_place
 from strataflow.session import METHOD_LIMIT, short_methods
 from strataflow.sources import overwrite, read_csv, read_messages, read_table, scratch_path
@@ -87,7 +87,7 @@ def test_csv_to_gold(spark, database, tmp_path, streamed):
     done = train(spark, training, SPEC, registry, "survival", "trial")
     assert done.version == 1 and 0 <= done.accuracy <= 1
 
-    score(spark, layers, SPEC, registry, "survival")
+    score_by_join(spark, layers, SPEC, registry, "survival")
     gold = read_table(spark, layers.table("gold"))
     assert gold.columns == [*FIELDS, "Survived"]
     assert gold.schema["Survived"].dataType.simpleString() == "bigint"
@@ -106,7 +106,7 @@ def test_duplicate_keys_multiply_in_the_join_only(spark, database):
     registry = Registry(database, scratch_path(spark, "models"))
     registry.create(spark)
     registry.register(spark, model, "m")
-    score(spark, layers, SPEC, registry, "m")
+    score_by_join(spark, layers, SPEC, registry, "m")
     assert spark.table(layers.table("gold")).filter("Id = '1'").count() == 4
     score_in_place(spark, layers, SPEC, preparation, registry, "m")
     assert spark.table(layers.table("gold")).filter("Id = '1'").count() == 2
@@ -256,7 +256,7 @@ def test_stream_adds_to_tables_of_the_batch_jobs(spark, tmp_path, database, fitt
     registry = Registry(database, scratch_path(spark, "models"))
     registry.create(spark)
     registry.register(spark, MODEL, "m")
-    score(spark, layers, SPEC, registry, "m")
+    score_by_join(spark, layers, SPEC, registry, "m")
     before = tables(spark, layers)
     send(tmp_path / "in", "1.json", [message(r, Id=f"9{r[0]}") for r in people(6)])
     run(spark, LayerStream(FIELDS, SPEC, layers, preparation, registry.load(spark, "m")), tmp_path / "in", scratch_path(spark, "c"))
