@@ -54,7 +54,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT p_partkey, p_name, p_size FROM part""",
     "q_json_encode": "SELECT c_custkey::varchar AS c_custkey, c_name, c_mktsegment FROM customer",
     "q_json_messages": "SELECT p_partkey::varchar AS p_partkey, p_name, p_size::varchar AS p_size FROM part",
-    "q_global_view": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'",
+    "q_global_view": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "q_select": "SELECT doc_id, lang, source, n_chars FROM documents",
     "q_drop": "SELECT doc_id, toxic FROM labels",
     "q_target": "SELECT quality FROM labels",
@@ -112,6 +112,9 @@ ORACLE: dict[str, str] = {
     "q_score": f"SELECT doc_id, {QUALITY} AS quality FROM documents",
     "q_accuracy": f"""SELECT avg(CASE WHEN g.quality = l.quality THEN 1.0::double ELSE 0.0::double END) AS accuracy
         FROM ({GOLD}) AS g JOIN labels l ON g.doc_id = l.doc_id""",
+    "q_train_optimum": f"""SELECT feature, 0.0::double AS slope FROM (
+        SELECT DISTINCT 'lang_' || lang AS feature FROM documents
+        UNION ALL VALUES ('n_chars'), ('intercept')) AS f""",
     "q_model_versions": f"SELECT doc_id, {QUALITY} AS quality, 2::bigint AS version FROM documents",
     "q_job_ingest": """SELECT doc_id::varchar AS doc_id, lang, source, n_chars::varchar AS n_chars
         FROM documents""",

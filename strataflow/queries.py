@@ -186,7 +186,7 @@ def json_messages(spark, sf_dir):
 
 def global_view(spark, sf_dir):
     view = publish(load(spark, sf_dir, "orders"), "strataflow_orders")
-    return spark.sql(f"SELECT o_orderkey, o_custkey, o_orderstatus FROM {view} WHERE o_orderstatus = 'F'")
+    return spark.sql(f"SELECT o_orderkey, o_custkey, o_orderstatus FROM {view}")
 
 
 # projections, filters, scalar functions
@@ -394,15 +394,33 @@ def _training_table(spark, sf_dir) -> DataFrame:
     return read_table(spark, table)
 
 
+def _fitted(spark, sf_dir) -> tuple[DataFrame, LinearClassifier]:
+    rows = complete_rows(_training_table(spark, sf_dir))
+    features = [c for c in rows.columns if c not in (*DOCUMENTS.keys, "quality")]
+    return rows, fit_logistic(rows, "quality", features)
+
+
 def trained(spark, sf_dir):
     """Weight of each feature, the intercept under an empty name."""
-    rows = _training_table(spark, sf_dir)
-    features = [c for c in rows.columns if c not in (*DOCUMENTS.keys, "quality")]
-    model = fit_logistic(complete_rows(rows), "quality", features)
+    _, model = _fitted(spark, sf_dir)
     weights = [*zip(model.features, model.weights[0]), ("", model.intercepts[0])]
     return spark.createDataFrame(weights, "feature string, weight double")
 
 
+def optimum(spark, sf_dir):
+    """Slope of the objective in each weight, rounded: zero at the only minimum."""
+    rows, model = _fitted(spark, sf_dir)
+    error = 1.0 / (1.0 + F.exp(-model.margin())) - F.col("quality")
+    penalties = [*model.weights[0], 0.0]
+    inputs = [*map(column, model.features), F.lit(1.0)]
+    slopes = [
+        (F.round(F.sum(error * x) + F.lit(w), 2) + F.lit(0.0)).alias(name)
+        for x, w, name in zip(inputs, penalties, [*model.features, "intercept"])
+    ]
+    sums = rows.withColumn("quality", F.col("quality").cast("double")).agg(*slopes)
+    return sums.unpivot([], sums.columns, "feature", "slope")
+
+
 def _trained_run(spark, sf_dir):
     registry = Registry(new_database(spark), scratch_path(spark, "models"))
     return registry, train(spark, _training_table(spark, sf_dir), DOCUMENTS, registry, "quality", "check")
@@ -559,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_score": scored,
     "q_accuracy": measured,
     "q_train": trained,
+    "q_train_optimum": optimum,
     "q_runs": run_metrics,
     "q_model_versions": model_versions,
     "q_job_ingest": job_ingest,

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
+from plan import plan
 from strataflow.functions import complete_rows, number, sanitize_names
 from strataflow.operators import (
     Preparation,
@@ -226,10 +227,6 @@ def test_vectors_raise_on_unknown_category(spark):
         to_vectors(rows, Preparation({"x": ("a",)}), ["id"]).collect()
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_fitting_reads_only_its_columns_and_pushes_its_filter(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     text = plan(category_pairs(orders, ["o_orderstatus", "o_orderpriority"]))
@@ -251,7 +248,7 @@ def test_expressions_grow_with_the_number_of_columns_only(spark):
         names = [f"x{i}" for i in range(n)]
         rows = spark.createDataFrame([("k", *["1"] * n)], ", ".join(["id string", *[f"{c} string" for c in names]]))
         fitted = Preparation({}, {c: (0.0, 1.0) for c in names})
-        return len(transform(rows, fitted, ["id"])._jdf.queryExecution().optimizedPlan().toString())
+        return len(plan(transform(rows, fitted, ["id"])))
 
     spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
     assert length(40) < 5 * length(10)

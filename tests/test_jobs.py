@@ -9,6 +9,7 @@ import random
 
 import pytest
 
+from plan import plan
 from strataflow.functions import decode_json
 from strataflow.operators import LinearClassifier, Registry, fit, load_preparation
 from strataflow.plans import build_features, export_training_set, ingest_csv, save_training_set, score_by_join, score_in_place, train
@@ -128,9 +129,9 @@ def test_scoring_in_place_builds_no_features(spark):
     weights = tuple(tuple(draw.uniform(-1, 1) for _ in fitted.feature_names) for _ in range(3))
     model = LinearClassifier("y", tuple(fitted.feature_names), (1, 2, 3), weights, (0.1, 0.0, -0.1))
     found = gold_in_place(orders, fitted, model, spec)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "o_orderpriority_1-URGENT" not in plan
-    assert "IsNotNull(o_orderpriority)" in plan and "IsNotNull(o_totalprice)" in plan
+    text = plan(found)
+    assert "Exchange" not in text and "o_orderpriority_1-URGENT" not in text
+    assert "IsNotNull(o_orderpriority)" in text and "IsNotNull(o_totalprice)" in text
     expected = gold_by_join(orders, feature_rows(orders, fitted, spec), model, spec)
     assert values(found) == values(expected) and found.select("y").distinct().count() > 1
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from plan import plan
 from strataflow.operators import joins
 from strataflow.operators.joins import broadcast_hashes, join_column, join_on_keys, may_broadcast, sketch_keys
 
@@ -49,10 +50,10 @@ def test_frequent_keys_are_not_shuffled(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         a, b = frames(spark, HOT_LEFT, FLAT_RIGHT)
-        text = join_on_keys(a, b, ["k"])._jdf.queryExecution().executedPlan().toString()
+        text = plan(join_on_keys(a, b, ["k"]))
         assert "Union" in text and text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
         a, b = frames(spark, FLAT_LEFT, FLAT_RIGHT)
-        text = join_on_keys(a, b, ["k"])._jdf.queryExecution().executedPlan().toString()
+        text = plan(join_on_keys(a, b, ["k"]))
         assert "Union" not in text and "Broadcast" not in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plan import plan
 from strataflow.functions import decode_json, encode_json
 from strataflow.sources import (
     append,
@@ -164,8 +165,7 @@ def test_decode(spark, text, expected):
 
 def test_decode_parses_once(spark):
     rows = spark.createDataFrame([("{}",)], "value string")
-    plan = decode_json(rows, list("abcdefghijk"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Generate json_tuple") == 1
+    assert plan(decode_json(rows, list("abcdefghijk"))).count("Generate json_tuple") == 1
 
 
 def test_encode_has_every_field(spark):
