@@ -93,7 +93,9 @@ def number(name: str, data_type: T.DataType, on_bad: str = "error", shown: str |
     value = raw.cast("double") if fractional else raw.try_cast("double")
     bad = F.abs(value) == F.lit(float("inf"))
     if not fractional:
-        bad = bad | (raw.isNotNull() & value.isNull())
+        # a cast takes "12d" and "12f" for numbers
+        suffix = F.substring(F.trim(raw.cast("string")), -1, 1).isin("d", "D", "f", "F")
+        bad = bad | (raw.isNotNull() & value.isNull()) | suffix
     if on_bad == "null":
         return F.when(~(bad | F.isnan(value)), value)
     message = F.concat(F.lit(f"not a finite number in {shown or name}: "), raw.cast("string"))

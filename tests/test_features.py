@@ -107,7 +107,7 @@ def test_constant_column(spark):
     assert feature_rows(other, fitted, spec).first()["x"] == 2.0
 
 
-@pytest.mark.parametrize("bad", ["x", "inf", "1,5"])
+@pytest.mark.parametrize("bad", ["x", "inf", "1,5", "12d", " 1F ", ""])
 def test_bad_number(spark, bad):
     rows = spark.createDataFrame([("1", "1", "2"), ("2", bad, "3"), ("3", "3", "4")], "id string, x string, y string")
     spec = FeatureSpec(("id",), (), ("x", "y"))

@@ -109,21 +109,22 @@ def test_single_csv_file(spark):
     assert read_csv(spark, path).select(F.input_file_name().alias("f")).distinct().count() == 8
 
 
-def test_batch_written_twice_counts_once(spark, database):
-    table = f"{database}.t"
+@pytest.mark.parametrize("name", FORMATS)
+def test_batch_written_twice_counts_once(spark, database, name):
+    table, fmt = f"{database}.t", TableFormat(name, streamed=True)
     rows = spark.range(10).select("id", F.lit("it's").alias("text"))
-    create_table_like(rows, table, STREAMED)
-    append(spark.createDataFrame([("old", 99)], "text string, id bigint"), table, STREAMED)
+    create_table_like(rows, table, fmt)
+    append(spark.createDataFrame([("old", 99)], "text string, id bigint"), table, fmt)
     for batch_id in (0, 1, 1, 0):
-        write_batch(rows.filter(F.col("id") % 2 == batch_id), table, STREAMED, "s'1", batch_id)
+        write_batch(rows.filter(F.col("id") % 2 == batch_id), table, fmt, "s'1", batch_id)
     assert sorted(r["id"] for r in read_table(spark, table).collect()) == [*range(10), 99]
     # another stream has batches of its own, and a replay with fewer rows leaves nothing behind
-    write_batch(rows, table, STREAMED, "s2", 0)
-    write_batch(rows.limit(0), table, STREAMED, "s'1", 1)
+    write_batch(rows, table, fmt, "s2", 0)
+    write_batch(rows.limit(0), table, fmt, "s'1", 1)
     assert read_table(spark, table).count() == 1 + 5 + 10
     assert read_table(spark, table).columns == ["id", "text"]
     with pytest.raises(ValueError, match="has the columns"):
-        write_batch(rows.drop("text"), table, STREAMED, "s2", 1)
+        write_batch(rows.drop("text"), table, fmt, "s2", 1)
 
 
 def test_overwrite_of_a_streamed_table_replaces_batches(spark, database):
