@@ -104,6 +104,7 @@ ORACLE: dict[str, str] = {
         (SELECT event_id, value, CASE WHEN event_type = 'view' THEN 0 ELSE user_id END AS key FROM events) AS e
         JOIN customer c ON e.key = c.c_custkey""",
     "q_labelled_features": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",
+    "q_labelled_vectors": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",
     "q_training_table": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",
     "q_gold_join": GOLD,
     "q_gold_in_place": GOLD,

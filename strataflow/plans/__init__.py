@@ -10,7 +10,14 @@ from strataflow.plans.jobs import (
     train,
     training_set,
 )
-from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place, labelled_features, predictions
+from strataflow.plans.scoring import (
+    feature_rows,
+    gold_by_join,
+    gold_in_place,
+    labelled_features,
+    labelled_vectors,
+    predictions,
+)
 
 __all__ = [
     "build_features",
@@ -20,6 +27,7 @@ __all__ = [
     "gold_in_place",
     "ingest_csv",
     "labelled_features",
+    "labelled_vectors",
     "predictions",
     "save_training_set",
     "score_by_join",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from strataflow.operators.features import WIDE_LIMIT, Preparation, fit, save_pre
 from strataflow.operators.joins import join_column
 from strataflow.operators.registry import Registry
 from strataflow.operators.split import hash_split
-from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place, labelled_features
+from strataflow.plans.scoring import feature_rows, gold_by_join, gold_in_place, labelled_features, labelled_vectors
 from strataflow.session import short_methods
 from strataflow.sources.catalog import create_database, create_table, create_table_like, overwrite, read_table
 from strataflow.sources.files import export_csv, read_csv
@@ -72,15 +73,18 @@ def save_training_set(
     preparation: Preparation,
     key: str,
     table: str,
+    vectors: bool = False,
     **options,
 ) -> None:
-    """Join bronze with labels and write the features as a table.
+    """Join bronze with labels and write the features as a table, or with ``vectors`` as one sparse column.
 
     Training reads its rows several times, so they should be stored and not a join that is
     run again each time. The table keeps types and is read by column, which CSV is not.
+    Sparse vectors are written and read several times faster than a column per category.
     """
     bronze = read_table(spark, layers.table("bronze"))
-    rows = labelled_features(bronze, labels, preparation, spec, key, **options)
+    make = labelled_vectors if vectors else labelled_features
+    rows = make(bronze, labels, preparation, spec, key, **options)
     with short_methods(spark):
         overwrite(rows, table, layers.fmt)
 
@@ -102,17 +106,24 @@ def train(
     experiment: str = "default",
     test_size: float = 0.2,
     seed: int = 42,
+    features: Sequence[str] | None = None,
+    vector: str | None = None,
     **options,
 ) -> Trained:
     """Fit on complete rows outside the held-out part, log the accuracy on that part, register the model.
 
-    ``rows`` are read several times: a table or files, not a join.
+    ``rows`` are read several times: a table or files, not a join. All columns besides keys
+    and label are features, unless they are in one ``vector`` column: then ``features``
+    names its entries, as in ``preparation.feature_names``.
     """
-    features = [c for c in rows.columns if c not in spec.keys and c != spec.label]
+    if vector and not features:
+        raise ValueError("the features of the vector need names")
+    features = features or [c for c in rows.columns if c not in spec.keys and c != spec.label]
     kept, held_out = hash_split(complete_rows(rows), spec.keys, test_size, seed)
     with short_methods(spark):
-        model = fit_logistic(kept, spec.label, features, **options)
-        share = accuracy(model.predict(held_out, "__class"), spec.label, "__class").first()["accuracy"]
+        model = fit_logistic(kept, spec.label, features, vector, **options)
+        found = model.predict_vectors(held_out, vector, "__class") if vector else model.predict(held_out, "__class")
+        share = accuracy(found, spec.label, "__class").first()["accuracy"]
     if share is None:
         raise ValueError("no rows were held out")
     registry.create(spark)

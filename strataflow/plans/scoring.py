@@ -16,7 +16,7 @@ from strataflow.functions.columns import (
     numbers_present,
 )
 from strataflow.operators.classifier import LinearClassifier
-from strataflow.operators.features import Preparation, coded_rows, place_name, scaled_name, transform
+from strataflow.operators.features import Preparation, coded_rows, place_name, scaled_name, to_vectors, transform
 from strataflow.operators.joins import complete_keys, join_column
 from strataflow.spec import FeatureSpec
 
@@ -40,14 +40,34 @@ def labelled_features(
     Equal to joining silver with the labels, but the raw rows are what is shuffled, which
     are several times narrower than one double per category.
     """
-    rows = bronze.select(*map(column, dict.fromkeys([key, *spec.keys, *spec.categorical, *spec.numeric])))
-    joined = join_column(rows, labels, [key], spec.label, handle_frequent=handle_frequent)
+    joined = _labelled(bronze, labels, spec, key, handle_frequent)
     features = transform(joined, preparation, [*spec.keys, column(spec.label).alias("__label")], **options)
     return features.select(
         *map(column, [*spec.keys, *preparation.feature_names]), F.col("__label").alias(spec.label)
     )
 
 
+def labelled_vectors(
+    bronze: DataFrame,
+    labels: DataFrame,
+    preparation: Preparation,
+    spec: FeatureSpec,
+    key: str,
+    handle_frequent: bool = True,
+    **options,
+) -> DataFrame:
+    """As :func:`labelled_features`, the features as one sparse vector, and only rows that have all of them."""
+    joined = _labelled(bronze, labels, spec, key, handle_frequent)
+    return to_vectors(joined, preparation, [*spec.keys, spec.label], **options)
+
+
+def _labelled(
+    bronze: DataFrame, labels: DataFrame, spec: FeatureSpec, key: str, handle_frequent: bool
+) -> DataFrame:
+    rows = bronze.select(*map(column, dict.fromkeys([key, *spec.keys, *spec.categorical, *spec.numeric])))
+    return join_column(rows, labels, [key], spec.label, handle_frequent=handle_frequent)
+
+
 def predictions(silver: DataFrame, model: LinearClassifier, spec: FeatureSpec) -> DataFrame:
     """Keys and predicted class of the feature rows that have every value."""
     complete = complete_rows(silver)

@@ -37,6 +37,7 @@ from strataflow.plans import (
     gold_in_place,
     ingest_csv,
     labelled_features,
+    labelled_vectors,
     save_training_set,
     score_by_join,
     score_in_place,
@@ -345,6 +346,16 @@ def labelled(spark, sf_dir):
     )
 
 
+def labelled_as_vectors(spark, sf_dir):
+    documents = selected(spark, sf_dir)
+    fitted = fit(documents, DOCUMENTS)
+    rows = labelled_vectors(documents, load(spark, sf_dir, "labels"), fitted, DOCUMENTS, "doc_id")
+    entries = vector_to_array("features")
+    return rows.select(
+        "doc_id", "source", *[entries[i].alias(name) for i, name in enumerate(fitted.feature_names)], "quality"
+    )
+
+
 def gold_join(spark, sf_dir):
     documents = selected(spark, sf_dir)
     table = f"{new_database(spark)}.silver"
@@ -570,6 +581,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_label_join": label_join,
     "q_label_join_frequent": label_join_frequent,
     "q_labelled_features": labelled,
+    "q_labelled_vectors": labelled_as_vectors,
     "q_training_table": _training_table,
     "q_gold_join": gold_join,
     "q_gold_in_place": gold_without_join,

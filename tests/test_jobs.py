@@ -88,6 +88,17 @@ def test_csv_to_gold(spark, database, tmp_path, streamed):
     done = train(spark, training, SPEC, registry, "survival", "trial")
     assert done.version == 1 and 0 <= done.accuracy <= 1
 
+    save_training_set(spark, layers, typed, SPEC, preparation, "Id", f"{database}.vectors", vectors=True)
+    rows = read_table(spark, f"{database}.vectors")
+    assert rows.columns == ["Id", "Name", "Survived", "features"] and rows.count() == stored.dropna().count()
+    with pytest.raises(ValueError, match="names"):
+        train(spark, rows, SPEC, registry, "survival", vector="features")
+    again = train(
+        spark, rows, SPEC, registry, "survival", features=preparation.feature_names, vector="features"
+    )
+    assert again.version == 2 and again.accuracy == done.accuracy
+    assert again.model.weights[0] == pytest.approx(done.model.weights[0], abs=1e-5)
+
     score_by_join(spark, layers, SPEC, registry, "survival")
     gold = read_table(spark, layers.table("gold"))
     assert gold.columns == [*FIELDS, "Survived"]
