@@ -4,7 +4,8 @@ A sort-merge join sends all rows of a key to one task. So both key sets are sket
 in one job over the key columns alone. A side that is small, counted in rows and bytes, is
 broadcast. Otherwise the rows of frequent keys stay where they are and meet the few
 matching rows of the other side by broadcast, after those have been counted as well, and
-all other keys take the plan Spark chooses.
+all other keys are sorted and merged. Spark's own guess of a size is not asked: it comes
+from the size of files, and a table of 0/1 columns is a hundred times larger than its files.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ TRACKED_KEYS = 2_000
 SKETCH_GROUPS = 256
 """Groups in which the sketches of the tasks are merged before the last step."""
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 """What may be broadcast, checked by counting."""
 
@@ -136,9 +137,11 @@ def join_on_keys(
     left = complete_keys(left, keys)
     right = complete_keys(right, keys).select([column(c) for c in [*keys, *extra]])
     parts = [(left, right)]
-    if handle_frequent and same_hashes(left, right, keys):
-        sketched = [complete_keys(df, keys) for df in key_frames or (left, right)]
-        parts = _parts(left, right, keys, *sketch_keys(sketched, keys))
+    if handle_frequent:
+        sketches = sketch_keys([complete_keys(df, keys) for df in key_frames or (left, right)], keys)
+        if not same_hashes(left, right, keys):
+            sketches = [KeySketch(sketch.rows, []) for sketch in sketches]
+        parts = _parts(left, right, keys, *sketches)
     return reduce(DataFrame.unionByName, [_inner(a, b, keys, extra) for a, b in parts])
 
 
@@ -177,7 +180,7 @@ def _parts(
         else:
             parts.append((F.broadcast(left.filter(here)), right.filter(there)))
         left, right = left.filter(~here), right.filter(~there)
-    return [(left, right), *parts]
+    return [(left, right.hint("merge")), *parts]
 
 
 def _inner(left: DataFrame, right: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from plan import plan
 from strataflow.operators import joins
@@ -25,7 +26,7 @@ HOT_RIGHT = FLAT_RIGHT + [(13, f"z{i}") for i in range(300)]
 FLAT_LEFT = [(i, i) for i in range(600)]
 
 
-@pytest.mark.parametrize("limit", [100_000, 400, 10, 0])
+@pytest.mark.parametrize("limit", [1_000_000, 400, 10, 0])
 @pytest.mark.parametrize(
     "left, right",
     [(HOT_LEFT, FLAT_RIGHT), (FLAT_LEFT, HOT_RIGHT), (HOT_LEFT, HOT_RIGHT), (FLAT_LEFT, FLAT_RIGHT), ([], FLAT_RIGHT)],
@@ -47,16 +48,19 @@ def test_same_key_frequent_on_both_sides(spark, monkeypatch):
 
 def test_frequent_keys_are_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        a, b = frames(spark, HOT_LEFT, FLAT_RIGHT)
-        text = plan(join_on_keys(a, b, ["k"]))
-        assert "Union" in text and text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
-        a, b = frames(spark, FLAT_LEFT, FLAT_RIGHT)
-        text = plan(join_on_keys(a, b, ["k"]))
-        assert "Union" not in text and "Broadcast" not in text
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    a, b = frames(spark, HOT_LEFT, FLAT_RIGHT)
+    text = plan(join_on_keys(a, b, ["k"]))
+    assert "Union" in text and text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+
+
+def test_what_was_not_counted_small_is_not_broadcast(spark, monkeypatch):
+    a, b = frames(spark, FLAT_LEFT, FLAT_RIGHT)
+    assert plan(join_on_keys(a, b, ["k"])).count("BroadcastHashJoin") == 1
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    text = plan(join_on_keys(a, b, ["k"]))
+    assert "Union" not in text and "Broadcast" not in text and "SortMergeJoin" in text
+    text = plan(join_on_keys(a, b.withColumn("k", F.col("k").cast("string")), ["k"]))
+    assert "Union" not in text and "Broadcast" not in text and "SortMergeJoin" in text
 
 
 def test_frequent_keys_with_many_partners_stay_in_the_plain_join(spark, monkeypatch):
