@@ -79,7 +79,7 @@ def fit_categories(df: DataFrame, columns: Sequence[str], limit: int = WIDE_LIMI
         return {}
     found = category_pairs(df, columns).limit(limit + 1).collect()
     if len(found) > limit:
-        raise ValueError(f"more than {limit} categories in {tuple(columns)}: raise the limit or use to_vectors")
+        raise ValueError(f"more than {limit} categories in {tuple(columns)}: raise the limit and use to_vectors")
     if not found:
         raise ValueError(f"no row is complete in {tuple(columns)}")
     return {
