@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import warc
+from strataflow.llm import bpe, compression, warc
 from strataflow.sources import scratch_path
 
 
@@ -20,8 +20,18 @@ def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.payloads(warc.read_warc(spark, folder, with_payload=False)).drop("record_id")
 
 
+def compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.compression_bands(_load(spark, sf_dir, "documents"))
+
+
+def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(_load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
+    "op2_compression_bands": compression_bands,
+    "op5_bpe": bpe_tokens,
 }
 
 ORACLE: dict[str, str] = {}
