@@ -147,21 +147,26 @@ def order_minhash(labels: np.ndarray, bounds: np.ndarray, count: int, length: in
     if not len(filled):
         return out
     begin = bounds[:-1][filled]
-    own = np.repeat(np.arange(len(filled)), np.diff(bounds)[filled])
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    # a number holds the upper bits of a random hash and, below them, the place: the least one tells its place
+    mask = np.uint64((1 << max(len(labels) - 1, 1).bit_length()) - 1)
+    index = np.arange(len(labels), dtype=np.uint64)
     salts = mix(np.arange(1, count + 1, dtype=np.uint64) * _ODD + np.uint64(seed))
+    value = np.empty_like(labels)
+    shifted = np.empty_like(labels)
     for c in range(count):
-        value = (labels ^ salts[c]) * np.uint64(0xD6E8FEB86659FD93)
-        value ^= value >> np.uint64(32)
+        np.bitwise_xor(labels, salts[c], out=value)
+        np.multiply(value, np.uint64(0xD6E8FEB86659FD93), out=value)
+        np.right_shift(value, np.uint64(32), out=shifted)
+        np.bitwise_xor(value, shifted, out=value)
+        np.bitwise_and(value, ~mask, out=value)
+        np.bitwise_or(value, index, out=value)
         places = np.full((len(filled), length), len(labels), dtype=np.int64)
         for j in range(length):
             least = np.minimum.reduceat(value, begin)
-            hit = np.flatnonzero(value == least[own])
-            hit = hit[value[hit] != top]
-            rows = own[hit]
-            fresh = np.concatenate(([True], rows[1:] != rows[:-1])) if len(rows) else np.zeros(0, bool)
-            places[rows[fresh], j] = hit[fresh]
-            value[hit[fresh]] = top
+            have = least != top
+            places[have, j] = (least[have] & mask).astype(np.int64)
+            value[places[have, j]] = top
         places.sort(axis=1)
         total = np.full(len(filled), salts[c], dtype=np.uint64)
         for j in range(length):

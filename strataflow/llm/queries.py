@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, compression, warc
+from strataflow.llm import bpe, compression, fingerprints, warc
 from strataflow.sources import scratch_path
 
 
@@ -28,10 +28,15 @@ def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_load(spark, sf_dir, "documents"))
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(_load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
     "op2_compression_bands": compression_bands,
     "op5_bpe": bpe_tokens,
+    "op9_fingerprint": document_fingerprints,
 }
 
 ORACLE: dict[str, str] = {}
