@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, compression, fingerprints, warc
+from strataflow.llm import bpe, compression, fingerprints, language, warc
 from strataflow.sources import scratch_path
 
 
@@ -32,11 +32,16 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(_load(spark, sf_dir, "documents"))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
     "op2_compression_bands": compression_bands,
     "op5_bpe": bpe_tokens,
     "op9_fingerprint": document_fingerprints,
+    "op10_language_id": languages,
 }
 
 ORACLE: dict[str, str] = {}
