@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, compression, fingerprints, language, warc
+from strataflow.llm import bpe, compression, fingerprints, language, licenses, warc
 from strataflow.sources import scratch_path
 
 
@@ -36,10 +36,15 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_load(spark, sf_dir, "documents"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
     "op2_compression_bands": compression_bands,
     "op5_bpe": bpe_tokens,
+    "op6_license_scan": license_scan,
     "op9_fingerprint": document_fingerprints,
     "op10_language_id": languages,
 }
