@@ -39,7 +39,8 @@ BASE = (
 LICENSES = (
     ("apache-1.1", "apache", r"apache(?: software)? licen[sc]e(?: version)? v?1 1", "apache 1 1", "apache org licenses license 1 1"),
     ("apache-2.0", "apache", r"apache(?: software)? licen[sc]e(?: version)? v?2(?: 0)?", "apache 2 0", "apache org licenses license 2 0"),
-    ("mit", "mit", r"(?:mit|expat)(?: x11)? licen[sc]e", "mit", "opensource org licenses? mit"),
+    ("mit", "mit", r"mit(?: x11| expat)? licen[sc]e", "mit", "opensource org licenses? mit"),
+    ("mit", "expat", r"expat licen[sc]e", "expat", "directory fsf org wiki license expat"),
     ("mit-0", "mit", r"mit no attribution(?: licen[sc]e)?", "mit 0", "opensource org licenses? mit 0"),
     ("x11", "x11", r"x11 licen[sc]e", "x11", "xfree86 org 3 3 6 copyright2"),
     ("gpl-1.0", "gnu", r"gnu general public licen[sc]e(?: gpl)?(?: as published by the free software foundation either)? v(?:ersion )?1(?: 0)?", "gpl 1 0(?: only| or later)?", "gnu org licenses old licenses gpl 1 0"),
