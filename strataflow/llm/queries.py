@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, compression, fingerprints, language, licenses, warc
+from strataflow.llm import bpe, compression, fingerprints, language, licenses, repeats, warc
 from strataflow.sources import scratch_path
 
 
@@ -40,9 +40,14 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_load(spark, sf_dir, "documents"))
 
 
+def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_load(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
     "op2_compression_bands": compression_bands,
+    "op3_suffix_dedup": without_repeats,
     "op5_bpe": bpe_tokens,
     "op6_license_scan": license_scan,
     "op9_fingerprint": document_fingerprints,
