@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, compression, fingerprints, language, licenses, repeats, warc
+from strataflow.llm import bpe, compression, fingerprints, language, licenses, mixing, repeats, warc
 from strataflow.sources import scratch_path
 
 
@@ -44,14 +44,21 @@ def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_load(spark, sf_dir, "documents")).drop("spans")
 
 
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(_load(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
     "op2_compression_bands": compression_bands,
     "op3_suffix_dedup": without_repeats,
+    "op4_mix_sources": mixed_sources,
     "op5_bpe": bpe_tokens,
     "op6_license_scan": license_scan,
     "op9_fingerprint": document_fingerprints,
     "op10_language_id": languages,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_mix_sources": mixing.ORACLE_SQL,
+}
