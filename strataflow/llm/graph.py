@@ -1,8 +1,10 @@
-"""Connected components by alternating large and small stars; each step is a grouping and a join, and is stored."""
+"""Connected components, and components of what shares buckets without comparing all with all."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,7 +15,9 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
-    """(node, root) for all nodes of ``edges`` (a, b) but the roots; the root is the least node of a component.
+    """(node, root) for all nodes of ``edges`` (a, b) but the roots, by alternating large and small stars.
+
+    The root is the least node of a component.
 
     Every step keeps at most as many edges as there were. Steps go on until the edges no longer change, which takes
     about the logarithm of the longest path. A node with many edges is no group: its least neighbour is an aggregate
@@ -36,3 +40,67 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         if now == before:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
+
+
+#: Pairs left per member up to which all are compared at once, and rounds with one leader before that in any case.
+PAIRS_PER_MEMBER = 4
+ROUNDS = 2
+
+
+def linked(
+    marks: DataFrame,
+    about: list[str],
+    like: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    verify: Callable[[DataFrame], DataFrame],
+    folder: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Links and components of members (bucket, member, and the columns ``about``) that share a bucket.
+
+    ``like`` tells from the columns of two members whether they can be linked, ``verify`` takes pairs (a, b) and
+    returns those that are, with other columns or not. Returns the links and (node, root).
+
+    First each member is compared with the one of its bucket that has most company over all its buckets, as an
+    original has among its copies. Members of one component need no comparison any more. While many pairs of different
+    components are left the next member leads; then all pairs left are compared, so no component is missed.
+    """
+    company = marks.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
+    ranks = marks.join(company, "bucket").groupBy("member").agg(F.sum("company").alias("rank"))
+    marks = stored(marks.join(company.select("bucket"), "bucket", "left_semi").join(ranks, "member"), f"{folder}/marks-0")
+
+    def distinct_pairs(pairs: DataFrame, a: Callable[[str], Column], b: Callable[[str], Column]) -> DataFrame:
+        least, greatest = F.least(a("member"), b("member")), F.greatest(a("member"), b("member"))
+        return pairs.where(like(a, b)).select(least.alias("a"), greatest.alias("b")).distinct()
+
+    def with_leader(rows: DataFrame) -> DataFrame:
+        leaders = rows.groupBy("bucket").agg(F.max(F.struct("rank", "member", "root", *about)).alias("leader"))
+        pairs = rows.join(leaders, "bucket").where("root <> leader.root")
+        return distinct_pairs(pairs, F.col, lambda c: F.col(f"leader.{c}"))
+
+    def all_pairs(rows: DataFrame) -> DataFrame:
+        left = rows.select("bucket", F.struct("member", "root", *about).alias("left"))
+        pairs = left.join(rows, "bucket").where("left.member < member and left.root <> root")
+        return distinct_pairs(pairs, F.col, lambda c: F.col(f"left.{c}"))
+
+    links = stored(verify(with_leader(marks.withColumn("root", F.col("member")))), f"{folder}/links-0")
+    turn = 0
+    while True:
+        roots = components(links.select("a", "b"), f"{folder}/roots-{turn}")
+        rows = marks.join(roots.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("root", "member"))
+        mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        rest = rows.join(mixed.select("bucket"), "bucket", "left_semi")
+        sizes = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+        pairs = (F.col("n") * F.col("n") - F.col("same")) / 2
+        sizes = sizes.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+        left = sizes.agg(F.sum(pairs).alias("pairs"), F.sum("n").alias("members")).collect()[0]
+        if not left.pairs:
+            return links, roots
+        turn += 1
+        if left.pairs <= PAIRS_PER_MEMBER * left.members or turn > ROUNDS:
+            links = stored(links.union(verify(all_pairs(rest))), f"{folder}/links-{turn}")
+            return links, components(links.select("a", "b"), f"{folder}/roots-{turn}")
+        more = verify(with_leader(rest))
+        leaders = rest.groupBy("bucket").agg(F.max(F.struct("rank", "member")).alias("leader"))
+        links = stored(links.union(more), f"{folder}/links-{turn}")
+        marks = stored(
+            marks.join(leaders, "bucket", "left").where("leader is null or leader.member <> member").drop("leader"), f"{folder}/marks-{turn}"
+        )

@@ -309,9 +309,10 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str], text_
     """
     kinds = {f.name: f.dataType for f in docs.select(*(F.col(f"`{c}`") for c in keep)).schema}
     value = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text_column}`").cast("binary"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text_column}`").cast("binary").alias("body"))
     schema = ", ".join([*(f"c{i} {kinds[c].simpleString()}" for i, c in enumerate(keep)), OUT])
-    found = rows.mapInArrow(lambda batches: _predict(batches, value, len(keep)), schema)
+    width = len(keep)
+    found = rows.mapInArrow(lambda batches: _predict(batches, value, width), schema)
     return found.withColumnsRenamed({f"c{i}": c for i, c in enumerate(keep)})
 
 
@@ -325,3 +326,13 @@ def identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         F.col(id_column).alias("doc_id"), held_out(id_column).alias("held_out"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
     )
     return predict(rows, train(rows, "doc_id", "text", "lang"), ["doc_id", "held_out"])
+
+
+def accepted(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not rejected."""
+    columns = docs.columns
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
+    place = {c: f"c{columns.index(c)}" for c in (id_column, text_column, lang_column)}
+    model = train(rows, place[id_column], place[text_column], place[lang_column])
+    found = predict(rows, model, rows.columns, place[text_column]).where("not rejected")
+    return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))

@@ -4,9 +4,7 @@ Texts are sequences of five-word shingles. ``SKETCHES`` times the ``LENGTH`` lea
 order and hashed: texts that share such a number are candidates. Two texts are near when an alignment of their
 shingles matches at least ``SIMILARITY`` of all that either has, in order; classes are the connected components.
 
-Candidates of a bucket are not compared all with all. First each is compared with the member that has most company
-over all its buckets, as an original has among its copies. Pairs in one component need no comparison any more. While many pairs of
-different components are left the next member is the one to compare with; then all pairs left are compared.
+Candidates of a bucket are not compared all with all (see ``graph.linked``).
 """
 
 from __future__ import annotations
@@ -19,16 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.arrays import occurrence_labels, order_minhash, shingles, slices, word_hashes
-from strataflow.llm.graph import components, stored
+from strataflow.llm.graph import linked, stored
 from strataflow.sources import scratch_path
 
 WORDS = 5
 LENGTH = 3
 SKETCHES = 16
 SIMILARITY = 0.8
-#: Pairs left per candidate text up to which all are compared at once, and rounds with one member before that in any case.
-PAIRS_PER_TEXT = 4
-ROUNDS = 2
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> float:
@@ -135,73 +130,28 @@ class NearDuplicates:
 
     def _find(self) -> None:
         marks = self.members.where("n_grams > 0").select("text", "n_grams", F.explode("sketches").alias("bucket")).distinct()
-        shared = marks.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
-        marks = self._stored(marks.join(shared, "bucket"), "marks")
-        company = marks.groupBy("text").agg(F.sum("company").alias("rank"))
-        marks = self._stored(marks.join(company, "text").select("bucket", "text", "n_grams", "rank"), "ranked")
+        shared = marks.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).where("company > 1").select("bucket")
+        marks = self._stored(marks.join(shared, "bucket", "left_semi").withColumnRenamed("text", "member"), "marks")
 
-        one = self.members.groupBy("text").agg(F.min("key").alias("key")).join(company, "text").select("text", "key")
+        candidates = marks.select(F.col("member").alias("text")).distinct()
+        one = self.members.groupBy("text").agg(F.min("key").alias("key")).join(candidates, "text", "left_semi")
         bodies = self.rows.join(one, ["text", "key"], "left_semi").select("text", "body")
-        words = self.words
+        words, similarity = self.words, self.similarity
         grams = bodies.mapInArrow(lambda b: _sequences(b, words), "text bigint, grams binary")
-        self.grams = self._stored(grams, "grams").dropDuplicates(["text"])
-
-        links = self._verified(self._with_leader(marks.withColumn("root", F.col("text"))), "links-0")
-        self.links, turn = links, 0
-        while True:
-            roots = components(self.links.select("a", "b"), f"{self.folder}/roots-{turn}").withColumnRenamed("node", "text")
-            rest = self._unsettled(marks, roots)
-            counts = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
-            pairs = counts.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")).agg(
-                F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("texts")
-            )
-            left = pairs.collect()[0]
-            if not left.pairs:
-                break
-            turn += 1
-            if left.pairs <= PAIRS_PER_TEXT * left.texts or turn > ROUNDS:
-                more = self._verified(self._all_pairs(rest), f"links-{turn}")
-                self.links = self._stored(self.links.union(more), f"all-{turn}")
-                roots = components(self.links.select("a", "b"), f"{self.folder}/roots-{turn}").withColumnRenamed("node", "text")
-                break
-            more = self._verified(self._with_leader(rest), f"links-{turn}")
-            leaders = rest.groupBy("bucket").agg(F.max(F.struct("rank", "text")).alias("leader"))
-            marks = self._stored(
-                marks.join(leaders, "bucket", "left").where("leader is null or leader.text <> text").drop("leader"), f"marks-{turn}"
-            )
-            self.links = self._stored(self.links.union(more), f"all-{turn}")
-        self.roots = roots
-
-    @staticmethod
-    def _unsettled(marks: DataFrame, roots: DataFrame) -> DataFrame:
-        """Members of buckets that hold more than one component."""
-        rows = marks.join(roots, "text", "left").withColumn("root", F.coalesce("root", "text"))
-        mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-        return rows.join(mixed, "bucket", "left_semi")
-
-    def _with_leader(self, rows: DataFrame) -> DataFrame:
-        leader = F.max(F.struct("rank", "text", "n_grams", "root"))
-        leaders = rows.groupBy("bucket").agg(leader.alias("leader"))
-        pairs = rows.join(leaders, "bucket").where("root <> leader.root")
-        return self._of_like_size(pairs, F.col("text"), F.col("n_grams"), F.col("leader.text"), F.col("leader.n_grams"))
-
-    def _all_pairs(self, rows: DataFrame) -> DataFrame:
-        left = rows.select("bucket", *(F.col(c).alias(f"l_{c}") for c in ("text", "n_grams", "root")))
-        pairs = left.join(rows, "bucket").where("l_text < text and l_root <> root")
-        return self._of_like_size(pairs, F.col("text"), F.col("n_grams"), F.col("l_text"), F.col("l_n_grams"))
-
-    def _of_like_size(self, pairs: DataFrame, a, n_a, b, n_b) -> DataFrame:
-        """Distinct pairs whose sizes allow the similarity at all."""
-        fits = F.least(n_a, n_b) >= F.floor(self.similarity * F.greatest(n_a, n_b))
-        return pairs.where(fits).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-
-    def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        left = self.grams.select(F.col("text").alias("a"), F.col("grams").alias("grams_a"))
-        right = self.grams.select(F.col("text").alias("b"), F.col("grams").alias("grams_b"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
-        similarity = self.similarity
-        near = both.mapInArrow(lambda b: _verify(b, similarity), "a bigint, b bigint, similarity double")
-        return self._stored(near, name)
+        grams = self._stored(grams, "grams").dropDuplicates(["text"])
+
+        def like(a, b):
+            """Whether the sizes allow the similarity at all."""
+            return F.least(a("n_grams"), b("n_grams")) >= F.floor(similarity * F.greatest(a("n_grams"), b("n_grams")))
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            left = grams.select(F.col("text").alias("a"), F.col("grams").alias("grams_a"))
+            right = grams.select(F.col("text").alias("b"), F.col("grams").alias("grams_b"))
+            both = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
+            return both.mapInArrow(lambda b: _verify(b, similarity), "a bigint, b bigint, similarity double")
+
+        self.links, roots = linked(marks, ["n_grams"], like, verify, f"{self.folder}/links")
+        self.roots = roots.withColumnRenamed("node", "text")
 
     def classes(self) -> DataFrame:
         """One row per row of the table: doc_id, class_id (the least id in it), class_size, n_links of its text, whether it is first.
@@ -209,8 +159,8 @@ class NearDuplicates:
         Rows with equal texts are in one class, also texts without words. Null ids are in classes like others, but name a
         class only if it has no other id.
         """
-        linked = self.links.select("a", "b").distinct()
-        degree = linked.select(F.explode(F.array("a", "b")).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n_links"))
+        pairs = self.links.select("a", "b").distinct()
+        degree = pairs.select(F.explode(F.array("a", "b")).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n_links"))
         rows = self.members.select("text", "key", "doc_id").join(self.roots, "text", "left").join(degree, "text", "left")
         rows = rows.withColumn("root", F.coalesce("root", "text"))
         classes = self._stored(rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, compression, fingerprints, language, licenses, mixing, near, repeats, warc
+from strataflow.llm import bpe, compression, fingerprints, language, licenses, lines, mixing, near, repeats, warc
 from strataflow.sources import scratch_path
 
 
@@ -52,6 +52,10 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_load(spark, sf_dir, "documents"))
 
 
+def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_counts(_load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
     "op2_compression_bands": compression_bands,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": mixed_sources,
     "op5_bpe": bpe_tokens,
     "op6_license_scan": license_scan,
+    "op7_fuzzy_lines": fuzzy_lines,
     "op8_order_minhash": near_duplicates,
     "op9_fingerprint": document_fingerprints,
     "op10_language_id": languages,
