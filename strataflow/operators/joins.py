@@ -2,10 +2,13 @@
 
 A sort-merge join sends all rows of a key to one task. So both key sets are sketched first,
 in one job over the key columns alone. A side that is small, counted in rows and bytes, is
-broadcast. Otherwise the rows of frequent keys stay where they are and meet the few
-matching rows of the other side by broadcast, after those have been counted as well, and
-all other keys are sorted and merged. Spark's own guess of a size is not asked: it comes
-from the size of files, and a table of 0/1 columns is a hundred times larger than its files.
+broadcast. Otherwise both are sorted and merged, once: the rows of a frequent key are dealt
+out over ``SALTS`` parts of that key, and the few matching rows of the other side, counted
+as well, go to each part. Spark's own guess of a size is not asked: it comes from the size
+of files, and a table of 0/1 columns is a hundred times larger than its files.
+
+Sketches and counts are Spark jobs that run while the frame is built. The sizes hold for the
+rows counted then; build the frame anew when a table has grown.
 """
 
 from __future__ import annotations
@@ -31,12 +34,47 @@ SKETCH_GROUPS = 256
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-"""What may be broadcast, checked by counting."""
-
-
-def key_hash(schema: T.StructType, keys: Sequence[str]) -> Column:
-    whole = {k for k in keys if isinstance(schema[k].dataType, T.IntegralType)}
-    return F.xxhash64(*[column(k).cast("bigint") if k in whole else column(k) for k in keys])
+"""What may be broadcast, checked by counting, where a join is not told otherwise."""
+
+SALTS = 64
+"""Parts of a frequent key, and how often the few rows that match it are repeated."""
+
+
+def key_hash(keys: Sequence[str], types: Sequence[T.DataType] | None = None) -> Column:
+    """Hash of the keys, as values of ``types`` where given."""
+    return F.xxhash64(*[column(k).cast(t) if t else column(k) for k, t in zip(keys, types or [None] * len(keys))])
+
+
+def common_type(a: T.DataType, b: T.DataType, ansi: bool) -> T.DataType | None:
+    """A type in which values hash equally exactly when a join finds them equal, or None."""
+    if any(isinstance(t, T.StringType) and t != T.StringType() for t in (a, b)):
+        return None  # a collation calls texts equal that differ in bytes
+    plain = (T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return T.LongType()
+    if a == b:
+        return a if isinstance(a, (*plain, T.FractionalType)) else None
+    pair = {type(a), type(b)}
+    if T.StringType in pair and ansi and any(isinstance(t, T.IntegralType) for t in (a, b)):
+        return T.LongType()  # text is read as a number by the join as well
+    if pair <= {T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    if pair <= {T.ByteType, T.ShortType, T.IntegerType, T.DoubleType}:
+        return T.DoubleType()
+    if T.DecimalType in pair and all(isinstance(t, (T.DecimalType, T.IntegralType)) for t in (a, b)):
+        digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+        shapes = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else (digits[type(t)], 0) for t in (a, b)]
+        scale = max(s for _, s in shapes)
+        whole = max(p - s for p, s in shapes)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    return None
+
+
+def common_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[T.DataType] | None:
+    """A common type for each key, or None if equal keys may hash differently."""
+    ansi = left.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
+    types = [common_type(left.schema[k].dataType, right.schema[k].dataType, ansi) for k in keys]
+    return None if None in types else types
 
 
 @dataclass(frozen=True)
@@ -47,7 +85,12 @@ class KeySketch:
     frequent: list[int]
 
 
-def sketch_keys(frames: Sequence[DataFrame], keys: Sequence[str], share: float = FREQUENT_SHARE) -> list[KeySketch]:
+def sketch_keys(
+    frames: Sequence[DataFrame],
+    keys: Sequence[str],
+    share: float = FREQUENT_SHARE,
+    types: Sequence[T.DataType] | None = None,
+) -> list[KeySketch]:
     """One job that reads only the key columns and shuffles only sketches of fixed size, merged in two steps.
 
     Two keys with equal hashes are routed alike, which changes no result.
@@ -56,7 +99,7 @@ def sketch_keys(frames: Sequence[DataFrame], keys: Sequence[str], share: float =
     tracked = max(TRACKED_KEYS, most)
     group = F.spark_partition_id() % SKETCH_GROUPS
     sketches = [
-        df.select(key_hash(df.schema, keys).alias("h"), group.alias("group"))
+        df.select(key_hash(keys, types).alias("h"), group.alias("group"))
         .groupBy("group")
         .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count("*").alias("n"))
         .groupBy(F.lit(i).alias("frame"))
@@ -84,39 +127,33 @@ def row_bytes(schema: T.StructType) -> Column:
     return size
 
 
-def may_broadcast(df: DataFrame) -> bool:
+def may_broadcast(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
     """Count rows and bytes of a frame that is expected to be small."""
+    rows = BROADCAST_ROWS if rows is None else rows
+    size = BROADCAST_BYTES if size is None else size
     found = df.agg(F.count("*").alias("n"), F.sum(row_bytes(df.schema)).alias("bytes")).first()
-    return found["n"] <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
+    return found["n"] <= rows and (found["bytes"] or 0) <= size
 
 
-def broadcast_hashes(df: DataFrame, keys: Sequence[str], hashes: list[int]) -> list[int]:
-    """As many of the key hashes as have rows that may be broadcast together, those with few rows first."""
-    h = key_hash(df.schema, keys)
+def repeatable_hashes(
+    df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType], hashes: list[int], rows: int, size: int
+) -> list[int]:
+    """As many of the key hashes as have rows that may be repeated ``SALTS`` times, those with few rows first."""
+    h = key_hash(keys, types)
     matching = df.filter(h.isin(hashes))
     sizes = matching.groupBy(h.alias("h")).agg(F.count("*").alias("n"), F.sum(row_bytes(df.schema)).alias("bytes"))
     # one row per frequent key
     found = {row["h"]: (row["n"], row["bytes"]) for row in sizes.collect()}
-    chosen, rows, size = [], 0, 0
+    chosen, count, length = [], 0, 0
     for value in sorted(hashes, key=lambda k: found.get(k, (0, 0))):
-        n, length = found.get(value, (0, 0))
-        rows, size = rows + n, size + length
-        if rows > BROADCAST_ROWS or size > BROADCAST_BYTES:
+        n, width = found.get(value, (0, 0))
+        count, length = count + n, length + width
+        if count > rows or length > size:
             break
         chosen.append(value)
     return chosen
 
 
-def same_hashes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether equal keys hash equally on both sides."""
-    for key in keys:
-        a, b = left.schema[key].dataType, right.schema[key].dataType
-        both_whole = isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)
-        if not both_whole and (a != b or isinstance(a, T.FractionalType)):
-            return False
-    return True
-
-
 def join_on_keys(
     left: DataFrame,
     right: DataFrame,
@@ -124,25 +161,46 @@ def join_on_keys(
     columns: Sequence[str] | None = None,
     handle_frequent: bool = True,
     key_frames: tuple[DataFrame, DataFrame] | None = None,
+    broadcast_rows: int | None = None,
+    broadcast_bytes: int | None = None,
+    sketches: tuple[KeySketch, KeySketch] | None = None,
 ) -> DataFrame:
     """All columns of ``left`` and ``columns`` of ``right`` for equal, non-null keys.
 
     SQL inner join: a key that occurs m times on the left and n times on the right gives
     m * n rows, so one of the sides should have each key once. ``handle_frequent`` reads
     the key columns of both sides once more beforehand, from ``key_frames`` where those
-    hold the keys (and maybe more) at less cost.
+    hold the keys (and maybe more) at less cost, unless ``sketches`` of them are given. Keys
+    with a collation, and pairs of types without a common one, are joined without salt.
     """
     keys = list(keys)
+    rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    size = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     extra = list(columns) if columns is not None else [c for c in right.columns if c not in keys]
     left = complete_keys(left, keys)
     right = complete_keys(right, keys).select([column(c) for c in [*keys, *extra]])
-    parts = [(left, right)]
-    if handle_frequent:
-        sketches = sketch_keys([complete_keys(df, keys) for df in key_frames or (left, right)], keys)
-        if not same_hashes(left, right, keys):
-            sketches = [KeySketch(sketch.rows, []) for sketch in sketches]
-        parts = _parts(left, right, keys, *sketches)
-    return reduce(DataFrame.unionByName, [_inner(a, b, keys, extra) for a, b in parts])
+    if not handle_frequent:
+        return _inner(left, right, keys, extra)
+    types = common_types(left, right, keys)
+    if sketches is None:
+        sketches = tuple(sketch_keys([complete_keys(df, keys) for df in key_frames or (left, right)], keys, types=types))
+    if sketches[1].rows <= rows and may_broadcast(right, rows, size):
+        return _inner(left, F.broadcast(right), keys, extra)
+    if sketches[0].rows <= rows and may_broadcast(left, rows, size):
+        return _inner(F.broadcast(left), right, keys, extra)
+    if types is None or not (sketches[0].frequent or sketches[1].frequent):
+        return _inner(left, right.hint("merge"), keys, extra)
+    # a key with many rows on both sides is left to the join's own handling of skew
+    hot_left = repeatable_hashes(right, keys, types, sketches[0].frequent, rows, size) if sketches[0].frequent else []
+    of_right = [h for h in sketches[1].frequent if h not in hot_left]
+    hot_right = repeatable_hashes(left, keys, types, of_right, rows, size) if of_right else []
+    if not hot_left and not hot_right:
+        return _inner(left, right.hint("merge"), keys, extra)
+    salt = "__salt"
+    while salt in left.columns or salt in right.columns:
+        salt += "_"
+    salted = _salted(left, keys, types, hot_left, hot_right, salt), _salted(right, keys, types, hot_right, hot_left, salt)
+    return _inner(salted[0], salted[1].hint("merge"), keys, extra, salt)
 
 
 def join_column(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str, **options) -> DataFrame:
@@ -158,34 +216,31 @@ def complete_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(condition)
 
 
-def _parts(
-    left: DataFrame, right: DataFrame, keys: list[str], left_keys: KeySketch, right_keys: KeySketch
-) -> list[tuple[DataFrame, DataFrame]]:
-    """Pairs of frames that together join to the whole."""
-    if right_keys.rows <= BROADCAST_ROWS and may_broadcast(right):
-        return [(left, F.broadcast(right))]
-    if left_keys.rows <= BROADCAST_ROWS and may_broadcast(left):
-        return [(F.broadcast(left), right)]
-    parts = []
-    for big_is_left, sketch in ((True, left_keys), (False, right_keys)):
-        if not sketch.frequent:
-            continue
-        # a key with many rows on both sides is left to the join's own handling of skew
-        hashes = broadcast_hashes(right if big_is_left else left, keys, sketch.frequent)
-        if not hashes:
-            continue
-        here, there = (key_hash(df.schema, keys).isin(hashes) for df in (left, right))
-        if big_is_left:
-            parts.append((left.filter(here), F.broadcast(right.filter(there))))
-        else:
-            parts.append((F.broadcast(left.filter(here)), right.filter(there)))
-        left, right = left.filter(~here), right.filter(~there)
-    return [(left, right.hint("merge")), *parts]
-
-
-def _inner(left: DataFrame, right: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
+def _salted(
+    df: DataFrame, keys: list[str], types: Sequence[T.DataType], dealt: list[int], repeated: list[int], salt: str
+) -> DataFrame:
+    """Rows of ``dealt`` keys with a salt by their content, those of ``repeated`` keys with each salt, others with 0."""
+    h = key_hash(keys, types)
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    # only what has an order can be hashed; maps count as text
+    content = [column(f.name) if _hashable(f.dataType) else F.to_json(F.struct(column(f.name))) for f in df.schema]
+    own = F.array(F.pmod(F.xxhash64(*content), F.lit(SALTS)).cast("int"))
+    salts = F.when(h.isin(repeated), every).when(h.isin(dealt), own).otherwise(F.array(F.lit(0)))
+    return df.withColumn(salt, F.explode(salts))
+
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _inner(left: DataFrame, right: DataFrame, keys: list[str], extra: list[str], salt: str | None = None) -> DataFrame:
     a, b = left.alias("a"), right.alias("b")
     condition = F.lit(True)
-    for key in map(quoted, keys):
+    for key in map(quoted, [*keys, *([salt] if salt else [])]):
         condition = condition & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    return a.join(b, condition, "inner").select("a.*", *[F.col(f"b.{quoted(c)}") for c in extra])
+    kept = [F.col(f"a.{quoted(c)}") for c in left.columns if c != salt]
+    return a.join(b, condition, "inner").select(*kept, *[F.col(f"b.{quoted(c)}") for c in extra])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plan import plan
 from strataflow.operators import joins
-from strataflow.operators.joins import broadcast_hashes, join_column, join_on_keys, may_broadcast, sketch_keys
+from strataflow.operators.joins import common_type, join_column, join_on_keys, may_broadcast, repeatable_hashes, sketch_keys
 
 
 def brute_force(left, right):
@@ -46,11 +46,61 @@ def test_same_key_frequent_on_both_sides(spark, monkeypatch):
     assert Counter(tuple(r) for r in join_on_keys(a, b, ["k"]).collect()) == brute_force(left, right)
 
 
-def test_frequent_keys_are_not_shuffled(spark, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+def test_frequent_keys_are_salted_in_one_join(spark):
     a, b = frames(spark, HOT_LEFT, FLAT_RIGHT)
-    text = plan(join_on_keys(a, b, ["k"]))
-    assert "Union" in text and text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+    text = plan(join_on_keys(a, b, ["k"], broadcast_rows=10))
+    assert text.count("SortMergeJoin") == 1 and text.count("Scan ExistingRDD") == 2
+    assert "__salt" in text and "Broadcast" not in text and "Union" not in text
+
+
+@pytest.mark.parametrize("limit", [400, 10, 0])
+@pytest.mark.parametrize(
+    "left_type, right_type",
+    [
+        ("string collate UTF8_LCASE", "string collate UTF8_LCASE"), ("string", "bigint"), ("int", "bigint"), ("int", "string"),
+        ("decimal(12,2)", "decimal(12,2)"), ("decimal(10,1)", "decimal(12,3)"), ("decimal(8,0)", "bigint"), ("double", "double"),
+        ("float", "double"), ("int", "double"), ("date", "date"), ("binary", "binary"),
+    ],
+)
+def test_hot_keys_of_any_type_join_like_plain_ones(spark, left_type, right_type, limit):
+    def typed(frame, kind):
+        if kind == "date":
+            return frame.selectExpr("date_add(date'2000-01-01', cast(k as int)) AS k", "* except (k)")
+        text = kind in ("binary",)
+        return frame.selectExpr(f"cast({'cast(k as string)' if text else 'k'} as {kind}) AS k", "* except (k)")
+
+    a, b = frames(spark, HOT_LEFT, HOT_RIGHT)
+    a, b = typed(a, left_type), typed(b, right_type)
+    if "collate" in left_type:
+        a = a.withColumn("k", F.concat(F.lit("K"), "k").cast(left_type))
+        b = b.withColumn("k", F.concat(F.lit("k"), "k").cast(right_type))
+    found = Counter((r["x"], r["y"]) for r in join_on_keys(a, b, ["k"], broadcast_rows=limit).collect())
+    expected = Counter((r["x"], r["y"]) for r in a.join(b, a["k"] == b["k"]).collect())
+    assert expected and found == expected
+
+
+def test_zeros_and_nans_of_hot_keys_meet(spark):
+    left = spark.createDataFrame([(v, i) for i in range(60) for v in (0.0, -0.0, float("nan"))], "k double, x int")
+    right = spark.createDataFrame([(-0.0, "z"), (float("nan"), "n")] + [(float(i), "o") for i in range(1, 90)], "k double, y string")
+    found = Counter(r["y"] for r in join_on_keys(left, right, ["k"], broadcast_rows=10).collect())
+    assert found == {"z": 120, "n": 60}
+
+
+def test_types_without_a_common_one_are_not_hashed():
+    from pyspark.sql import types as T
+
+    assert common_type(T.StringType(), T.DoubleType(), True) is None
+    assert common_type(T.StringType(), T.LongType(), False) is None
+    assert common_type(T.StringType("UTF8_LCASE"), T.StringType("UTF8_LCASE"), True) is None
+    assert common_type(T.LongType(), T.DoubleType(), True) is None
+    assert common_type(T.DecimalType(38, 0), T.DecimalType(38, 30), True) is None
+
+
+def test_salt_does_not_hide_a_column_of_its_name(spark):
+    a, b = frames(spark, HOT_LEFT, FLAT_RIGHT)
+    found = join_on_keys(a.withColumnRenamed("x", "__salt"), b, ["k"], broadcast_rows=10)
+    assert found.columns == ["k", "__salt", "y"]
+    assert Counter(tuple(r) for r in found.collect()) == brute_force(HOT_LEFT, FLAT_RIGHT)
 
 
 def test_what_was_not_counted_small_is_not_broadcast(spark, monkeypatch):
@@ -59,8 +109,6 @@ def test_what_was_not_counted_small_is_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
     text = plan(join_on_keys(a, b, ["k"]))
     assert "Union" not in text and "Broadcast" not in text and "SortMergeJoin" in text
-    text = plan(join_on_keys(a, b.withColumn("k", F.col("k").cast("string")), ["k"]))
-    assert "Union" not in text and "Broadcast" not in text and "SortMergeJoin" in text
 
 
 def test_frequent_keys_with_many_partners_stay_in_the_plain_join(spark, monkeypatch):
@@ -70,7 +118,7 @@ def test_frequent_keys_with_many_partners_stay_in_the_plain_join(spark, monkeypa
     a, b = frames(spark, left, right)
     (sketch, _) = sketch_keys([a, b], ["k"])
     assert len(sketch.frequent) == 3
-    chosen = broadcast_hashes(b, ["k"], sketch.frequent)
+    chosen = repeatable_hashes(b, ["k"], [b.schema["k"].dataType], sketch.frequent, 30, 1 << 20)
     expected = {r[0] for r in spark.range(2).selectExpr("xxhash64(id)").collect()}
     assert set(chosen) == expected
     assert Counter(tuple(r) for r in join_on_keys(a, b, ["k"]).collect()) == brute_force(left, right)
