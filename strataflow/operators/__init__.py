@@ -1,5 +1,6 @@
 """Fitted features, key joins, the hash split, the classifier and its registry."""
 
+from strataflow.operators.categories import CategoryTable, fit_category_table, sparse_features
 from strataflow.operators.classifier import LinearClassifier, accuracy, fit_logistic, split_target
 from strataflow.operators.features import (
     Preparation,
@@ -17,6 +18,9 @@ from strataflow.operators.registry import Registry
 from strataflow.operators.split import hash_bucket, hash_split
 
 __all__ = [
+    "CategoryTable",
+    "fit_category_table",
+    "sparse_features",
     "LinearClassifier",
     "Preparation",
     "Registry",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from strataflow.functions.columns import column, combine
 
 MAX_CLASSES = 1_000
+"""Labels with more values are taken for a mistake, unless a fit is told otherwise: each class has a row of weights on the driver."""
 
 ABOUT_SCHEMA = """label string, features array<string>, classes array<bigint>,
 weights array<array<double>>, intercepts array<double>"""
@@ -25,7 +27,7 @@ class LinearClassifier:
 
     Two classes have one row of weights, whose margin is positive for the second class;
     more classes have one row each. ``vectors`` is the Spark ML model when the features
-    were given as one vector column.
+    were given as one vector column. ``iterations`` is known after a fit only.
     """
 
     label: str
@@ -34,6 +36,7 @@ class LinearClassifier:
     weights: tuple[tuple[float, ...], ...]
     intercepts: tuple[float, ...]
     vectors: LogisticRegressionModel | None = field(default=None, compare=False)
+    iterations: int | None = field(default=None, compare=False)
 
     def margin(self, row: int = 0) -> Column:
         """``intercept + sum(weight * feature)``, null if a feature is null."""
@@ -112,18 +115,20 @@ def fit_logistic(
     max_iter: int = 100,
     tol: float = 1e-8,
     depth: int = 2,
+    max_classes: int = MAX_CLASSES,
 ) -> LinearClassifier:
     """L2-regularised logistic regression that minimises ``c * loss + |w|^2 / 2``, intercept free.
 
     ``features`` are double columns, or the names of the entries of the ``vector`` column.
     Labels are whole numbers. One pass counts the rows of each class, then each iteration
     is one pass over the vectors, which Spark ML keeps in memory and on disk. ``depth`` is
-    that of the tree in which gradients are summed: raise it for many tasks and features.
+    that of the tree in which gradients are summed: raise it for many tasks and features. Warns
+    if ``max_iter`` iterations were not enough; the model has their number.
     """
     target = column(label).cast("bigint")
-    counts = df.groupBy(target.alias("class")).count().limit(MAX_CLASSES + 1).collect()
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
+    counts = df.groupBy(target.alias("class")).count().limit(max_classes + 1).collect()
+    if len(counts) > max_classes:
+        raise ValueError(f"{label} has more than {max_classes} values: not a class label, or raise max_classes")
     if not counts:
         raise ValueError("no rows to fit")
     if any(row["class"] is None for row in counts):
@@ -144,6 +149,9 @@ def fit_logistic(
         tol=tol,
         aggregationDepth=depth,
     ).fit(rows)
+    iterations = model.summary.totalIterations
+    if iterations >= max_iter:
+        warnings.warn(f"no convergence in {max_iter} iterations: raise max_iter or scale the features", stacklevel=2)
     weights = model.coefficientMatrix.toArray().tolist()
     return LinearClassifier(
         label,
@@ -152,6 +160,7 @@ def fit_logistic(
         tuple(tuple(row) for row in weights),
         tuple(model.interceptVector.toArray().tolist()),
         model if vector is not None else None,
+        iterations,
     )
 
 
@@ -162,6 +171,9 @@ def _vector_input(features: Sequence[str], vector: str | None) -> list[Column]:
 
 
 def accuracy(df: DataFrame, label: str, prediction: str, output: str = "accuracy") -> DataFrame:
-    """Share of rows whose prediction equals the label, as a one-row frame."""
-    hit = column(prediction).eqNullSafe(column(label))
+    """Share of rows whose prediction equals the label, as a one-row frame.
+
+    A missing prediction is a miss, and so is any prediction where the label is missing.
+    """
+    hit = F.coalesce(column(prediction) == column(label), F.lit(False))
     return df.agg(F.avg(hit.cast("double")).alias(output))

@@ -30,6 +30,9 @@ from strataflow.spec import FeatureSpec
 WIDE_LIMIT = 1_000
 """Categories, over all columns, up to which each one may become a column."""
 
+LISTED_CATEGORIES = 32
+"""Categories of a column up to which a value is looked up in a list, beyond by a join with the fitted ones."""
+
 CATEGORY_SCHEMA = "column string, position int, category string, feature string"
 RANGE_SCHEMA = "column string, position int, minimum double, maximum double"
 
@@ -79,7 +82,7 @@ def fit_categories(df: DataFrame, columns: Sequence[str], limit: int = WIDE_LIMI
         return {}
     found = category_pairs(df, columns).limit(limit + 1).collect()
     if len(found) > limit:
-        raise ValueError(f"more than {limit} categories in {tuple(columns)}: raise the limit and use to_vectors")
+        raise ValueError(f"more than {limit} categories in {tuple(columns)}: use fit_category_table, or raise the limit")
     if not found:
         raise ValueError(f"no row is complete in {tuple(columns)}")
     return {
@@ -163,10 +166,17 @@ def coded_rows(
     """
     rows, names = _checked(df, preparation, keep, on_unknown, incomplete, on_bad)
     texts = range(len(preparation.categories))
-    places = [
-        F.array_position(F.array(*map(F.lit, values)), F.col(f"__text_{i}")).cast("int")
-        for i, values in enumerate(preparation.categories.values())
-    ]
+    places = []
+    for i, values in enumerate(preparation.categories.values()):
+        text = F.col(f"__text_{i}")
+        if len(values) <= LISTED_CATEGORIES:
+            places.append(F.array_position(F.array(*map(F.lit, values)), text).cast("int"))
+            continue
+        # a list is searched from its start for every row; these rows are those of the fitted state
+        listed = [(value, j + 1) for j, value in enumerate(values)]
+        lookup = df.sparkSession.createDataFrame(listed, f"__category_{i} string, __at_{i} int")
+        rows = rows.join(F.broadcast(lookup), F.col(f"__category_{i}") == text, "left")
+        places.append(F.when(text.isNotNull(), F.coalesce(F.col(f"__at_{i}"), F.lit(0))))
     found = rows.select(
         *map(column, names),
         *[F.col(f"__text_{i}") for i in texts if on_unknown == "error"],

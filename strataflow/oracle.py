@@ -24,6 +24,11 @@ def _scaled(value: str, table: str, bounds: str | None = None, where: str = "tru
     return f"({value}::double - {low}) / ({high} - {low})"
 
 
+ORDERS_BY_DAY = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders"
+CUSTOMER_CLASS = f"""CASE WHEN ((-0.75)::double + (-0.5)::double
+* (CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0::double ELSE 0.0::double END))
++ 2.0::double * ({_scaled('c_acctbal', 'customer')}) > 0 THEN 1::bigint ELSE 0::bigint END"""
+
 GAPS = """(SELECT doc_id, lang, source, n_chars, nullif(lang, 'de') AS lang0, nullif(source, 'src0') AS src,
 CASE WHEN lang <> 'fr' THEN doc_id END AS gap FROM documents) AS g"""
 
@@ -38,23 +43,30 @@ EVENT_CLASS = f"""CASE WHEN ((-0.5)::double + 0.25::double * (CASE WHEN event_ty
 EVENT_TEXT = "event_id::varchar AS event_id, user_id::varchar AS user_id, event_type, value, props"
 BUCKET = "(('0x' || substr(md5('42:' || doc_id), 1, 8))::bigint % 100)"
 
+KEPT = BUCKET.replace("doc_id", "d.doc_id") + " < 80"
+ODDS = """SELECT max(CASE WHEN en THEN odds END) AS english, max(CASE WHEN NOT en THEN odds END) AS other FROM (
+    SELECT d.lang IS NOT DISTINCT FROM 'en' AS en, ln(avg(l.quality) / (1 - avg(l.quality))) AS odds
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE {rows} GROUP BY 1)"""
+
 ORACLE: dict[str, str] = {
     "q_csv_scan": """SELECT c_custkey::varchar AS c_custkey, c_name, c_nationkey::varchar AS c_nationkey,
         c_acctbal, c_mktsegment FROM customer""",
-    "q_csv_typed": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "q_csv_typed": ORDERS_BY_DAY,
+    "q_csv_documents": "SELECT * FROM documents",
     "q_csv_inferred": "SELECT * FROM part",
     "q_csv_export": "SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source",
     "q_table_scan": "SELECT * FROM customer",
     "q_create_table": "SELECT p_partkey::varchar AS k, p_name AS v FROM part",
     "q_schema_ddl": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props
         FROM events""",
-    "q_overwrite": "SELECT c_custkey, c_name FROM customer",
-    "q_overwrite_schema": "SELECT c_custkey, c_name, c_acctbal FROM customer",
-    "q_append": """SELECT p_partkey, p_name, p_size FROM part
-        UNION ALL SELECT p_partkey, p_name, p_size FROM part""",
-    "q_json_encode": "SELECT c_custkey::varchar AS c_custkey, c_name, c_mktsegment FROM customer",
-    "q_json_messages": "SELECT p_partkey::varchar AS p_partkey, p_name, p_size::varchar AS p_size FROM part",
-    "q_global_view": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "q_overwrite": "SELECT * FROM customer",
+    "q_overwrite_schema": "SELECT * FROM customer",
+    "q_append": "SELECT * FROM part UNION ALL SELECT * FROM part",
+    "q_json_encode": """SELECT c_custkey::varchar AS c_custkey, c_name, c_nationkey::varchar AS c_nationkey, c_acctbal,
+        c_mktsegment FROM customer""",
+    "q_json_messages": """SELECT p_partkey::varchar AS p_partkey, p_name, p_brand, p_type, p_size::varchar AS p_size,
+        p_retailprice FROM part""",
+    "q_global_view": ORDERS_BY_DAY,
     "q_select": "SELECT doc_id, lang, source, n_chars FROM documents",
     "q_drop": "SELECT doc_id, toxic FROM labels",
     "q_target": "SELECT quality FROM labels",
@@ -63,8 +75,8 @@ ORACLE: dict[str, str] = {
     "q_dropna_all": f"""SELECT doc_id, lang, source, n_chars, lang0, src FROM {GAPS}
         WHERE doc_id IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL
         AND lang0 IS NOT NULL AND src IS NOT NULL""",
-    "q_sanitize_names": "SELECT p_partkey AS part_key, p_name AS full_part_name FROM part",
-    "q_json_decode": """SELECT json_extract_string(props, '$.k') AS k,
+    "q_sanitize_names": "SELECT p_partkey AS part_key, p_name AS full_part_name, * EXCLUDE (p_partkey, p_name) FROM part",
+    "q_json_decode": """SELECT event_id, json_extract_string(props, '$.k') AS k,
         json_extract_string(props, '$.missing') AS missing FROM events""",
     "q_cast_numeric": """SELECT doc_id,
         try_cast(CASE WHEN lang = 'de' THEN 'x' || n_chars ELSE n_chars::varchar END AS double) AS chars
@@ -98,6 +110,10 @@ ORACLE: dict[str, str] = {
     "q_vectors": f"""SELECT p_partkey, dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_place,
         (SELECT count(DISTINCT p_brand) FROM part) + dense_rank() OVER (ORDER BY p_type) - 1 AS type_place,
         {_scaled('p_retailprice', 'part')} AS price FROM part""",
+    "q_vectors_many": f"""SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS name_place,
+        (SELECT count(DISTINCT p_name) FROM part) + dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_place,
+        {_scaled('p_retailprice', 'part')} AS price,
+        (SELECT count(DISTINCT p_name) + count(DISTINCT p_brand) + 1 FROM part) AS size FROM part""",
     "q_label_join": """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
     "q_label_join_frequent": """SELECT e.event_id, e.key, e.value, c.c_mktsegment FROM
@@ -107,6 +123,9 @@ ORACLE: dict[str, str] = {
     "q_labelled_vectors": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",
     "q_training_table": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",
     "q_gold_join": GOLD,
+    "q_gold_join_frequent": f"""SELECT e.event_id, e.key, e.event_type, e.value, e.props, c.class FROM
+        (SELECT *, CASE WHEN event_type = 'view' THEN 1 ELSE user_id END AS key FROM events) AS e
+        JOIN (SELECT c_custkey, {CUSTOMER_CLASS} AS class FROM customer) AS c ON e.key = c.c_custkey""",
     "q_gold_in_place": GOLD,
     "q_split": f"""SELECT doc_id, {BUCKET} AS bucket,
         CASE WHEN {BUCKET} < 80 THEN 'train' ELSE 'test' END AS part FROM documents""",
@@ -116,17 +135,29 @@ ORACLE: dict[str, str] = {
     "q_train_optimum": f"""SELECT feature, 0.0::double AS slope FROM (
         SELECT DISTINCT 'lang_' || lang AS feature FROM documents
         UNION ALL VALUES ('n_chars'), ('intercept')) AS f""",
+    "q_train_closed_form": f"""WITH o AS ({ODDS.format(rows="true")})
+        SELECT 'english' AS feature, round(english - other, 4) AS weight FROM o
+        UNION ALL SELECT 'intercept' AS feature, round(other, 4) AS weight FROM o""",
+    "q_runs": f"""WITH o AS ({ODDS.format(rows=KEPT)})
+        SELECT 'check' AS experiment, 'quality' AS model, 'accuracy' AS metric,
+        avg(CASE WHEN l.quality = CASE WHEN CASE WHEN d.lang IS NOT DISTINCT FROM 'en' THEN english ELSE other END > 0
+            THEN 1 ELSE 0 END THEN 1.0::double ELSE 0.0::double END) AS value
+        FROM documents d JOIN labels l ON d.doc_id = l.doc_id, o WHERE NOT ({KEPT})""",
+    "q_train_scores": f"""WITH o AS ({ODDS.format(rows=KEPT)})
+        SELECT d.doc_id, round(CASE WHEN d.lang IS NOT DISTINCT FROM 'en' THEN english ELSE other END, 4) AS margin,
+        1::bigint AS version FROM documents d, o""",
     "q_model_versions": f"SELECT doc_id, {QUALITY} AS quality, 2::bigint AS version FROM documents",
-    "q_job_ingest": """SELECT doc_id::varchar AS doc_id, lang, source, n_chars::varchar AS n_chars
-        FROM documents""",
+    "q_job_ingest": "SELECT * REPLACE (doc_id::varchar AS doc_id, n_chars::varchar AS n_chars) FROM documents",
     "q_job_features": f"SELECT s.* REPLACE (doc_id::varchar AS doc_id) FROM ({SILVER}) AS s",
     "q_job_training_set": f"""SELECT s.*, l.quality FROM ({SILVER}) AS s
         JOIN labels l ON s.doc_id = l.doc_id""",
-    "q_job_gold": f"""SELECT g.* REPLACE (doc_id::varchar AS doc_id, n_chars::varchar AS n_chars)
-        FROM ({GOLD}) AS g""",
-    "q_job_gold_in_place": f"""SELECT g.* REPLACE (doc_id::varchar AS doc_id, n_chars::varchar AS n_chars)
-        FROM ({GOLD}) AS g""",
+    "q_job_gold": f"""SELECT doc_id::varchar AS doc_id, text, lang, source, n_chars::varchar AS n_chars, {QUALITY} AS quality
+        FROM documents""",
+    "q_job_gold_in_place": f"""SELECT doc_id::varchar AS doc_id, text, lang, source, n_chars::varchar AS n_chars, {QUALITY} AS quality
+        FROM documents""",
     "q_stream_bronze": f"SELECT {EVENT_TEXT} FROM events",
+    "q_stream_after_batch": f"SELECT {EVENT_TEXT} FROM events",
+    "q_stream_gold_batches": f"SELECT {EVENT_TEXT}, {EVENT_CLASS} AS class FROM events",
     "q_stream_silver": f"""SELECT event_id::varchar AS event_id, {_hits('event_type', EVENT_TYPES, 'event_type')},
         {VALUE} AS value FROM events""",
     "q_stream_gold": f"SELECT {EVENT_TEXT}, {EVENT_CLASS} AS class FROM events",

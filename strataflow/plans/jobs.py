@@ -56,11 +56,18 @@ def training_set(silver: DataFrame, labels: DataFrame, key: str, label: str, han
 
 
 def export_training_set(
-    spark: SparkSession, layers: Layers, labels_path: str, key: str, label: str, path: str, single_file: bool = False
+    spark: SparkSession,
+    layers: Layers,
+    labels_path: str,
+    spec: FeatureSpec,
+    preparation: Preparation,
+    key: str,
+    path: str,
+    single_file: bool = False,
 ) -> None:
-    """Join silver with a label CSV and write the result as CSV."""
+    """Join bronze with a label CSV and write keys, features and label as CSV."""
     labels = read_csv(spark, labels_path)
-    rows = training_set(read_table(spark, layers.table("silver")), labels, key, label)
+    rows = labelled_features(read_table(spark, layers.table("bronze")), labels, preparation, spec, key)
     with short_methods(spark):
         export_csv(rows, path, single_file)
 

@@ -75,19 +75,17 @@ def predictions(silver: DataFrame, model: LinearClassifier, spec: FeatureSpec) -
 
 
 def gold_by_join(
-    bronze: DataFrame, silver: DataFrame, model: LinearClassifier, spec: FeatureSpec, handle_frequent: bool = True
+    bronze: DataFrame, silver: DataFrame, model: LinearClassifier, spec: FeatureSpec, **options
 ) -> DataFrame:
     """Raw rows with the class predicted for their keys; rows without a prediction are left out.
 
     An inner join, so a key that occurs twice on both sides gives four rows. For tables
     whose feature rows come from the same raw rows :func:`gold_in_place` gives each row its
-    own prediction and needs no join.
+    own prediction and needs no join. ``options`` are those of :func:`join_column`.
     """
     check_names([*bronze.columns, model.label])
     found = predictions(silver, model, spec)
-    return join_column(
-        bronze, found, spec.keys, model.label, handle_frequent=handle_frequent, key_frames=(bronze, silver)
-    )
+    return join_column(bronze, found, spec.keys, model.label, key_frames=(bronze, silver), **options)
 
 
 def gold_in_place(
@@ -111,10 +109,10 @@ def gold_in_place(
     rows = complete_keys(bronze, spec.keys).filter(numbers_present(bronze.schema, list(preparation.ranges), on_bad))
     if incomplete == "null":
         rows = complete_rows(rows, list(preparation.categories))
-    record = F.struct(*map(column, bronze.columns)).alias("__record")
-    coded, _ = coded_rows(rows, preparation, [record], on_unknown, incomplete, on_bad)
+    # the raw columns go by name, so that those nobody asks for are not read
+    coded, names = coded_rows(rows, preparation, bronze.columns, on_unknown, incomplete, on_bad)
     margins = [_coded_margin(preparation, model, row) for row in range(len(model.weights))]
-    return coded.select("__record.*", model.class_of(margins).alias(model.label))
+    return coded.select(*map(column, names), model.class_of(margins).alias(model.label))
 
 
 def _coded_margin(preparation: Preparation, model: LinearClassifier, row: int) -> Column:

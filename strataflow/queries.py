@@ -13,18 +13,21 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.functions.columns import quoted
 from strataflow.functions import column, complete_rows, decode_json, encode_json, number, sanitize_names
 from strataflow.operators import (
     LinearClassifier,
     Registry,
     accuracy,
     fit,
+    fit_category_table,
     fit_logistic,
     hash_bucket,
     hash_split,
     join_column,
     load_preparation,
     save_preparation,
+    sparse_features,
     split_target,
     to_vectors,
     transform,
@@ -53,13 +56,13 @@ from strataflow.sources import (
     overwrite,
     publish,
     read_csv,
-    read_stream,
+    read_messages,
     read_table,
     scratch_path,
     write_messages,
 )
 from strataflow.spec import FeatureSpec, Layers, TableFormat
-from strataflow.streaming import LayerStream, to_table
+from strataflow.streaming import LayerStream, for_each_batch, stream_id, to_table
 
 STREAM_SECONDS = 900
 
@@ -74,6 +77,11 @@ ORDERS = FeatureSpec(("o_orderkey",), ("o_orderstatus", "o_orderpriority"), ("o_
 EVENTS = FeatureSpec(("event_id",), ("event_type",), ("value",))
 EVENT_FIELDS = ("event_id", "user_id", "event_type", "value", "props")
 
+CUSTOMERS = FeatureSpec(("key",), ("c_mktsegment",), ("c_acctbal",))
+SMALL_ROWS = 50
+"""A size at which the joins of the given tables take the way of large ones."""
+
+CUSTOMER_SCORER = LinearClassifier("class", ("c_mktsegment_BUILDING", "c_acctbal"), (0, 1), ((-0.5, 2.0),), (-0.75,))
 DOCUMENT_SCORER = LinearClassifier("quality", ("lang_en", "n_chars"), (0, 1), ((-0.5, 1.5),), (0.25,))
 EVENT_SCORER = LinearClassifier("class", ("event_type_view", "value"), (0, 1), ((0.25, 2.0),), (-0.5,))
 
@@ -108,9 +116,22 @@ def csv_scan(spark, sf_dir):
 
 def csv_typed(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    orders = load(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = load(spark, sf_dir, "orders")
     export_csv(orders, path)
-    return read_csv(spark, path, orders.schema)
+    return with_day(read_csv(spark, path, orders.schema))
+
+
+def with_day(orders: DataFrame) -> DataFrame:
+    """The order time as text, as both engines write it."""
+    return orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
+def csv_documents(spark, sf_dir):
+    """Whole documents, with line breaks, quotes and blanks in their texts."""
+    path = scratch_path(spark, "csv")
+    documents = load(spark, sf_dir, "documents")
+    export_csv(documents, path)
+    return read_csv(spark, path, documents.schema)
 
 
 def csv_inferred(spark, sf_dir):
@@ -151,8 +172,8 @@ def table_like_frame(spark, sf_dir):
 
 def overwritten(spark, sf_dir):
     table = f"{new_database(spark)}.t"
-    overwrite(load(spark, sf_dir, "part").select("p_partkey", "p_name"), table)
-    overwrite(load(spark, sf_dir, "customer").select("c_custkey", "c_name"), table)
+    overwrite(load(spark, sf_dir, "part"), table)
+    overwrite(load(spark, sf_dir, "customer"), table)
     return read_table(spark, table)
 
 
@@ -160,34 +181,34 @@ def overwritten_schema(spark, sf_dir):
     table = f"{new_database(spark)}.t"
     customer = load(spark, sf_dir, "customer")
     overwrite(customer.select("c_custkey"), table)
-    overwrite(customer.select("c_custkey", "c_name", "c_acctbal"), table)
+    overwrite(customer, table)
     return read_table(spark, table)
 
 
 def appended(spark, sf_dir):
     table = f"{new_database(spark)}.part"
-    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    part = load(spark, sf_dir, "part")
     overwrite(part, table)
-    append(part.select("p_size", "p_partkey", "p_name"), table)
+    append(part.select(*reversed(part.columns)), table)
     return read_table(spark, table)
 
 
 def json_encoded(spark, sf_dir):
-    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return decode_json(encode_json(customer), customer.columns)
+    customer = load(spark, sf_dir, "customer")
+    return decode_json(encode_json(customer), customer.columns).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
 def json_messages(spark, sf_dir):
     """Messages written to text files and read back as a batch."""
     path = scratch_path(spark, "messages")
-    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    part = load(spark, sf_dir, "part")
     write_messages(part, "text", {}, path)
-    return decode_json(spark.read.text(path), part.columns)
+    return decode_json(spark.read.text(path), part.columns).withColumn("p_retailprice", F.col("p_retailprice").cast("double"))
 
 
 def global_view(spark, sf_dir):
     view = publish(load(spark, sf_dir, "orders"), "strataflow_orders")
-    return spark.sql(f"SELECT o_orderkey, o_custkey, o_orderstatus FROM {view}")
+    return with_day(spark.sql(f"SELECT * FROM {view}"))
 
 
 # projections, filters, scalar functions
@@ -217,14 +238,15 @@ def complete_all(spark, sf_dir):
 
 def sanitized(spark, sf_dir):
     part = load(spark, sf_dir, "part")
-    return sanitize_names(part.select(F.col("p_partkey").alias("part key"), F.col("p_name").alias("full part name")))
+    return sanitize_names(part.withColumnsRenamed({"p_partkey": "part key", "p_name": "full part name"}))
 
 
 def json_decoded(spark, sf_dir):
     events = load(spark, sf_dir, "events")
-    return decode_json(events.select(F.col("props").cast("binary").alias("value")), ["k", "missing"]).select(
-        "k", F.col("missing").cast("string")
-    )
+    # the key goes into the message, as messages have no other columns
+    message = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", "), F.expr("substr(props, 2)"))
+    rows = decode_json(events.select(message.cast("binary").alias("value")), ["event_id", "k", "missing"])
+    return rows.select(F.col("event_id").cast("bigint"), "k", F.col("missing").cast("string"))
 
 
 def numbers(spark, sf_dir):
@@ -324,6 +346,21 @@ def vectors(spark, sf_dir):
     )
 
 
+def vectors_many(spark, sf_dir):
+    """A column in which nearly every row has a category of its own, from a fitted table."""
+    part = load(spark, sf_dir, "part")
+    spec = FeatureSpec(("p_partkey",), ("p_name", "p_brand"), ("p_retailprice",))
+    rows = sparse_features(part, fit_category_table(part, spec, scratch_path(spark, "categories")), ["p_partkey"])
+    price = F.when(F.size("features.indices") == 3, F.get("features.values", F.lit(2))).otherwise(0.0)
+    return rows.select(
+        "p_partkey",
+        F.get("features.indices", F.lit(0)).alias("name_place"),
+        F.get("features.indices", F.lit(1)).alias("brand_place"),
+        price.alias("price"),
+        F.col("features.size").alias("size"),
+    )
+
+
 # joins
 
 
@@ -336,7 +373,19 @@ def label_join_frequent(spark, sf_dir):
     key = F.when(F.col("event_type") == "view", F.lit(0)).otherwise(F.col("user_id"))
     events = load(spark, sf_dir, "events").withColumn("key", key)
     users = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_mktsegment")
-    return join_column(events.select("event_id", "key", "value"), users, ["key"], "c_mktsegment")
+    return join_column(
+        events.select("event_id", "key", "value"), users, ["key"], "c_mktsegment", broadcast_rows=SMALL_ROWS
+    )
+
+
+def gold_join_frequent(spark, sf_dir):
+    """Events with the class predicted for their customer; a fifth of them has the same one."""
+    customer = load(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "key")
+    table = f"{new_database(spark)}.silver"
+    overwrite(feature_rows(customer, fit(customer, CUSTOMERS), CUSTOMERS), table)
+    key = F.when(F.col("event_type") == "view", F.lit(1)).otherwise(F.col("user_id"))
+    events = load(spark, sf_dir, "events").select("event_id", key.alias("key"), "event_type", "value", "props")
+    return gold_by_join(events, read_table(spark, table), CUSTOMER_SCORER, CUSTOMERS, broadcast_rows=SMALL_ROWS)
 
 
 def labelled(spark, sf_dir):
@@ -432,9 +481,29 @@ def optimum(spark, sf_dir):
     return sums.unpivot([], sums.columns, "feature", "slope")
 
 
+ENGLISH = FeatureSpec(("doc_id",), (), ("english",), "quality")
+
+
+def _english(spark, sf_dir) -> DataFrame:
+    """Labelled documents with one 0/1 feature, so that the best weights are known: log-odds of the two groups."""
+    english = F.col("lang").eqNullSafe("en").cast("double").alias("english")
+    documents = load(spark, sf_dir, "documents").select("doc_id", english)
+    return join_column(documents, load(spark, sf_dir, "labels"), ["doc_id"], "quality")
+
+
+def closed_form(spark, sf_dir):
+    model = fit_logistic(_english(spark, sf_dir), "quality", ["english"], c=1e9)
+    rows = [("english", model.weights[0][0]), ("intercept", model.intercepts[0])]
+    return spark.createDataFrame(rows, "feature string, weight double").withColumn("weight", F.round("weight", 4))
+
+
 def _trained_run(spark, sf_dir):
-    registry = Registry(new_database(spark), scratch_path(spark, "models"))
-    return registry, train(spark, _training_table(spark, sf_dir), DOCUMENTS, registry, "quality", "check")
+    """A model trained on four fifths of the rows and registered, with its accuracy on the others."""
+    database = new_database(spark)
+    registry = Registry(database, scratch_path(spark, "models"))
+    overwrite(_english(spark, sf_dir), f"{database}.training")
+    rows = read_table(spark, f"{database}.training")
+    return registry, train(spark, rows, ENGLISH, registry, "quality", "check", c=1e9)
 
 
 def run_metrics(spark, sf_dir):
@@ -442,6 +511,14 @@ def run_metrics(spark, sf_dir):
     return registry.runs(spark).select("experiment", "model", "metric", "value")
 
 
+def trained_scores(spark, sf_dir):
+    """Margins of all documents under the first version of a trained model, read back from the registry."""
+    registry, done = _trained_run(spark, sf_dir)
+    model = registry.load(spark, "quality", done.version)
+    documents = load(spark, sf_dir, "documents").withColumn("english", F.col("lang").eqNullSafe("en").cast("double"))
+    return documents.select("doc_id", F.round(model.margin(), 4).alias("margin"), F.lit(done.version).cast("bigint").alias("version"))
+
+
 def model_versions(spark, sf_dir):
     """A trained first version and a second one with given weights, which scores the documents."""
     registry, _ = _trained_run(spark, sf_dir)
@@ -461,7 +538,7 @@ def _layers(spark) -> Layers:
 
 def _ingested(spark, sf_dir) -> Layers:
     path = scratch_path(spark, "csv")
-    documents = selected(spark, sf_dir)
+    documents = load(spark, sf_dir, "documents")
     export_csv(documents, path)
     layers = _layers(spark)
     ingest_csv(spark, path, layers, documents.columns)
@@ -480,14 +557,12 @@ def job_features(spark, sf_dir):
 
 def job_training_set(spark, sf_dir):
     layers = _ingested(spark, sf_dir)
-    build_features(spark, layers, DOCUMENTS)
+    preparation = build_features(spark, layers, DOCUMENTS)
     labels, out = scratch_path(spark, "labels"), scratch_path(spark, "training")
     export_csv(load(spark, sf_dir, "labels"), labels)
-    export_training_set(spark, layers, labels, "doc_id", "quality", f"{out}/csv")
-    features = ", ".join(f"lang_{lang} DOUBLE" for lang in LANGS)
-    return read_csv(
-        spark, f"{out}/csv", f"doc_id BIGINT, source STRING, {features}, n_chars DOUBLE, quality INT"
-    )
+    export_training_set(spark, layers, labels, DOCUMENTS, preparation, "doc_id", f"{out}/csv")
+    features = ", ".join(f"{quoted(name)} DOUBLE" for name in preparation.feature_names)
+    return read_csv(spark, f"{out}/csv", f"doc_id BIGINT, source STRING, {features}, quality INT")
 
 
 def job_gold(spark, sf_dir, in_place: bool):
@@ -506,12 +581,15 @@ def job_gold(spark, sf_dir, in_place: bool):
 # streams
 
 
-def event_messages(spark, sf_dir) -> DataFrame:
-    """The events as a stream of JSON messages in bytes, as a message broker would hand them out."""
-    schema = load(spark, sf_dir, "events").schema
-    options = {"pathGlobFilter": "events.parquet", "maxFilesPerTrigger": "1"}
-    events = read_stream(spark, "parquet", options, schema, sf_dir)
-    return encode_json(events, EVENT_FIELDS).select(F.col("value").cast("binary"))
+MESSAGE_FILES = 3
+
+
+def messages_of(events: DataFrame) -> DataFrame:
+    """Rows as a stream of JSON messages: text files, each of which is a micro-batch."""
+    spark = events.sparkSession
+    path = scratch_path(spark, "messages")
+    write_messages(events.select(*EVENT_FIELDS).repartition(MESSAGE_FILES, "event_id"), "text", {}, path)
+    return read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path)
 
 
 def _finish(query):
@@ -522,17 +600,51 @@ def _finish(query):
 
 def stream_bronze(spark, sf_dir):
     table = f"{new_database(spark)}.bronze"
-    raw = decode_json(event_messages(spark, sf_dir), EVENT_FIELDS)
+    raw = decode_json(messages_of(load(spark, sf_dir, "events")), EVENT_FIELDS)
     _finish(to_table(raw, table, scratch_path(spark, "checkpoint"), available_now=True))
     return read_table(spark, table).withColumn("value", F.col("value").cast("double"))
 
 
-def stream_layer(spark, sf_dir, layer: str):
-    preparation = fit(load(spark, sf_dir, "events"), EVENTS)
+def stream_after_batch(spark, sf_dir):
+    """A table loaded by a batch job, streamed into, and appended to again: a third of the events each."""
+    table = f"{new_database(spark)}.bronze"
+    events = load(spark, sf_dir, "events").select(*EVENT_FIELDS)
+    texts = events.select(*(F.col(c).cast("string").alias(c) for c in events.columns))
+    third = F.col("event_id") % 3
+    overwrite(texts.where(third == 0), table, TableFormat(streamed=True))
+    raw = decode_json(messages_of(events.where(third == 1)), EVENT_FIELDS)
+    _finish(to_table(raw, table, scratch_path(spark, "checkpoint"), available_now=True))
+    append(texts.where(third == 2), table)
+    return read_table(spark, table).withColumn("value", F.col("value").cast("double"))
+
+
+def _layer_stream(spark, sf_dir) -> LayerStream:
     layers = Layers(new_database(spark), fmt=TableFormat(streamed=True))
-    stream = LayerStream(EVENT_FIELDS, EVENTS, layers, preparation, EVENT_SCORER)
-    _finish(stream.start(event_messages(spark, sf_dir), scratch_path(spark, "checkpoint"), available_now=True))
-    rows = read_table(spark, layers.table(layer))
+    return LayerStream(EVENT_FIELDS, EVENTS, layers, fit(load(spark, sf_dir, "events"), EVENTS), EVENT_SCORER)
+
+
+def stream_layer(spark, sf_dir, layer: str):
+    stream = _layer_stream(spark, sf_dir)
+    messages = messages_of(load(spark, sf_dir, "events"))
+    _finish(stream.start(messages, scratch_path(spark, "checkpoint"), available_now=True))
+    rows = read_table(spark, stream.layers.table(layer))
+    return rows.withColumn("value", F.col("value").cast("double"))
+
+
+def stream_gold_batches(spark, sf_dir):
+    """Three micro-batches, the second of them written twice, then merged into one partition."""
+    stream = _layer_stream(spark, sf_dir)
+    stream.create_tables(spark)
+    checkpoint = scratch_path(spark, "checkpoint")
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2 if batch_id == 1 else 1):
+            stream.write(batch, batch_id, stream_id(checkpoint))
+
+    raw = stream.decode(messages_of(load(spark, sf_dir, "events")))
+    _finish(for_each_batch(raw, work, checkpoint, available_now=True))
+    stream.compact(spark, checkpoint, MESSAGE_FILES - 2)
+    rows = read_table(spark, stream.layers.table("gold"))
     return rows.withColumn("value", F.col("value").cast("double"))
 
 
@@ -548,6 +660,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_csv_scan": csv_scan,
     "q_csv_typed": csv_typed,
+    "q_csv_documents": csv_documents,
     "q_csv_inferred": csv_inferred,
     "q_csv_export": csv_export,
     "q_table_scan": table_scan,
@@ -578,19 +691,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_prep_roundtrip": preparation_roundtrip,
     "q_features_lineitem": lineitem_features,
     "q_vectors": vectors,
+    "q_vectors_many": vectors_many,
     "q_label_join": label_join,
     "q_label_join_frequent": label_join_frequent,
     "q_labelled_features": labelled,
     "q_labelled_vectors": labelled_as_vectors,
     "q_training_table": _training_table,
     "q_gold_join": gold_join,
+    "q_gold_join_frequent": gold_join_frequent,
     "q_gold_in_place": gold_without_join,
     "q_split": split,
     "q_score": scored,
     "q_accuracy": measured,
     "q_train": trained,
+    "q_train_closed_form": closed_form,
     "q_train_optimum": optimum,
     "q_runs": run_metrics,
+    "q_train_scores": trained_scores,
     "q_model_versions": model_versions,
     "q_job_ingest": job_ingest,
     "q_job_features": job_features,
@@ -598,6 +715,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_job_gold": partial(job_gold, in_place=False),
     "q_job_gold_in_place": partial(job_gold, in_place=True),
     "q_stream_bronze": stream_bronze,
+    "q_stream_after_batch": stream_after_batch,
     "q_stream_silver": partial(stream_layer, layer="silver"),
     "q_stream_gold": partial(stream_layer, layer="gold"),
+    "q_stream_gold_batches": stream_gold_batches,
 }

@@ -2,9 +2,11 @@
 
 from strataflow.sources.catalog import (
     append,
+    compact,
     create_database,
     create_table,
     create_table_like,
+    is_streamed,
     overwrite,
     publish,
     read_table,
@@ -16,10 +18,12 @@ from strataflow.sources.messages import kafka_options, read_messages, read_strea
 
 __all__ = [
     "append",
+    "compact",
     "create_database",
     "create_table",
     "create_table_like",
     "export_csv",
+    "is_streamed",
     "kafka_options",
     "overwrite",
     "publish",

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +13,10 @@ from pyspark.sql import types as T
 from strataflow.functions.columns import quoted
 from strataflow.spec import TableFormat
 
-STREAM_ID, BATCH_ID = "stream_id", "batch_id"
+STREAM_ID, BATCH_ID = "strataflow_stream_id", "strataflow_batch_id"
 BATCH_COLUMNS = (STREAM_ID, BATCH_ID)
+"""Partition columns of streamed tables. The names are reserved: frames that have them are refused."""
+
 NOT_STREAMED = ("batch", 0)
 """Values of the batch columns for rows that a batch job wrote."""
 
@@ -29,6 +34,7 @@ def schema_ddl(schema: T.StructType) -> str:
 def create_table(spark: SparkSession, name: str, columns: str | T.StructType, fmt: TableFormat = TableFormat()) -> None:
     """``CREATE TABLE IF NOT EXISTS`` from a column list such as ``"a STRING, b BIGINT"``, or a schema."""
     ddl = schema_ddl(columns) if isinstance(columns, T.StructType) else columns
+    _check_reserved(columns.names if isinstance(columns, T.StructType) else T.StructType.fromDDL(columns).names)
     tail = ""
     if fmt.batch_partitions:
         ddl += f", {STREAM_ID} STRING, {BATCH_ID} BIGINT"
@@ -44,8 +50,15 @@ def create_table_like(df: DataFrame, name: str, fmt: TableFormat = TableFormat()
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table, without the columns that only mark micro-batches."""
-    return spark.table(name).drop(*BATCH_COLUMNS)
+    """A catalog table; of a streamed one without the two columns that only mark micro-batches."""
+    rows = spark.table(name)
+    return rows.drop(*BATCH_COLUMNS) if is_streamed(spark, name) else rows
+
+
+def is_streamed(spark: SparkSession, name: str) -> bool:
+    """Whether a table is partitioned by the columns that mark micro-batches."""
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return partitions == list(BATCH_COLUMNS)
 
 
 def overwrite(df: DataFrame, name: str, fmt: TableFormat = TableFormat()) -> None:
@@ -62,7 +75,10 @@ def overwrite(df: DataFrame, name: str, fmt: TableFormat = TableFormat()) -> Non
 
 
 def append(df: DataFrame, name: str, fmt: TableFormat = TableFormat()) -> None:
-    """Add rows to a table, columns matched by name."""
+    """Add rows to a table, columns matched by name. A streamed table is known by its partitions, whatever ``fmt`` says."""
+    spark = df.sparkSession
+    if not fmt.batch_partitions and spark.catalog.tableExists(name) and is_streamed(spark, name):
+        fmt = replace(fmt, streamed=True)
     writer = _marked(df, fmt).write.format(fmt.name).mode("append").options(**fmt.options)
     if fmt.batch_partitions:
         writer = writer.partitionBy(*BATCH_COLUMNS)
@@ -80,6 +96,8 @@ def write_batch(df: DataFrame, name: str, fmt: TableFormat, stream_id: str, batc
         writer.option("txnAppId", f"{stream_id}.{name}").option("txnVersion", batch_id).saveAsTable(name)
         return
     spark = df.sparkSession
+    if not is_streamed(spark, name):
+        raise ValueError(f"{name} is not a streamed table: create it with TableFormat(streamed=True)")
     columns = [c for c in spark.table(name).columns if c not in BATCH_COLUMNS]
     if sorted(columns) != sorted(df.columns):
         raise ValueError(f"{name} has the columns {columns}, the batch has {df.columns}")
@@ -95,13 +113,47 @@ def write_batch(df: DataFrame, name: str, fmt: TableFormat, stream_id: str, batc
         spark.catalog.dropTempView(view)
 
 
+def compact(spark: SparkSession, name: str, stream_id: str, through: int) -> None:
+    """Merge the batches of a stream up to ``through``, which must be closed, into the partition of that batch.
+
+    A stream that writes a partition per batch has ever more of them; run this from time to time for batches that
+    its checkpoint has committed, while nothing reads the table. The rows are written to the last of the partitions first,
+    and only then the others are dropped; run it again if it was interrupted between the two.
+    """
+    if not is_streamed(spark, name):
+        raise ValueError(f"{name} is not a streamed table")
+    mine = f"{STREAM_ID} = '{_text(stream_id)}'"
+    old = spark.table(name).where(f"{mine} and {BATCH_ID} <= {int(through)}")
+    numbers = sorted(r[0] for r in old.select(BATCH_ID).distinct().collect())
+    if len(numbers) < 2:
+        return
+    columns = ", ".join(quoted(c) for c in spark.table(name).columns if c not in BATCH_COLUMNS)
+    merged = f"{name}_merged_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {merged} USING parquet AS SELECT {columns} FROM {name} WHERE {mine} AND {BATCH_ID} <= {int(through)}"
+    )
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({mine}, {BATCH_ID} = {numbers[-1]}) SELECT {columns} FROM {merged}")
+        gone = ", ".join(f"PARTITION ({mine}, {BATCH_ID} = {number})" for number in numbers[:-1])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {merged}")
+
+
 def publish(df: DataFrame, name: str) -> str:
     """Make the frame a view for all sessions of the application; returns its name for SQL."""
     df.createOrReplaceGlobalTempView(name)
     return f"global_temp.{name}"
 
 
+def _check_reserved(names: Iterable[str]) -> None:
+    taken = [n for n in names if n.lower() in BATCH_COLUMNS]
+    if taken:
+        raise ValueError(f"these column names are reserved: {taken}")
+
+
 def _marked(df: DataFrame, fmt: TableFormat) -> DataFrame:
+    _check_reserved(df.columns)
     if not fmt.batch_partitions:
         return df
     stream_id, batch_id = NOT_STREAMED

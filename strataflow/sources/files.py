@@ -2,49 +2,70 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataflow.functions.columns import column
+
+EMPTY = "\x02"
+"""What the reader puts for an empty text between quotes, so that it is not taken for a missing one."""
+
+DIALECT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+"""Shared by reader and writer: quotes inside a field are doubled, blanks are kept, backslashes mean nothing."""
+
 
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
     infer: bool = False,
+    multi_line: bool = True,
     **options: str | bool,
 ) -> DataFrame:
     """CSV with a header. All columns are text unless a schema is given or ``infer`` is set.
 
-    The columns of a schema must be those of the header, in order; other headers raise.
-
-    An empty field is null. ``infer`` reads the files twice; a schema reads them once and
-    lets columns be skipped. Files with line breaks inside quotes need ``multiLine=True``,
-    which makes a file one task.
+    The columns of a schema must be those of the header, in order; other headers raise, and so do records
+    with more or fewer fields. An unquoted empty field is null, ``""`` is an empty text.
+    ``infer`` reads the files twice; a schema reads them once. Line breaks inside quotes make a file
+    one task: with ``multi_line=False`` large files are split, if no field has a line break.
     """
-    reader = spark.read.options(**{"header": True, "enforceSchema": False, **options})
+    strict = {"enforceSchema": False, "mode": "FAILFAST", "columnPruning": False, "emptyValue": EMPTY}
+    reader = spark.read.options(**{**DIALECT, **strict, "multiLine": multi_line, **options})
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+        rows = reader.schema(schema).csv(path)
+    else:
+        rows = reader.option("inferSchema", infer).csv(path)
+    texts = {f.name for f in rows.schema if isinstance(f.dataType, T.StringType)}
+    shown = [
+        F.when(column(c) == EMPTY, "").otherwise(column(c)).alias(c) if c in texts else column(c) for c in rows.columns
+    ]
+    return rows.select(shown)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists") -> None:
+def export_csv(
+    df: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists", **options: str | bool
+) -> None:
     """Write CSV with a header under ``path``, one file per task or a single one for small results.
 
-    Quotes inside a field are doubled, as most CSV readers expect; read it back with
-    ``escape='"'``.
+    :func:`read_csv` reads it back as it was, given the schema: blanks, quotes, backslashes, line
+    breaks, empty and missing text.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).options(header=True, escape='"').csv(path)
+    out.write.mode(mode).options(**{**DIALECT, "emptyValue": '""', **options}).csv(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared ``spark.checkpoint.dir``, or a temporary one on a local master."""
+    """A new folder below the shared ``spark.checkpoint.dir``, which must be set."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/strataflow/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"strataflow-{name}-")
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{shared.rstrip('/')}/strataflow/{name}-{uuid.uuid4().hex}"

@@ -16,7 +16,7 @@ from strataflow.operators.classifier import LinearClassifier
 from strataflow.operators.features import Preparation
 from strataflow.plans.scoring import feature_rows, gold_in_place
 from strataflow.session import short_methods
-from strataflow.sources.catalog import create_database, create_table, write_batch
+from strataflow.sources.catalog import compact, create_database, create_table, write_batch
 from strataflow.spec import FeatureSpec, Layers
 from strataflow.streaming.queries import for_each_batch, stream_id
 
@@ -27,7 +27,8 @@ class LayerStream:
 
     The batch is read and decoded once. A row with an unknown or missing category is
     scored with zeros for it; a row without some number is kept in bronze and silver but
-    has no prediction, so it is not in gold, and neither is a row without a key. If a write
+    has no prediction, so it is not in gold, and neither is a row without a key. A text that
+    is no number counts as missing, so that it does not stop the stream; ``on_bad="error"`` stops it. If a write
     fails, the batch comes again and replaces what it had written.
     """
 
@@ -36,7 +37,7 @@ class LayerStream:
     layers: Layers
     preparation: Preparation
     model: LinearClassifier
-    on_bad: str = "error"
+    on_bad: str = "null"
 
     def decode(self, messages: DataFrame) -> DataFrame:
         """The fields of JSON messages in ``value``, as text."""
@@ -74,7 +75,8 @@ class LayerStream:
         """Start the stream from JSON messages in ``value``.
 
         Without transactions in the table format each batch is a partition of the three
-        tables, so let batches be minutes apart (``every``) where the stream never ends.
+        tables, so let batches be minutes apart (``every``) where the stream never ends, and
+        merge closed ones by :meth:`compact`.
         """
         if not self.layers.fmt.streamed:
             raise ValueError("the layers need a streamed TableFormat")
@@ -82,3 +84,8 @@ class LayerStream:
         name = stream_id(checkpoint)
         work = lambda batch, batch_id: self.write(batch, batch_id, name)
         return for_each_batch(self.decode(messages), work, checkpoint, available_now, every)
+
+    def compact(self, spark: SparkSession, checkpoint: str, through: int) -> None:
+        """Merge the batches up to ``through`` of the stream of this checkpoint, in each layer."""
+        for layer in ("bronze", "silver", "gold"):
+            compact(spark, self.layers.table(layer), stream_id(checkpoint), through)

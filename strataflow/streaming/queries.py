@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from strataflow.sources.catalog import create_table_like, is_streamed, write_batch
 from strataflow.spec import TableFormat
 
 
@@ -15,13 +16,24 @@ def to_table(
     df: DataFrame,
     table: str,
     checkpoint: str,
-    fmt: TableFormat = TableFormat(),
+    fmt: TableFormat = TableFormat(streamed=True),
     available_now: bool = False,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a table, each row once."""
-    writer = df.writeStream.format(fmt.name).outputMode("append").options(**fmt.options)
-    return _triggered(writer.option("checkpointLocation", checkpoint), available_now, every).toTable(table)
+    """Append a stream to a streamed table, each row once, beside what batch jobs append to it.
+
+    The table is created if it is not there; one that is not streamed is refused, since a batch that
+    comes again could not replace itself there.
+    """
+    if not fmt.streamed:
+        raise ValueError("a stream needs a streamed TableFormat")
+    spark = df.sparkSession
+    create_table_like(df, table, fmt)
+    if not fmt.transactional and not is_streamed(spark, table):
+        raise ValueError(f"{table} is not a streamed table: write it with TableFormat(streamed=True)")
+    name = stream_id(checkpoint)
+    work = lambda batch, batch_id: write_batch(batch, table, fmt, name, batch_id)
+    return for_each_batch(df, work, checkpoint, available_now, every)
 
 
 def for_each_batch(
