@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import struct
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from helpers import documents, odd_rows
+from strataflow.llm import bpe
+
+PIECES = [
+    " ", "  ", "\n", "\t", "a", "the", " the", "'s", "'S", "1", "²", "é", "é", "日本", " ", "​", "<|endoftext|>", "<|endof", "!",
+    "🙂", "\r", "\x00", "İ", "x" * 300, "\x85", " ", "\x1c", "don't", "ab" * 40,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(public_tokenizers.path(bpe.VOCABULARY), encoding="utf-8") as file:
+        return bpe.Encoder(file.read())
+
+
+def test_like_the_library(library, encoder):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    texts += ["".join(rng.choice("abcdefgh") for _ in range(5000))]
+    wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    together = [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in encoder.encode_all(texts)]
+    assert together == wanted
+    assert [encoder.encode(t) for t in texts[:200]] == wanted[:200]
+    assert [encoder.decode(ids) for ids in wanted] == [library.decode(ids, skip_special_tokens=False) for ids in wanted]
+
+
+def test_what_is_kept_has_a_bound(encoder, monkeypatch, library):
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 10)
+    for text in ("a b c d e f g h i j k l m", "n o p q r s t u v w x y z a b c", "a b c"):
+        assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.pieces_between) <= 30
+
+
+def test_documents(spark, library):
+    found = {r["doc_id"]: r for r in bpe.encode_documents(documents(spark), with_ids=True).collect()}
+    for doc_id, text, *_ in [r for r in odd_rows() if r[0] not in (25, None)]:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        row = found[doc_id]
+        assert row["n_tokens"] == len(ids) and row["ids"] == ids
+        assert row["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()

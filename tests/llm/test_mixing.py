@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from helpers import documents, plain
+from strataflow.llm import mixing
+
+
+def rows(sizes):
+    return [(i, None, None, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 5, "b": 3, "c": 1}, {"a": 1, "zzz": 4}, {}])
+def test_less_than_one_block_from_the_target(spark, weights):
+    sizes = {"a": 400, "b": 90, "c": 31, None: 7}
+    docs = documents(spark, rows(sizes)).select("doc_id", "source")
+    found = mixing.plan(docs, weights=weights, block_rows=4, cycle=40, bucket_rows=50).collect()
+    assert Counter(r["source"] for r in found) == sizes
+    blocks = {(r["source"], r["block"]): r for r in found}
+    share = {r["source"]: r["weight"] / r["slots"] for r in found}
+    taken = Counter()
+    full = sorted((r["slot"], s) for (s, _), r in blocks.items() if r["in_mix"])
+    assert [slot for slot, _ in full] == list(range(len(full))) and full
+    for slot, source in full:
+        taken[source] += 1
+        assert all(abs(taken[s] - w * (slot + 1)) < 1 for s, w in share.items())
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in found)
+    per_block = Counter((r["source"], r["block"]) for r in found)
+    assert all(n == 4 or b == (sizes[s] - 1) // 4 for (s, b), n in per_block.items())
+    assert len({(r["slot"], r["place"]) for r in found}) == len(found)
+
+
+def test_order_of_the_mix(spark):
+    docs = documents(spark, rows({"a": 60, "b": 20}))
+    planned = {r["doc_id"]: (r["slot"], r["place"]) for r in mixing.plan(docs.select("doc_id", "source"), block_rows=4, cycle=10).collect()}
+    ordered = mixing.in_mixed_order(docs, block_rows=4, cycle=10)
+    assert ordered.columns == docs.columns
+    assert [planned[r["doc_id"]] for r in ordered.collect()] == sorted(planned.values())
+
+
+def test_null_ids_do_not_share_a_place(spark):
+    docs = documents(spark, [(None, None, None, "a")] * 30 + [(1, None, None, "a")]).select("doc_id", "source")
+    found = mixing.plan(docs, block_rows=4, cycle=3, bucket_rows=5)
+    assert sorted((r["slot"], r["place"]) for r in found.collect()) == [(i // 4, i % 4) for i in range(31)]
+
+
+def test_no_python_in_the_plan(spark):
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    out = StringIO()
+    with redirect_stdout(out):
+        mixing.in_mixed_order(documents(spark)).explain()
+    assert not any(word in out.getvalue() for word in ("Python", "Pandas", "InArrow"))
+    assert plain(mixing.in_mixed_order(documents(spark))) == plain(documents(spark))

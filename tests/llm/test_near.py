@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+from helpers import WORDS, documents, odd_rows, prose
+from strataflow.llm import near
+from strataflow.llm.arrays import shingles, word_hashes
+from strataflow.llm.graph import components
+from strataflow.sources import scratch_path
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_banded_alignment():
+    rng = random.Random(2)
+    for _ in range(3000):
+        a = [rng.randint(0, rng.choice([3, 50])) for _ in range(rng.randint(0, 30))]
+        b = list(a)
+        for _ in range(rng.randint(0, 6)):
+            if b and rng.random() < 0.5:
+                b.pop(rng.randrange(len(b)))
+            else:
+                b.insert(rng.randint(0, len(b)), rng.randint(0, 50))
+        least, m = rng.choice([0.3, 0.5, 0.8, 0.9]), longest_common(a, b)
+        share = m / (len(a) + len(b) - m) if a or b else 1.0
+        found = near.aligned(np.array(a, "<u4"), np.array(b, "<u4"), least)
+        assert found == (share if share >= least else 0)
+
+
+def grams(text):
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    return shingles(*word_hashes(data, np.array([0, len(data)])), 5)[0].astype("<u4")
+
+
+def brute_force(rows):
+    """Class of each row by all pairs of texts."""
+    texts = sorted({r[1] or "" for r in rows})
+    sequences, parent = [grams(t) for t in texts], list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sequences[i]) and len(sequences[j]) and near.aligned(sequences[i], sequences[j], near.SIMILARITY):
+                parent[root(i)] = root(j)
+    index = {t: root(i) for i, t in enumerate(texts)}
+    names = {}
+    for doc_id, text, *_ in rows:
+        if doc_id is not None:
+            group = index[text or ""]
+            names[group] = min(names.get(group, doc_id), doc_id)
+    return [(r[0], names.get(index[r[1] or ""])) for r in rows]
+
+
+def copies(rng, n):
+    rows = []
+    originals = [prose(rng, k) for k in (60, 150, 400, 90, 220, 700)]
+    for i in range(n):
+        words = rng.choice(originals).split()
+        for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        rows.append((1000 + i, " ".join(words) + rng.choice(["", "", " " + prose(rng, 6)]), "aa", "s"))
+    shared = prose(rng, 70)
+    return rows + [(2000 + i, f"{prose(rng, 40)} {shared} {prose(rng, 40)}", "aa", "s") for i in range(25)]
+
+
+def test_classes_against_all_pairs(spark):
+    rows = copies(random.Random(6), 110) + odd_rows()
+    found = near.near_duplicates(documents(spark, rows)).collect()
+    expected = brute_force(rows)
+    assert len({c for _, c in expected}) < 80
+    assert sorted(((r["doc_id"], r["class_id"]) for r in found), key=repr) == sorted(expected, key=repr)
+    assert sum(r["names_class"] for r in found) >= len({c for _, c in expected if c is not None})
+
+
+def test_one_row_of_each_class_stays(spark):
+    rows = copies(random.Random(6), 60) + odd_rows()
+    kept = near.one_of_each(documents(spark, rows, extra=True))
+    assert "a.b" in kept.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    classes = {c for _, c in brute_force(rows)}
+    assert sorted(i for i in ids if i is not None) == sorted(c for c in classes if c is not None)
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 200)]
+    edges += [(rng.randint(300, 400), rng.randint(300, 400)) for _ in range(60)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    found = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), scratch_path(spark, "parts")).collect())
+    assert found == {x: root(x) for x in parent if root(x) != x}
