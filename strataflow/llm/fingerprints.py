@@ -49,7 +49,7 @@ def _in_order(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.approxQuantile("doc_id", [i / (4 * parts) for i in range(1, 4 * parts)], 0.1 / parts)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     number = F.col("doc_id").cast("double")
     dealt = Bucketizer(splits=splits, inputCol="number", outputCol="range").transform(rows.withColumn("number", F.coalesce(number, F.lit(0.0))))
     bucket = F.when(F.col("doc_id").isNull(), F.lit(len(splits))).otherwise(len(splits) - 1 - F.col("range").cast("int"))
