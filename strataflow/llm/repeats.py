@@ -77,8 +77,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, window: int, gra
     return text, place - offsets[text], place - at[end], place - at[begin], name, whole
 
 
-#: Groups of round 1 with at most so many strings of round 2 are compared within a task, larger ones by a shuffle of positions.
-SMALL_GROUP = 1000
+#: Groups of round 1 with at most so many strings of round 2 are compared within a task, which then holds 13 MB of strings;
+#: larger ones are compared by a shuffle of positions.
+SMALL_GROUP = 20_000
 TASK_BYTES = 4 << 20
 
 ANCHORS = "key bigint, packed bigint, name bigint, whole bigint"
@@ -257,7 +258,8 @@ def remove_repeats(
     ).withColumn("key", F.xxhash64("doc_id", "text"))
 
     found = _kept(rows.select("key", "text").mapInArrow(lambda b: _emit_anchors(b, length, window, gram), ANCHORS), folder, "anchors")
-    again = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    # stored, since a join on an aggregate of its own key cannot be split where one name fills a partition
+    again = _kept(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), folder, "again")
     shared = _kept(found.join(again, "name", "left_semi").select("key", "packed", "name", "whole"), folder, "shared")
 
     strings = _kept(
@@ -265,6 +267,7 @@ def remove_repeats(
     )
     groups = strings.groupBy("name").agg(F.count(F.lit(1)).alias("strings"), F.sum(F.expr("int(n = 1)")).alias("alone"))
     groups = groups.where("alone > 0 and strings > 1").select("name", (F.col("strings") > SMALL_GROUP).alias("large"))
+    groups = _kept(groups, folder, "groups")
     opens = (
         strings.join(groups, "name")
         .select("one.key", F.struct("name", "one.packed", (F.col("n") == 1).alias("alone"), "large").alias("open"))
