@@ -13,7 +13,7 @@ from strataflow.sources.catalog import (
     schema_ddl,
     write_batch,
 )
-from strataflow.sources.files import export_csv, read_csv, scratch_path
+from strataflow.sources.files import export_csv, read_csv, scratch_path, use_scratch
 from strataflow.sources.messages import kafka_options, read_messages, read_stream, write_messages
 
 __all__ = [
@@ -33,6 +33,7 @@ __all__ = [
     "read_table",
     "schema_ddl",
     "scratch_path",
+    "use_scratch",
     "write_batch",
     "write_messages",
 ]

@@ -63,9 +63,17 @@ def export_csv(
     out.write.mode(mode).options(**{**DIALECT, "emptyValue": '""', **options}).csv(path)
 
 
+_own_folder: list[str] = []
+
+
+def use_scratch(folder: str) -> None:
+    """Where :func:`scratch_path` goes in sessions that name no shared folder, as on a laptop or in tests."""
+    _own_folder[:] = [folder]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared ``spark.checkpoint.dir``, which must be set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder below ``spark.checkpoint.dir``, or below what :func:`use_scratch` named where that is not set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_own_folder), None)
     if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared.rstrip('/')}/strataflow/{name}-{uuid.uuid4().hex}"

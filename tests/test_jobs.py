@@ -74,7 +74,7 @@ def test_csv_to_gold(spark, database, tmp_path, streamed):
     assert sorted(r["Id"] for r in silver.dropna().collect()) == sorted(whole)
 
     out = scratch_path(spark, "training")
-    export_training_set(spark, layers, str(labels), "Id", "Survived", out, single_file=True)
+    export_training_set(spark, layers, str(labels), SPEC, preparation, "Id", out, single_file=True)
     training = read_csv(spark, out, infer=True)
     assert training.columns == [*silver.columns, "Survived"] and training.count() == 60
 
