@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import all_present, column, complete_rows, number, numbers_present
+from strataflow.functions.columns import all_present, column, number, numbers_present
 from strataflow.operators.features import category_pairs, fit_ranges
 from strataflow.operators.joins import join_column, may_broadcast
 from strataflow.spec import FeatureSpec
