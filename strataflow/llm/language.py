@@ -27,7 +27,7 @@ SAMPLE_DOCUMENTS = 1500
 SAMPLE_CHARS = 20_000
 MARGIN = 1.5
 SHORT_SYMBOLS = 50
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 18
 UNKNOWN = "und"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -213,31 +213,22 @@ def _decisions(entropy: np.ndarray, symbols: np.ndarray, model: LanguageModel) -
     return names, score, np.where(lettered, least, np.nan), rejected
 
 
-_kept: list[Scorer] = []
-
-
-def _scorer(model: LanguageModel) -> Scorer:
-    """The scorer of this worker, kept from task to task."""
-    if not _kept or _kept[0].model is not model:
-        _kept[:] = [Scorer(model)]
-    return _kept[0]
-
-
 OUT = "lang_pred string, score double, entropy double, rejected boolean"
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Broadcast, columns: int) -> Iterator[pa.RecordBatch]:
-    """Predictions beside the first ``columns`` columns; the column after them is the text."""
+def _predict(batches: Iterator[pa.RecordBatch], model: Broadcast, columns: int, text: int) -> Iterator[pa.RecordBatch]:
+    """Predictions beside the first ``columns`` columns; column number ``text`` is the text."""
+    scorer = Scorer(model.value) if model.value is not None else None
     for batch in batches:
-        for first, end, data, offsets in slices(batch.column(columns)):
+        for first, end, data, offsets in slices(batch.column(text), 1 << 20):
             everything = data.tobytes()
             bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist())
             texts = [everything[a:b].decode("utf-8", "replace") for a, b in bounds]
-            if model.value is None:
+            if scorer is None:
                 lettered = [bool(words_of(text)) for text in texts]
                 results = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts), [not x for x in lettered]
             else:
-                results = _decisions(*_scorer(model.value)(texts), model.value)
+                results = _decisions(*scorer(texts), model.value)
             kinds = pa.string(), pa.float64(), pa.float64(), pa.bool_()
             arrays = [batch.column(i).slice(first, end - first) for i in range(columns)]
             arrays += [pa.array(r, kind, from_pandas=True) for r, kind in zip(results, kinds)]
@@ -309,10 +300,12 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str], text_
     """
     kinds = {f.name: f.dataType for f in docs.select(*(F.col(f"`{c}`") for c in keep)).schema}
     value = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text_column}`").cast("binary").alias("body"))
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
+    width, text = len(keep), keep.index(text_column) if text_column in keep else len(keep)
+    if text == width:  # else it is there already, and is not sent twice
+        columns.append(F.col(f"`{text_column}`").cast("binary").alias("body"))
     schema = ", ".join([*(f"c{i} {kinds[c].simpleString()}" for i, c in enumerate(keep)), OUT])
-    width = len(keep)
-    found = rows.mapInArrow(lambda batches: _predict(batches, value, width), schema)
+    found = docs.select(columns).mapInArrow(lambda batches: _predict(batches, value, width, text), schema)
     return found.withColumnsRenamed({f"c{i}": c for i, c in enumerate(keep)})
 
 
