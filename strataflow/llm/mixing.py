@@ -15,7 +15,7 @@ from strataflow.sources import scratch_path
 
 BLOCK_ROWS = 32
 CYCLE = 500
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Schedules of at most so many slots are broadcast, larger ones joined by key.
 BROADCAST_SLOTS = 100_000
 _CODE = 1 << 24
