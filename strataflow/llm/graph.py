@@ -26,25 +26,24 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     step = 0
     current = stored(current, f"{folder}/stars-0")
-    before = None
+    before = _content(current)
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         step += 1
         current = stored(small.union(down.select("a", F.col("m").alias("b"))).distinct(), f"{folder}/stars-{step}")
-        # sums that wrap are fine: they only tell whether the edges are the same
-        now = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40)), F.sum(F.hash("b", "a"))).collect()[0]
+        now = _content(current)
         if now == before:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
 
 
-#: Pairs left per member up to which all are compared at once, and rounds with one leader before that in any case.
-PAIRS_PER_MEMBER = 4
-ROUNDS = 2
+def _content(edges: DataFrame):
+    """Numbers that are the same for equal edges."""
+    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40)), F.sum(F.hash("b", "a"))).collect()[0]
 
 
 def linked(
@@ -60,8 +59,9 @@ def linked(
     returns those that are, with other columns or not. Returns the links and (node, root).
 
     First each member is compared with the one of its bucket that has most company over all its buckets, as an
-    original has among its copies. Members of one component need no comparison any more. While many pairs of different
-    components are left the next member leads; then all pairs left are compared, so no component is missed.
+    original has among its copies. Members of one component need no comparison any more, so a group of near
+    copies is settled by as many pairs as it has members. Then all pairs of different components are compared that ``like``
+    lets through; it is part of the join, so it should be a bound that few others pass.
     """
     company = marks.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
     ranks = marks.join(company, "bucket").groupBy("member").agg(F.sum("company").alias("rank"))
@@ -82,25 +82,13 @@ def linked(
         return distinct_pairs(pairs, F.col, lambda c: F.col(f"left.{c}"))
 
     links = stored(verify(with_leader(marks.withColumn("root", F.col("member")))), f"{folder}/links-0")
-    turn = 0
-    while True:
-        roots = components(links.select("a", "b"), f"{folder}/roots-{turn}")
-        rows = marks.join(roots.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("root", "member"))
-        mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        rest = rows.join(mixed.select("bucket"), "bucket", "left_semi")
-        sizes = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
-        pairs = (F.col("n") * F.col("n") - F.col("same")) / 2
-        sizes = sizes.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        left = sizes.agg(F.sum(pairs).alias("pairs"), F.sum("n").alias("members")).collect()[0]
-        if not left.pairs:
-            return links, roots
-        turn += 1
-        if left.pairs <= PAIRS_PER_MEMBER * left.members or turn > ROUNDS:
-            links = stored(links.union(verify(all_pairs(rest))), f"{folder}/links-{turn}")
-            return links, components(links.select("a", "b"), f"{folder}/roots-{turn}")
-        more = verify(with_leader(rest))
-        leaders = rest.groupBy("bucket").agg(F.max(F.struct("rank", "member")).alias("leader"))
-        links = stored(links.union(more), f"{folder}/links-{turn}")
-        marks = stored(
-            marks.join(leaders, "bucket", "left").where("leader is null or leader.member <> member").drop("leader"), f"{folder}/marks-{turn}"
-        )
+    roots = components(links.select("a", "b"), f"{folder}/roots-0")
+    rows = marks.join(roots.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("root", "member"))
+    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    rest = stored(rows.join(mixed.select("bucket"), "bucket", "left_semi"), f"{folder}/rest")
+    more = stored(verify(all_pairs(rest)), f"{folder}/links-1")
+    if more.isEmpty():
+        return links, roots
+    # the components so far are stars, which new links only have to join
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return links.union(more), components(known.union(more.select("a", "b")), f"{folder}/roots-1")

@@ -21,9 +21,10 @@ from strataflow.llm.graph import linked, stored
 from strataflow.sources import scratch_path
 
 WORDS = 5
-LENGTH = 3
-SKETCHES = 16
+LENGTH = 5
+SKETCHES = 24
 SIMILARITY = 0.8
+PARITY_BITS = 1024
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> float:
@@ -84,15 +85,30 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int, length: int, sketches
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(bounds)), lists], ["text", "key", "doc_id", "n_grams", "sketches"])
 
 
+def parities(labels: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """``PARITY_BITS`` bits per text as signed numbers: of each bit, whether an odd number of its shingles fell on it.
+
+    Two texts differ in at least as many shingles as in bits.
+    """
+    out = np.zeros((len(bounds) - 1, PARITY_BITS // 64), dtype=np.int64)
+    places = (labels >> np.uint64(20)).astype(np.int64) % PARITY_BITS
+    for i, (start, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        odd = (np.bincount(places[start:end], minlength=PARITY_BITS) & 1).astype(np.uint8)
+        out[i] = np.packbits(odd).view(np.int64)
+    return out
+
+
 def _sequences(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """(text, body) to (text, grams): the shingles as 32-bit numbers."""
+    """(text, body) to (text, grams, bits): the shingles as 32-bit numbers, and parities."""
     for batch in batches:
         for first, end, data, offsets in slices(batch.column(1)):
             grams, bounds = shingles(*word_hashes(data, offsets), words)
             raw = pa.py_buffer(np.ascontiguousarray(grams.astype("<u4")))
             ends = pa.py_buffer((bounds * 4).astype(np.int32))
             column = pa.Array.from_buffers(pa.binary(), end - first, [None, ends, raw])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), column], ["text", "grams"])
+            bits = parities(occurrence_labels(grams, bounds), bounds)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32)), pa.array(bits.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), column, lists], ["text", "grams", "bits"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -137,12 +153,18 @@ class NearDuplicates:
         one = self.members.groupBy("text").agg(F.min("key").alias("key")).join(candidates, "text", "left_semi")
         bodies = self.rows.join(one, ["text", "key"], "left_semi").select("text", "body")
         words, similarity = self.words, self.similarity
-        grams = bodies.mapInArrow(lambda b: _sequences(b, words), "text bigint, grams binary")
-        grams = self._stored(grams, "grams").dropDuplicates(["text"])
+        grams = bodies.mapInArrow(lambda b: _sequences(b, words), "text bigint, grams binary, bits array<bigint>")
+        grams = self._stored(grams.dropDuplicates(["text"]), "grams")
+        parity = [f"bits_{i}" for i in range(PARITY_BITS // 64)]
+        columns = [F.get("bits", F.lit(i)).alias(name) for i, name in enumerate(parity)]
+        marks = marks.join(grams.select(F.col("text").alias("member"), *columns), "member")
 
         def like(a, b):
-            """Whether the sizes allow the similarity at all."""
-            return F.least(a("n_grams"), b("n_grams")) >= F.floor(similarity * F.greatest(a("n_grams"), b("n_grams")))
+            """Whether the sizes, and the shingles that differ for certain, allow the similarity at all."""
+            both = a("n_grams") + b("n_grams")
+            fewest = F.ceil(both * (similarity / (1 + similarity)) - 1e-9)  # matches that are needed
+            differ = sum((F.bit_count(a(c).bitwiseXOR(b(c))) for c in parity[1:]), F.bit_count(a(parity[0]).bitwiseXOR(b(parity[0]))))
+            return (F.least(a("n_grams"), b("n_grams")) >= fewest) & (differ <= both - 2 * fewest)
 
         def verify(pairs: DataFrame) -> DataFrame:
             left = grams.select(F.col("text").alias("a"), F.col("grams").alias("grams_a"))
@@ -150,7 +172,7 @@ class NearDuplicates:
             both = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
             return both.mapInArrow(lambda b: _verify(b, similarity), "a bigint, b bigint, similarity double")
 
-        self.links, roots = linked(marks, ["n_grams"], like, verify, f"{self.folder}/links")
+        self.links, roots = linked(marks, ["n_grams", *parity], like, verify, f"{self.folder}/links")
         self.roots = roots.withColumnRenamed("node", "text")
 
     def classes(self) -> DataFrame:
