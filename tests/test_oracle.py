@@ -31,7 +31,7 @@ def rows_by_name(columns, rows):
 
 
 def types_by_name(columns, types):
-    names = {"VARCHAR": "string", "DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int"}
+    names = {"VARCHAR": "string", "DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean"}
     return sorted((c, names.get(str(t), str(t))) for c, t in zip(columns, types))
 
 
