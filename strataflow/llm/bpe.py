@@ -233,6 +233,8 @@ def _digests(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, with_ids:
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in kept]))).astype(np.int32)
                 arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(kept)))
                 names.append("ids")
+            arrays += [batch.column(i).slice(first, end - first) for i in range(2, batch.num_columns)]
+            names += batch.schema.names[2:]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
 
@@ -242,17 +244,18 @@ def encode_documents(
     text_column: str = "text",
     vocabulary: str | None = None,
     with_ids: bool = False,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """One row per document: its id, token count, digests of the ids and of the decoded text, and the ids if wanted.
 
     ``vocabulary`` is the place of a byte-level tokenizer file on the driver, by default the public one of
     50,257 tokens; its content is broadcast, and does not grow with the data. A null text is empty: no tokens.
-    Text that spells an added token becomes that token. Rows that repeat are encoded each; other columns of
-    ``docs`` are not read.
+    Text that spells an added token becomes that token. Rows that repeat are encoded each; the columns ``keep``
+    come last, others of ``docs`` are not read.
     """
     with open(vocabulary or public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("binary").alias("text"), *(F.col(c) for c in keep or []))
     kind = dict(rows.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, {OUT}" + ", ids array<int>" * with_ids
+    schema = f"doc_id {kind}, {OUT}" + ", ids array<int>" * with_ids + "".join(f", `{c}` {kind}" for c, kind in rows.dtypes[2:])
     return rows.mapInArrow(lambda batches: _digests(batches, content, with_ids), schema)
