@@ -1,7 +1,8 @@
 """Near duplicates by Order MinHash, verified by banded alignment.
 
 Texts are sequences of five-word shingles. ``SKETCHES`` times the ``LENGTH`` least occurrence-numbered shingles of a text are taken in their
-order and hashed: texts that share such a number are candidates. Two texts are near when an alignment of their
+order and hashed: texts that share such a number are candidates. A text too short to have sketches without one of its shingles has
+candidates of its own: all its shingles, and all but one of them. Two texts are near when an alignment of their
 shingles matches at least ``SIMILARITY`` of all that either has, in order; classes are the connected components.
 
 Candidates of a bucket are not compared all with all (see ``graph.linked``).
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.arrays import occurrence_labels, order_minhash, shingles, slices, word_hashes
+from strataflow.llm.arrays import mix, occurrence_labels, order_minhash, shingles, slices, word_hashes
 from strataflow.llm.graph import linked, stored
 from strataflow.sources import scratch_path
 
@@ -74,15 +75,43 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> float:
     return share if share >= similarity else 0.0
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], words: int, length: int, sketches: int) -> Iterator[pa.RecordBatch]:
-    """(text, key, doc_id, body) to (text, key, doc_id, n_grams, sketches)."""
+def short_keys(grams: np.ndarray, bounds: np.ndarray, length: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that texts of at most ``length`` + 1 shingles share if one has all shingles of the other and at most one more, and their bounds.
+
+    They are only there for sizes at which one shingle more leaves ``similarity``.
+    """
+
+    def hashed(rows: np.ndarray) -> np.ndarray:
+        total = np.full(len(rows), rows.shape[1] + 1, dtype=np.uint64)
+        for j in range(rows.shape[1]):
+            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + rows[:, j])
+        return total
+
+    sizes = np.diff(bounds)
+    owner, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for n in range(1, length + 2):
+        chosen = np.flatnonzero(sizes == n)
+        rows = grams[bounds[:-1][chosen][:, None] + np.arange(n)]
+        found = [rows] if n <= length and n >= similarity * (n + 1) - 1e-9 else []
+        found += [np.delete(rows, k, axis=1) for k in range(n)] if n > 1 and n - 1 >= similarity * n - 1e-9 else []
+        owner += [chosen] * len(found)
+        keys += [hashed(x) for x in found]
+    owner, keys = np.concatenate(owner), np.concatenate(keys)
+    order = np.argsort(owner, kind="stable")
+    return keys[order], np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(sizes)))))
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], words: int, length: int, sketches: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(text, key, doc_id, body) to (text, key, doc_id, n_grams, sketches, short)."""
     for batch in batches:
         for first, end, data, offsets in slices(batch.column(3)):
             grams, bounds = shingles(*word_hashes(data, offsets), words)
             numbers = order_minhash(occurrence_labels(grams, bounds), bounds, sketches, length).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, numbers.size + 1, sketches, dtype=np.int32)), pa.array(numbers.ravel()))
-            columns = [batch.column(i).slice(first, end - first) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(bounds)), lists], ["text", "key", "doc_id", "n_grams", "sketches"])
+            numbers, ends = short_keys(grams, bounds, length, similarity)
+            short = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(numbers.view(np.int64)))
+            columns = [batch.column(i).slice(first, end - first) for i in range(3)] + [pa.array(np.diff(bounds)), lists, short]
+            yield pa.RecordBatch.from_arrays(columns, ["text", "key", "doc_id", "n_grams", "sketches", "short"])
 
 
 def parities(labels: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -136,16 +165,16 @@ class NearDuplicates:
         body = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))
         rows = docs.select(F.xxhash64(body).alias("text"), F.xxhash64(id_column, body).alias("key"), F.col(id_column).alias("doc_id"), body.alias("body"))
         kind = dict(rows.dtypes)["doc_id"]
-        schema = f"text bigint, key bigint, doc_id {kind}, n_grams bigint, sketches array<bigint>"
+        schema = f"text bigint, key bigint, doc_id {kind}, n_grams bigint, sketches array<bigint>, short array<bigint>"
         self.rows = rows
-        self.members = self._stored(rows.mapInArrow(lambda b: _sketch(b, words, length, sketches), schema), "members")
+        self.members = self._stored(rows.mapInArrow(lambda b: _sketch(b, words, length, sketches, similarity), schema), "members")
         self._find()
 
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
         return stored(df, f"{self.folder}/{name}")
 
     def _find(self) -> None:
-        marks = self.members.where("n_grams > 0").select("text", "n_grams", F.explode("sketches").alias("bucket")).distinct()
+        marks = self.members.where("n_grams > 0").select("text", "n_grams", F.explode(F.concat("sketches", "short")).alias("bucket")).distinct()
         shared = marks.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).where("company > 1").select("bucket")
         marks = self._stored(marks.join(shared, "bucket", "left_semi").withColumnRenamed("text", "member"), "marks")
 

@@ -111,3 +111,15 @@ def test_components(spark):
         parent[high] = low
     found = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), scratch_path(spark, "parts")).collect())
     assert found == {x: root(x) for x in parent if root(x) != x}
+
+
+def test_short_texts_with_one_word_more(spark):
+    """Texts of 8 and 9, and of 9 and 10 words have four of five and five of six shingles in common."""
+    rng, rows = random.Random(9), []
+    for i in range(60):
+        words = prose(rng, 8 + i % 2).split()
+        more = rng.choice(WORDS) + "x"
+        rows += [(10 * i, " ".join(words), "aa", "s"), (10 * i + 1, " ".join([more, *words] if i % 3 else [*words, more]), "aa", "s")]
+    expected = brute_force(rows)
+    assert all(c == d - d % 10 for d, c in expected)
+    assert sorted((r["doc_id"], r["class_id"]) for r in near.near_duplicates(documents(spark, rows)).collect()) == expected
