@@ -56,7 +56,7 @@ def linked(
     """Links and components of members (bucket, member, and the columns ``about``) that share a bucket.
 
     ``like`` tells from the columns of two members whether they can be linked, ``verify`` takes pairs (a, b) and
-    returns those that are, with other columns or not. Returns the links and (node, root).
+    returns those that are, with other columns or not. Returns links that span each component, and (node, root).
 
     First each member is compared with the one of its bucket that has most company over all its buckets, as an
     original has among its copies. Members of one component need no comparison any more, so a group of near
@@ -92,3 +92,13 @@ def linked(
     # the components so far are stars, which new links only have to join
     known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return links.union(more), components(known.union(more.select("a", "b")), f"{folder}/roots-1")
+
+
+def every_link(marks: DataFrame, about: list[str], like: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], verify) -> DataFrame:
+    """All links of members that share a bucket, also within components (arguments as in ``linked``, whose links only span each of them).
+
+    Its work grows with the square of a group of members that are near to each other, as the number of their links does.
+    """
+    left = marks.select("bucket", F.struct("member", *about).alias("left"))
+    pairs = left.join(marks, "bucket").where("left.member < member").where(like(lambda c: F.col(f"left.{c}"), F.col))
+    return verify(pairs.select(F.col("left.member").alias("a"), F.col("member").alias("b")).distinct())

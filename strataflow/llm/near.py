@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.arrays import mix, occurrence_labels, order_minhash, shingles, slices, word_hashes
-from strataflow.llm.graph import linked, stored
+from strataflow.llm.graph import every_link, linked, stored
 from strataflow.sources import scratch_path
 
 WORDS = 5
@@ -154,7 +154,7 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
 
 
 class NearDuplicates:
-    """Classes of near-duplicate texts of a table; ``members`` and ``links`` are stored tables."""
+    """Classes of near-duplicate texts of a table; ``members`` and ``links`` are stored tables, ``links`` span each class."""
 
     def __init__(
         self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY,
@@ -203,14 +203,16 @@ class NearDuplicates:
 
         self.links, roots = linked(marks, ["n_grams", *parity], like, verify, f"{self.folder}/links")
         self.roots = roots.withColumnRenamed("node", "text")
+        self._every_link = lambda: every_link(marks, ["n_grams", *parity], like, verify)
 
     def classes(self) -> DataFrame:
         """One row per row of the table: doc_id, class_id (the least id in it), class_size, n_links of its text, whether it is first.
 
         Rows with equal texts are in one class, also texts without words. Null ids are in classes like others, but name a
-        class only if it has no other id.
+        class only if it has no other id. ``n_links`` counts the different texts near to this one that share a sketch with it, whether or not the
+        class needs the link. For that all pairs of a bucket are compared.
         """
-        pairs = self.links.select("a", "b").distinct()
+        pairs = self._stored(self._every_link().select("a", "b"), "every_link")
         degree = pairs.select(F.explode(F.array("a", "b")).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n_links"))
         rows = self.members.select("text", "key", "doc_id").join(self.roots, "text", "left").join(degree, "text", "left")
         rows = rows.withColumn("root", F.coalesce("root", "text"))

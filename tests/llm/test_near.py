@@ -123,3 +123,12 @@ def test_short_texts_with_one_word_more(spark):
     expected = brute_force(rows)
     assert all(c == d - d % 10 for d, c in expected)
     assert sorted((r["doc_id"], r["class_id"]) for r in near.near_duplicates(documents(spark, rows)).collect()) == expected
+
+
+def test_links_within_a_class_are_counted(spark):
+    """Copies of a long text with one word replaced at places of their own: each is near to all others."""
+    rng = random.Random(3)
+    base = prose(rng, 600).split()
+    rows = [(i, " ".join([*base[: 20 * i], f"new{i}", *base[20 * i + 1 :]]), "aa", "s") for i in range(25)]
+    found = near.near_duplicates(documents(spark, rows + rows[:3])).collect()
+    assert {(r["n_links"], r["class_size"]) for r in found} == {(24, 28)}
