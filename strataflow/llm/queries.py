@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, compression, fingerprints, language, licenses, lines, mixing, near, repeats, warc
+from strataflow.llm import bitplanes, bpe, compression, fingerprints, jaccard, language, licenses, lines, mixing, near, repeats, runs, warc
 from strataflow.sources import scratch_path
 
 
@@ -56,6 +56,18 @@ def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_counts(_load(spark, sf_dir, "documents"))
 
 
+def shingle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components_of(_load(spark, sf_dir, "documents"))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_counts(runs.planted(_load(spark, sf_dir, "documents")))
+
+
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.cluster_report(_load(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_records,
     "op2_compression_bands": compression_bands,
@@ -67,8 +79,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": near_duplicates,
     "op9_fingerprint": document_fingerprints,
     "op10_language_id": languages,
+    "op11_ngram_jaccard": shingle_components,
+    "op12_periodic_runs": periodic_runs,
+    "op13_bitplane_clusters": clusters,
 }
 
 ORACLE: dict[str, str] = {
     "op4_mix_sources": mixing.ORACLE_SQL,
+    "op11_ngram_jaccard": jaccard.ORACLE_SQL,
+    "op12_periodic_runs": runs.ORACLE_SQL,
+    "op13_bitplane_clusters": bitplanes.ORACLE_SQL,
 }

@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from helpers import documents, odd_rows, plain
-from strataflow.llm import bpe, compression, fingerprints, language, licenses, lines, mixing, near, repeats
+from strataflow.llm import bpe, compression, fingerprints, jaccard, language, licenses, lines, mixing, near, repeats, runs
 
 OPERATORS = {
     "compression": compression.compression_bands,
@@ -18,6 +18,9 @@ OPERATORS = {
     "near": near.near_duplicates,
     "fingerprints": fingerprints.document_fingerprints,
     "language": language.identify,
+    "jaccard": jaccard.components_of,
+    "runs": runs.periodic_runs,
+    "planted runs": lambda df: runs.run_counts(runs.planted(df)),
 }
 
 
