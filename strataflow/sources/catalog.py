@@ -117,11 +117,13 @@ def compact(spark: SparkSession, name: str, stream_id: str, through: int) -> Non
     """Merge the batches of a stream up to ``through``, which must be closed, into the partition of that batch.
 
     A stream that writes a partition per batch has ever more of them; run this from time to time for batches that
-    its checkpoint has committed, while nothing reads the table. The rows are written to the last of the partitions first,
-    and only then the others are dropped; run it again if it was interrupted between the two.
+    its checkpoint has committed, while nothing reads the table. The merged rows are staged in a table ``{name}_compacting`` whose
+    rename is the commit; a run that finds it finishes what an interrupted one began, from the staged rows alone.
     """
     if not is_streamed(spark, name):
         raise ValueError(f"{name} is not a streamed table")
+    staged = f"{name}_compacting"
+    _finish_compaction(spark, name, staged)
     mine = f"{STREAM_ID} = '{_text(stream_id)}'"
     old = spark.table(name).where(f"{mine} and {BATCH_ID} <= {int(through)}")
     numbers = sorted(r[0] for r in old.select(BATCH_ID).distinct().collect())
@@ -129,15 +131,27 @@ def compact(spark: SparkSession, name: str, stream_id: str, through: int) -> Non
         return
     columns = ", ".join(quoted(c) for c in spark.table(name).columns if c not in BATCH_COLUMNS)
     merged = f"{name}_merged_{uuid.uuid4().hex}"
+    about = f"'stream' = '{_text(stream_id)}', 'batches' = '{','.join(map(str, numbers))}'"
     spark.sql(
-        f"CREATE TABLE {merged} USING parquet AS SELECT {columns} FROM {name} WHERE {mine} AND {BATCH_ID} <= {int(through)}"
+        f"CREATE TABLE {merged} USING parquet TBLPROPERTIES ({about}) "
+        f"AS SELECT {columns} FROM {name} WHERE {mine} AND {BATCH_ID} <= {int(through)}"
     )
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({mine}, {BATCH_ID} = {numbers[-1]}) SELECT {columns} FROM {merged}")
-        gone = ", ".join(f"PARTITION ({mine}, {BATCH_ID} = {number})" for number in numbers[:-1])
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {merged}")
+    spark.sql(f"ALTER TABLE {merged} RENAME TO {staged}")
+    _finish_compaction(spark, name, staged)
+
+
+def _finish_compaction(spark: SparkSession, name: str, staged: str) -> None:
+    """Replace the batches of a staged compaction by its rows, if there is one; doing so again changes nothing."""
+    if not spark.catalog.tableExists(staged):
+        return
+    about = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {staged}").collect()}
+    numbers = [int(n) for n in about["batches"].split(",")]
+    mine = f"{STREAM_ID} = '{_text(about['stream'])}'"
+    columns = ", ".join(quoted(c) for c in spark.table(staged).columns)
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({mine}, {BATCH_ID} = {numbers[-1]}) SELECT {columns} FROM {staged}")
+    gone = ", ".join(f"PARTITION ({mine}, {BATCH_ID} = {number})" for number in numbers[:-1])
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
+    spark.sql(f"DROP TABLE {staged}")
 
 
 def publish(df: DataFrame, name: str) -> str:
