@@ -205,22 +205,24 @@ class NearDuplicates:
         self.roots = roots.withColumnRenamed("node", "text")
         self._every_link = lambda: every_link(marks, ["n_grams", *parity], like, verify)
 
-    def classes(self) -> DataFrame:
-        """One row per row of the table: doc_id, class_id (the least id in it), class_size, n_links of its text, whether it is first.
+    def classes(self, count_links: bool = False) -> DataFrame:
+        """One row per row of the table: doc_id, class_id (the least id in it), class_size, whether it is first; and n_links of its text if wanted.
 
         Rows with equal texts are in one class, also texts without words. Null ids are in classes like others, but name a
         class only if it has no other id. ``n_links`` counts the different texts near to this one that share a sketch with it, whether or not the
-        class needs the link. For that all pairs of a bucket are compared.
+        class needs the link. For that all pairs of a bucket are compared, which grows with the square of a group, so it is left out unless
+        ``count_links`` asks for it; classes need no more than links that span them.
         """
+        rows = self.members.select("text", "key", "doc_id").join(self.roots, "text", "left").withColumn("root", F.coalesce("root", "text"))
+        classes = self._stored(rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
+        first = F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("names_class")
+        rows = rows.join(classes, "root")
+        if not count_links:
+            return rows.select("doc_id", "class_id", "class_size", first)
         pairs = self._stored(self._every_link().select("a", "b"), "every_link")
         degree = pairs.select(F.explode(F.array("a", "b")).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n_links"))
-        rows = self.members.select("text", "key", "doc_id").join(self.roots, "text", "left").join(degree, "text", "left")
-        rows = rows.withColumn("root", F.coalesce("root", "text"))
-        classes = self._stored(rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
-        return rows.join(classes, "root").select(
-            "doc_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-            F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("names_class"),
-        )
+        n_links = F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
+        return rows.join(degree, "text", "left").select("doc_id", "class_id", "class_size", n_links, first)
 
     def first_of_each(self) -> DataFrame:
         """(text, key) of one row per class: that with the least id, nulls last; rows that repeat share both."""
@@ -229,13 +231,15 @@ class NearDuplicates:
         return rows.groupBy("root").agg(first.alias("first")).select("first.text", "first.key")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", count_links: bool = False, **options
+) -> DataFrame:
     """One row per document with the class of its near duplicates (see ``NearDuplicates.classes``).
 
     A null text is empty. Texts of fewer than five words have one shingle of all their words; texts without words are
     near to equal ones only. Other columns of ``docs`` are not read.
     """
-    return NearDuplicates(docs, id_column, text_column, **options).classes()
+    return NearDuplicates(docs, id_column, text_column, **options).classes(count_links)
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

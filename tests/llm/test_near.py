@@ -130,5 +130,5 @@ def test_links_within_a_class_are_counted(spark):
     rng = random.Random(3)
     base = prose(rng, 600).split()
     rows = [(i, " ".join([*base[: 20 * i], f"new{i}", *base[20 * i + 1 :]]), "aa", "s") for i in range(25)]
-    found = near.near_duplicates(documents(spark, rows + rows[:3])).collect()
+    found = near.near_duplicates(documents(spark, rows + rows[:3]), count_links=True).collect()
     assert {(r["n_links"], r["class_size"]) for r in found} == {(24, 28)}
