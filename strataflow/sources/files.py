@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 from strataflow.functions.columns import column
 
-EMPTY = "\x02"
-"""What the reader puts for an empty text between quotes, so that it is not taken for a missing one."""
-
 DIALECT = {
     "header": True,
     "quote": '"',
@@ -38,7 +35,13 @@ def read_csv(
     ``infer`` reads the files twice; a schema reads them once. Line breaks inside quotes make a file
     one task: with ``multi_line=False`` large files are split, if no field has a line break.
     """
-    strict = {"enforceSchema": False, "mode": "FAILFAST", "columnPruning": False, "emptyValue": EMPTY}
+    # what the reader puts for an empty text between quotes, so that it is not taken for a missing one: a new name each
+    # time, so that no file can hold it
+    empty = f"empty-{uuid.uuid4().hex}"
+    # what the reader puts for an empty text between quotes, so that it is not taken for a missing one: a new name each
+    # time, so that no file can hold it
+    empty = f"empty-{uuid.uuid4().hex}"
+    strict = {"enforceSchema": False, "mode": "FAILFAST", "columnPruning": False, "emptyValue": empty}
     reader = spark.read.options(**{**DIALECT, **strict, "multiLine": multi_line, **options})
     if schema is not None:
         rows = reader.schema(schema).csv(path)
@@ -46,7 +49,7 @@ def read_csv(
         rows = reader.option("inferSchema", infer).csv(path)
     texts = {f.name for f in rows.schema if isinstance(f.dataType, T.StringType)}
     shown = [
-        F.when(column(c) == EMPTY, "").otherwise(column(c)).alias(c) if c in texts else column(c) for c in rows.columns
+        F.when(column(c) == empty, "").otherwise(column(c)).alias(c) if c in texts else column(c) for c in rows.columns
     ]
     return rows.select(shown)
 
