@@ -38,9 +38,6 @@ def read_csv(
     # what the reader puts for an empty text between quotes, so that it is not taken for a missing one: a new name each
     # time, so that no file can hold it
     empty = f"empty-{uuid.uuid4().hex}"
-    # what the reader puts for an empty text between quotes, so that it is not taken for a missing one: a new name each
-    # time, so that no file can hold it
-    empty = f"empty-{uuid.uuid4().hex}"
     strict = {"enforceSchema": False, "mode": "FAILFAST", "columnPruning": False, "emptyValue": empty}
     reader = spark.read.options(**{**DIALECT, **strict, "multiLine": multi_line, **options})
     if schema is not None:
