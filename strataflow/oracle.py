@@ -53,6 +53,7 @@ ORACLE: dict[str, str] = {
         c_acctbal, c_mktsegment FROM customer""",
     "q_csv_typed": ORDERS_BY_DAY,
     "q_csv_documents": "SELECT * FROM documents",
+    "q_csv_split": "SELECT * FROM documents",
     "q_csv_inferred": "SELECT * FROM part",
     "q_csv_export": "SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source",
     "q_table_scan": "SELECT * FROM customer",

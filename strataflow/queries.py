@@ -134,6 +134,14 @@ def csv_documents(spark, sf_dir):
     return read_csv(spark, path, documents.schema)
 
 
+def csv_split(spark, sf_dir):
+    """Whole documents from a single file that is cut into ranges, whatever line breaks stand in their texts."""
+    path = scratch_path(spark, "csv")
+    documents = load(spark, sf_dir, "documents")
+    export_csv(documents, path, single_file=True)
+    return read_csv(spark, path, documents.schema, multi_line="split")
+
+
 def csv_inferred(spark, sf_dir):
     path = scratch_path(spark, "csv")
     export_csv(load(spark, sf_dir, "part"), path)
@@ -661,6 +669,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_csv_scan": csv_scan,
     "q_csv_typed": csv_typed,
     "q_csv_documents": csv_documents,
+    "q_csv_split": csv_split,
     "q_csv_inferred": csv_inferred,
     "q_csv_export": csv_export,
     "q_table_scan": table_scan,

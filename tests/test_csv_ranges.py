@@ -1,0 +1,106 @@
+"""CSV with line breaks in fields, cut into ranges at every place a border can fall on."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from strataflow.sources import export_csv, read_csv, scratch_path
+
+SCHEMA = "i bigint, t string, u string"
+TEXTS = [None, "", " ", '"', '""', "a\nb", "\n", "\n\n\"x\"\n", "a,b", 'say "hi"\n, ok', "end\r\n\r\n", "é日本\n🙂", "\\", "'", '",\n"', "\x02"]
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Ranges of the wanted number of bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+
+    def use(size):
+        spark.conf.set(names[0], str(size))
+        spark.conf.set(names[1], "0")
+
+    yield use
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def table(n, seed):
+    rng = random.Random(seed)
+    return [(i, rng.choice(TEXTS), "".join(rng.choice([*'ab",\n ', "\r\n", "é"]) for _ in range(rng.randint(0, 12))) or None) for i in range(n)]
+
+
+def test_every_border(spark, small_ranges, tmp_path):
+    rows = [(1, "a\nb", 'x"y'), (2, None, ""), (3, '",\n"', "\n\n"), (4, "plain", "z\r\n"), (5, "q" * 40 + "\n" + "r" * 40, "")]
+    path = str(tmp_path / "one")
+    export_csv(spark.createDataFrame(rows, SCHEMA), path, single_file=True)
+    size = max(f.stat().st_size for f in (tmp_path / "one").glob("*.csv"))
+    for width in [*range(7, 24), 41, 64, size - 1, size, size + 1]:
+        small_ranges(width)
+        found = read_csv(spark, path, SCHEMA, multi_line="split")
+        assert sorted(tuple(r) for r in found.collect()) == rows, width
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equal_to_whole_files_in_more_tasks(spark, small_ranges, seed):
+    rows = table(400, seed)
+    path = scratch_path(spark, "csv")
+    export_csv(spark.createDataFrame(rows, SCHEMA).repartition(3), path)
+    whole = sorted((tuple(r) for r in read_csv(spark, path, SCHEMA).collect()), key=repr)
+    small_ranges(256)
+    found = read_csv(spark, path, SCHEMA, multi_line="split")
+    assert found.rdd.getNumPartitions() > 3
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == whole == sorted(rows, key=repr)
+    assert found.select("u").count() == len(rows)
+    names = read_csv(spark, path, multi_line="split")
+    assert names.dtypes == [("i", "string"), ("t", "string"), ("u", "string")] and names.count() == len(rows)
+
+
+def test_a_record_over_many_ranges(spark, small_ranges):
+    rows = [(1, "x\n" * 3000, None), (2, "after", "\n"), (3, "y\n" * 2000, "z")]
+    path = scratch_path(spark, "csv")
+    export_csv(spark.createDataFrame(rows, SCHEMA), path, single_file=True)
+    small_ranges(500)
+    assert sorted(tuple(r) for r in read_csv(spark, path, SCHEMA, multi_line="split").collect()) == rows
+
+
+def test_line_ends_separators_and_empty_files(spark, small_ranges, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'i;t;u\r\n1;"a\r\nb";c\r\n\r\n2;;"x;""y"\r\n')
+    (tmp_path / "b.csv").write_bytes(b"")
+    (tmp_path / "c.csv").write_bytes(b"i;t;u\n")
+    (tmp_path / "d.csv").write_bytes(b"i;t;u\n1;no;end")
+    for width in (5, 9, 1 << 20):
+        small_ranges(width)
+        found = read_csv(spark, str(tmp_path), SCHEMA, multi_line="split", sep=";").collect()
+        assert sorted((tuple(r) for r in found), key=repr) == [(1, "a\r\nb", "c"), (1, "no", "end"), (2, None, 'x;"y')], width
+
+
+@pytest.mark.parametrize("body", ['1,5" pipe,x\n2,a,b\n', '1,"a"b,c\n', '1, "a",b\n', "1,a\n", "1,a,b,c\n", '1,"open,b\n'])
+def test_bad_records_raise(spark, small_ranges, tmp_path, body):
+    (tmp_path / "x.csv").write_text("i,t,u\n" + body)
+    for width in (6, 1 << 20):
+        small_ranges(width)
+        with pytest.raises(Exception):
+            read_csv(spark, str(tmp_path), SCHEMA, multi_line="split").select("i").collect()
+
+
+def test_other_headers_and_options_raise(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("i,u,t\n1,a,b\n")
+    with pytest.raises(Exception, match="the header has"):
+        read_csv(spark, str(tmp_path), SCHEMA, multi_line="split").collect()
+    with pytest.raises(ValueError, match="quote"):
+        read_csv(spark, str(tmp_path), SCHEMA, multi_line="split", quote="'")
+    with pytest.raises(ValueError, match="infer"):
+        read_csv(spark, str(tmp_path), infer=True, multi_line="split")
+
+
+def test_other_ranges_than_those_counted_raise(spark, small_ranges):
+    path = scratch_path(spark, "csv")
+    export_csv(spark.createDataFrame(table(60, 5), SCHEMA), path, single_file=True)
+    small_ranges(100)
+    found = read_csv(spark, path, SCHEMA, multi_line="split")
+    small_ranges(70)
+    with pytest.raises(Exception, match="changed since"):
+        found.collect()
