@@ -16,6 +16,7 @@ from strataflow.operators.features import (
 from strataflow.operators.joins import join_column, join_on_keys, may_broadcast, sketch_keys
 from strataflow.operators.registry import Registry
 from strataflow.operators.split import hash_bucket, hash_split
+from strataflow.operators.table_classifier import TableClassifier, fit_table_logistic
 
 __all__ = [
     "CategoryTable",
@@ -24,12 +25,14 @@ __all__ = [
     "LinearClassifier",
     "Preparation",
     "Registry",
+    "TableClassifier",
     "accuracy",
     "category_pairs",
     "fit",
     "fit_categories",
     "fit_logistic",
     "fit_ranges",
+    "fit_table_logistic",
     "hash_bucket",
     "hash_split",
     "join_column",

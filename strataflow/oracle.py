@@ -136,6 +136,8 @@ ORACLE: dict[str, str] = {
     "q_train_optimum": f"""SELECT feature, 0.0::double AS slope FROM (
         SELECT DISTINCT 'lang_' || lang AS feature FROM documents
         UNION ALL VALUES ('n_chars'), ('intercept')) AS f""",
+    "q_train_table": """SELECT DISTINCT 0 AS column, p_name AS category, 0.0::double AS slope FROM part
+        UNION ALL SELECT DISTINCT 1, p_brand, 0.0::double FROM part UNION ALL SELECT 2, 'intercept', 0.0::double""",
     "q_train_closed_form": f"""WITH o AS ({ODDS.format(rows="true")})
         SELECT 'english' AS feature, round(english - other, 4) AS weight FROM o
         UNION ALL SELECT 'intercept' AS feature, round(other, 4) AS weight FROM o""",

@@ -22,6 +22,7 @@ from strataflow.operators import (
     fit,
     fit_category_table,
     fit_logistic,
+    fit_table_logistic,
     hash_bucket,
     hash_split,
     join_column,
@@ -489,6 +490,23 @@ def optimum(spark, sf_dir):
     return sums.unpivot([], sums.columns, "feature", "slope")
 
 
+def table_optimum(spark, sf_dir):
+    """The same for weights that are a table: parts above size 25 by name, brand and price, and the slope of each category."""
+    part = load(spark, sf_dir, "part").withColumn("large", (F.col("p_size") > 25).cast("bigint"))
+    fitted = fit_category_table(
+        part, FeatureSpec(("p_partkey",), ("p_name", "p_brand"), ("p_retailprice",)), scratch_path(spark, "categories")
+    )
+    sparse = sparse_features(part, fitted, ["p_name", "p_brand", "large"])
+    model = fit_table_logistic(sparse, "large", fitted, scratch_path(spark, "weights"))
+    scored = model.margins(sparse, fitted, ["p_name", "p_brand", "large"])
+    error = (1.0 / (1.0 + F.exp(-F.col("margin"))) - F.col("large")).alias("error")
+    each = F.posexplode(F.array("p_name", "p_brand", F.lit("intercept"))).alias("column", "category")
+    slopes = scored.select(error, each).groupBy("column", "category").agg(F.sum("error").alias("slope"))
+    weights = fitted.places(spark).join(model.weights(spark), "place").select("column", "category", "weight")
+    slope = F.round(F.col("slope") + F.coalesce("weight", F.lit(0.0)), 2) + F.lit(0.0)
+    return slopes.join(weights, ["column", "category"], "left").select("column", "category", slope.alias("slope"))
+
+
 ENGLISH = FeatureSpec(("doc_id",), (), ("english",), "quality")
 
 
@@ -715,6 +733,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_train": trained,
     "q_train_closed_form": closed_form,
     "q_train_optimum": optimum,
+    "q_train_table": table_optimum,
     "q_runs": run_metrics,
     "q_train_scores": trained_scores,
     "q_model_versions": model_versions,
