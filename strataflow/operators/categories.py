@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import all_present, column, number, numbers_present
+from strataflow.functions.columns import all_present, column, combine, number, numbers_present
 from strataflow.operators.features import category_pairs, fit_ranges
 from strataflow.operators.joins import join_column, may_broadcast
 from strataflow.spec import FeatureSpec
@@ -65,18 +66,28 @@ def fit_category_table(df: DataFrame, spec: FeatureSpec, path: str, on_bad: str
 
 
 def sparse_features(
-    df: DataFrame, fitted: CategoryTable, keep: Sequence[str], output: str = "features", on_unknown: str = "error", on_bad: str = "error"
+    df: DataFrame,
+    fitted: CategoryTable,
+    keep: Sequence[str],
+    output: str = "features",
+    on_unknown: str = "error",
+    on_bad: str = "error",
+    incomplete: str = "drop",
 ) -> DataFrame:
     """The ``keep`` columns and the features of each complete row as a struct (size, indices, values), zeros left out.
 
     Each category is looked up by a join with the fitted table: by broadcast where that has been counted small, else by key.
-    One that was not fitted raises, or with ``on_unknown="ignore"`` gives zeros.
+    One that was not fitted raises, or with ``on_unknown="ignore"`` gives zeros. With ``incomplete="encode"`` all rows stay:
+    a missing category gives zeros, and a row that lacks a number has null features.
     """
+    if incomplete not in ("drop", "encode"):
+        raise ValueError(f"incomplete must be drop or encode, not {incomplete!r}")
     spark = df.sparkSession
     numeric = list(fitted.ranges)
     kept = [f"__keep_{i}" for i in range(len(keep))]
-    complete = df.filter(all_present(df.schema, list(fitted.columns)) & numbers_present(df.schema, numeric, on_bad))
-    rows = complete.select(
+    if incomplete == "drop":
+        df = df.filter(all_present(df.schema, list(fitted.columns)) & numbers_present(df.schema, numeric, on_bad))
+    rows = df.select(
         *[column(c).alias(k) for c, k in zip(keep, kept)],
         *[column(c).cast("string").alias(f"__text_{i}") for i, c in enumerate(fitted.columns)],
         *[number(c, df.schema[c].dataType, on_bad).alias(f"__number_{i}") for i, c in enumerate(numeric)],
@@ -92,7 +103,8 @@ def sparse_features(
             rows = known.unionByName(unknown)
         if on_unknown == "error":
             raised = F.raise_error(F.concat(F.lit(f"unknown category in {name}: "), F.col(f"__text_{i}")))
-            rows = rows.withColumn(f"__place_{i}", F.coalesce(F.col(f"__place_{i}"), raised.cast("bigint")))
+            known = F.col(f"__place_{i}").isNotNull() | F.col(f"__text_{i}").isNull()
+            rows = rows.withColumn(f"__place_{i}", F.when(known, F.col(f"__place_{i}")).otherwise(raised.cast("bigint")))
     entries = [F.struct(F.col(f"__place_{i}").alias("i"), F.lit(1.0).alias("v")) for i in range(len(fitted.columns))]
     for i, (low, high) in enumerate(fitted.ranges.values()):
         width = high - low if high - low > 1e-15 else 1.0
@@ -104,4 +116,7 @@ def sparse_features(
         F.transform(present, lambda e: e["i"]).alias("indices"),
         F.transform(present, lambda e: e["v"]).alias("values"),
     )
+    if incomplete == "encode" and numeric:
+        numbers = [F.col(f"__number_{i}").isNotNull() for i in range(len(numeric))]
+        vector = F.when(combine(operator.and_, numbers, F.lit(True)), vector)
     return rows.select(*[column(k).alias(c) for k, c in zip(kept, keep)], vector.alias(output))

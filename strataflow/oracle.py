@@ -48,6 +48,11 @@ ODDS = """SELECT max(CASE WHEN en THEN odds END) AS english, max(CASE WHEN NOT e
     SELECT d.lang IS NOT DISTINCT FROM 'en' AS en, ln(avg(l.quality) / (1 - avg(l.quality))) AS odds
     FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE {rows} GROUP BY 1)"""
 
+PLACES = f"""SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS name_place,
+        (SELECT count(DISTINCT p_name) FROM part) + dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_place,
+        {_scaled('p_retailprice', 'part')} AS price,
+        (SELECT count(DISTINCT p_name) + count(DISTINCT p_brand) + 1 FROM part) AS size FROM part"""
+
 ORACLE: dict[str, str] = {
     "q_csv_scan": """SELECT c_custkey::varchar AS c_custkey, c_name, c_nationkey::varchar AS c_nationkey,
         c_acctbal, c_mktsegment FROM customer""",
@@ -111,10 +116,8 @@ ORACLE: dict[str, str] = {
     "q_vectors": f"""SELECT p_partkey, dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_place,
         (SELECT count(DISTINCT p_brand) FROM part) + dense_rank() OVER (ORDER BY p_type) - 1 AS type_place,
         {_scaled('p_retailprice', 'part')} AS price FROM part""",
-    "q_vectors_many": f"""SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS name_place,
-        (SELECT count(DISTINCT p_name) FROM part) + dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_place,
-        {_scaled('p_retailprice', 'part')} AS price,
-        (SELECT count(DISTINCT p_name) + count(DISTINCT p_brand) + 1 FROM part) AS size FROM part""",
+    "q_vectors_many": PLACES,
+    "q_stream_silver_many": PLACES,
     "q_label_join": """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
     "q_label_join_frequent": """SELECT e.event_id, e.key, e.value, c.c_mktsegment FROM

@@ -63,7 +63,7 @@ from strataflow.sources import (
     write_messages,
 )
 from strataflow.spec import FeatureSpec, Layers, TableFormat
-from strataflow.streaming import LayerStream, for_each_batch, stream_id, to_table
+from strataflow.streaming import LayerStream, SparseLayerStream, for_each_batch, stream_id, to_table
 
 STREAM_SECONDS = 900
 
@@ -360,6 +360,10 @@ def vectors_many(spark, sf_dir):
     part = load(spark, sf_dir, "part")
     spec = FeatureSpec(("p_partkey",), ("p_name", "p_brand"), ("p_retailprice",))
     rows = sparse_features(part, fit_category_table(part, spec, scratch_path(spark, "categories")), ["p_partkey"])
+    return _places(rows)
+
+
+def _places(rows: DataFrame) -> DataFrame:
     price = F.when(F.size("features.indices") == 3, F.get("features.values", F.lit(2))).otherwise(0.0)
     return rows.select(
         "p_partkey",
@@ -610,11 +614,11 @@ def job_gold(spark, sf_dir, in_place: bool):
 MESSAGE_FILES = 3
 
 
-def messages_of(events: DataFrame) -> DataFrame:
+def messages_of(events: DataFrame, fields: tuple[str, ...] = EVENT_FIELDS) -> DataFrame:
     """Rows as a stream of JSON messages: text files, each of which is a micro-batch."""
     spark = events.sparkSession
     path = scratch_path(spark, "messages")
-    write_messages(events.select(*EVENT_FIELDS).repartition(MESSAGE_FILES, "event_id"), "text", {}, path)
+    write_messages(events.select(*fields).repartition(MESSAGE_FILES, fields[0]), "text", {}, path)
     return read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path)
 
 
@@ -657,6 +661,18 @@ def stream_layer(spark, sf_dir, layer: str):
     return rows.withColumn("value", F.col("value").cast("double"))
 
 
+def stream_silver_many(spark, sf_dir):
+    """Streamed parts with a column in which many rows have a category of their own, looked up in the fitted table."""
+    part = load(spark, sf_dir, "part")
+    fields = ("p_partkey", "p_name", "p_brand", "p_retailprice")
+    spec = FeatureSpec(("p_partkey",), ("p_name", "p_brand"), ("p_retailprice",))
+    fitted = fit_category_table(part, spec, scratch_path(spark, "categories"))
+    layers = Layers(new_database(spark), fmt=TableFormat(streamed=True))
+    stream = SparseLayerStream(fields, spec, layers, {0: (fitted, None)})
+    _finish(stream.start(messages_of(part, fields), scratch_path(spark, "checkpoint"), available_now=True))
+    return _places(read_table(spark, layers.table("silver")).withColumn("p_partkey", F.col("p_partkey").cast("bigint")))
+
+
 def stream_gold_batches(spark, sf_dir):
     """Three micro-batches, the second of them written twice, then merged into one partition."""
     stream = _layer_stream(spark, sf_dir)
@@ -746,5 +762,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_after_batch": stream_after_batch,
     "q_stream_silver": partial(stream_layer, layer="silver"),
     "q_stream_gold": partial(stream_layer, layer="gold"),
+    "q_stream_silver_many": stream_silver_many,
     "q_stream_gold_batches": stream_gold_batches,
 }

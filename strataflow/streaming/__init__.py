@@ -2,5 +2,6 @@
 
 from strataflow.streaming.layers import LayerStream
 from strataflow.streaming.queries import await_any, console, for_each_batch, stream_id, to_table
+from strataflow.streaming.sparse import SparseLayerStream
 
-__all__ = ["LayerStream", "await_any", "console", "for_each_batch", "stream_id", "to_table"]
+__all__ = ["LayerStream", "SparseLayerStream", "await_any", "console", "for_each_batch", "stream_id", "to_table"]
