@@ -40,7 +40,7 @@ def _in_order(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows (bucket, is_copy, doc_id, text) such that the next row of the same bucket is the next document.
 
     Documents are dealt out by ranges of ids. The first document of each range is copied to the end of the range
-    before it, and the first of all to the end of the last.
+    before it, and the first of all to the end of the last. Null ids come last, dealt out over 64 ranges of the hashes of their texts.
     """
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"),
@@ -52,18 +52,20 @@ def _in_order(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     number = F.col("doc_id").cast("double")
     dealt = Bucketizer(splits=splits, inputCol="number", outputCol="range").transform(rows.withColumn("number", F.coalesce(number, F.lit(0.0))))
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(splits))).otherwise(len(splits) - 1 - F.col("range").cast("int"))
+    of_nulls = F.lit(len(splits)) + (F.shiftright("tie", 58) + 32).cast("int")  # come last, in the order of their texts' hashes
+    bucket = F.when(F.col("doc_id").isNull(), of_nulls).otherwise(len(splits) - 1 - F.col("range").cast("int"))
     dealt = dealt.select("doc_id", "text", "tie", bucket.alias("bucket"))
-    first = F.min(F.struct((-F.col("doc_id")).alias("least"), "tie")).alias("first")  # null ids stand alone in a bucket
+    # the complement turns the order round and has a value for each id; null ids stand alone in their buckets
+    first = F.min(F.struct(F.bitwise_not("doc_id").alias("least"), "tie")).alias("first")
     heads = sorted((r.bucket, r.first.least, r.first.tie) for r in dealt.groupBy("bucket").agg(first).collect())
     before = [heads[i - 1][0] for i in range(len(heads))]  # of the first one: the last
-    table = [(b, None if least is None else -least, tie, to) for (b, least, tie), to in zip(heads, before)]
+    table = [(b, None if least is None else ~least, tie, to) for (b, least, tie), to in zip(heads, before)]
     copies = spark.createDataFrame(table, "bucket int, head_id bigint, head_tie bigint, copy_to int")
     is_head = (F.col("tie") == F.col("head_tie")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
     places = F.array(
         F.struct("bucket", F.lit(False).alias("is_copy")), F.when(is_head, F.struct(F.col("copy_to").alias("bucket"), F.lit(True).alias("is_copy")))
     )
-    # one row per range, and there are four ranges per shuffle partition
+    # one row per range, and there are four ranges per shuffle partition and 64 for null ids
     placed = dealt.join(F.broadcast(copies), "bucket").withColumn("place", F.explode(F.array_compact(places)))
     return (
         placed.select("place.bucket", "place.is_copy", "doc_id", "text", "tie")

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from helpers import documents, odd_rows, prose
 from strataflow.llm import fingerprints
@@ -59,3 +60,24 @@ def test_order_and_edits_show():
     small = words[:100] + ["other"] + words[101:]
     a, b, c, d = fingerprints.fingerprints([" ".join(w).encode() for w in (words, small, moved, prose(rng, 400).split())], count=256)
     assert (a == b).mean() > 0.9 > 0.8 > (a == c).mean() > (a == d).mean() == 0
+
+
+def test_least_and_null_ids(spark):
+    least = -(1 << 63)
+    rows = [(least, "the first text of all", None, None), (least + 1, "another text", None, None), (1 << 62, "a third one", None, None)]
+    rows += [(None, f"text {i} without an id", None, None) for i in range(400)]
+    docs = documents(spark, rows)
+    found = fingerprints.document_fingerprints(docs).collect()
+    assert len(found) == len(rows)
+    texts = {hashlib.sha256(edit.encode()).hexdigest(): a for a, edit in _edits(spark, docs)}
+    assert {r["edited_sha256"] for r in found} == set(texts)
+    placed = fingerprints._in_order(docs, "doc_id", "text").where("doc_id is null and not is_copy")
+    assert placed.select("bucket").distinct().count() > 40
+
+
+def _edits(spark, docs):
+    """Texts and edited texts by the order of the contract: ids descending, then null ids by the hash of the text."""
+    order = [r["text"] for r in docs.selectExpr("doc_id", "text", "xxhash64(cast(text as binary)) as tie").orderBy(F.col("doc_id").desc_nulls_last(), "tie").collect()]
+    for a, b in zip(order, order[1:] + order[:1]):
+        cut = len(a) // 3
+        yield a, a[: len(a) - cut] + b[:cut]
