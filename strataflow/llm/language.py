@@ -261,21 +261,20 @@ def train(
 ) -> LanguageModel | None:
     """Fit on a bounded sample of labelled documents that are not held out; None if there are none.
 
-    Of each language about ``sample_documents`` documents of at most ``sample_chars`` characters are taken, by a hash of
-    the id. The remainder 3 of crc32 modulo 4 is not counted but sets the limits of rejection: the largest
+    Of each language about ``sample_documents`` documents are taken, by a hash of id and text, and of each its first
+    ``sample_chars`` characters. Rows that repeat id and text count once. The remainder 3 of crc32 modulo 4 is not counted but sets the limits of rejection: the largest
     cross-entropy met there in a language plus ``MARGIN``. Word counts of the sample, bounded by it, are gathered on the driver.
     """
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"), held_out(id_column).alias("held_out")
     ).where("not held_out and lang is not null and text is not null")
-    rows = rows.where(F.length("text") <= sample_chars)
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
     spread = 1 << 32
-    luck = F.pmod(F.xxhash64("id"), F.lit(spread))
+    luck = F.pmod(F.xxhash64("id", "text"), F.lit(spread))
     shares = F.create_map(*(x for name, n in sizes.items() for x in (F.lit(name), F.lit(int(spread * min(1, sample_documents / n))))))
-    sample = rows.where(luck < shares[F.col("lang")])
+    sample = rows.where(luck < shares[F.col("lang")]).select("id", F.substring("text", 1, sample_chars).alias("text"), "lang").distinct()
     calibrates = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 3, F.lit(False))
     found = (
         sample.where(~calibrates).select("lang", "text").mapInArrow(_count_words, "lang string, word string, n bigint")

@@ -119,3 +119,21 @@ def test_without_labels(spark):
     bare = [(r[0], r[1], None, r[3]) for r in odd_rows()]
     found = language.identify(documents(spark, bare)).collect()
     assert {r["lang_pred"] for r in found} == {"und"} and any(not r["rejected"] for r in found)
+
+
+def test_a_language_with_long_texts_only_is_learned(spark):
+    rows = [(i, "ka lo mi nu pe " * 20, "aa", "s") for i in range(40)] + [(100 + i, "zeb zort zasim zetol " * 2000, "bb", "s") for i in range(40)]
+    found = language.identify(documents(spark, rows)).collect()
+    assert all(r["lang_pred"] == ("aa" if r["doc_id"] < 100 else "bb") for r in found)
+
+
+def test_the_sample_of_rows_without_ids_is_bounded(spark):
+    rows = documents(spark, [(None, f"ka lo mi nu {i}", "aa", "s") for i in range(3000)] + [(None, "so tu", "aa", "s")] * 3000)
+    seen = []
+    original = language.fit_model
+    try:
+        language.fit_model = lambda counts: seen.append(counts) or original(counts)
+        language.train(rows, sample_documents=300)
+    finally:
+        language.fit_model = original
+    assert 0 < max(seen[0]["aa"].values()) < 450
