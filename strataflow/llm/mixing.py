@@ -4,84 +4,125 @@ Rows of a source are cut into blocks. A source of weight w out of W has one bloc
 released at slot floor(j W / w) and due at slot ceil((j + 1) W / w), and each slot takes the released block that is due
 first. After any number of slots every source that has blocks left is less than one block away from its share. The
 schedule repeats after W slots, so only those are scheduled one by one, and a row finds its slot by arithmetic.
+
+Weights are whole numbers, so windows are exact and no error grows from cycle to cycle. Given weights are turned into whole
+numbers of the same proportions; if that takes more than ``MAX_SLOTS`` slots they are refused, not rounded.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import gcd, lcm
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.sources import scratch_path
 
 BLOCK_ROWS = 32
+#: Least slots between two blocks of a source that the given weights do not name.
 CYCLE = 500
+#: Most slots in a cycle of the sources that weights name: what is scheduled one by one, in one row.
+MAX_SLOTS = 100_000
 BUCKET_ROWS = 2_000
 #: Schedules of at most so many slots are broadcast, larger ones joined by key.
 BROADCAST_SLOTS = 100_000
-_CODE = 1 << 24
+_CHUNK = 512
 
 
 def _key(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
+def whole_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers of the same proportions. A float counts as the simplest fraction that has its value: 1 / 3 is a third."""
+
+    def fraction(weight: float) -> Fraction:
+        exact = Fraction(weight)
+        near = (exact.limit_denominator(10**digits) for digits in range(17))
+        return next((f for f in near if float(f) == weight), exact)
+
+    if any(not 0 <= w < float("inf") for w in weights.values()):
+        raise ValueError("weights must be finite and not negative")
+    parts = {name: fraction(w) for name, w in weights.items()}
+    common = lcm(*(f.denominator for f in parts.values()))
+    whole = {name: int(f * common) for name, f in parts.items()}
+    least = gcd(*whole.values()) or 1
+    whole = {name: w // least for name, w in whole.items()}
+    if sum(whole.values()) > MAX_SLOTS:
+        raise ValueError(f"the weights repeat after {sum(whole.values())} slots, more than {MAX_SLOTS}; give rounder ones")
+    return whole
+
+
 def target_weights(sizes: DataFrame, weights: dict[str, float] | None, cycle: int) -> DataFrame:
-    """(key, n, weight): whole weights, at least 1, that sum to about ``cycle``.
+    """(key, n, weight): whole weights, at least 1.
 
-    Without ``weights`` a source counts with the square root of its rows, so that large ones do not crowd out small ones. A
-    source that ``weights`` does not name has weight 1.
+    Without ``weights`` a source counts with the square root of its rows to the nearest whole number, so that large ones do not
+    crowd out small ones; all roots are divided by one number if they sum to more than ``MAX_SLOTS``. Given weights
+    keep their proportions. A source that they do not name, or name with 0, has one block in at least ``cycle`` slots.
     """
-    if weights is None:
-        wish = F.sqrt(F.col("n").cast("double"))
-    elif not weights:
-        wish = F.lit(0.0)
-    else:
-        named = F.create_map(*(x for name, w in weights.items() for x in (F.lit("=" + name), F.lit(float(w)))))
-        wish = F.coalesce(named[F.col("key")], F.lit(0.0))
     every = Window.partitionBy()  # one row per source
-    share = F.when(F.sum("wish").over(every) > 0, F.col("wish") / F.sum("wish").over(every)).otherwise(0.0)
-    return sizes.withColumn("wish", wish).select("key", "n", F.greatest(F.lit(1), F.round(cycle * share)).cast("bigint").alias("weight"))
+    if weights is None:
+        root = F.sqrt(F.col("n").cast("double"))
+        parts = F.ceil(F.sum(root).over(every) / MAX_SLOTS)
+        return sizes.select("key", "n", F.greatest(F.lit(1), F.round(root / parts)).cast("bigint").alias("weight"))
+    whole = whole_weights(weights)
+    named = F.create_map(*(x for name, w in whole.items() for x in (F.lit("=" + name), F.lit(w).cast("bigint")))) if whole else F.create_map()
+    wish = F.coalesce(F.try_element_at(named, F.col("key")), F.lit(0).cast("bigint")) if whole else F.lit(0).cast("bigint")
+    total, others = F.sum("wish").over(every), F.sum((F.col("wish") == 0).cast("int")).over(every)
+    times = F.when((total > 0) & (others > 0), F.ceil(F.lit(cycle) / F.greatest(total, F.lit(1)))).otherwise(F.lit(1))
+    return sizes.withColumn("wish", wish).select("key", "n", F.greatest(F.lit(1), F.col("wish") * times).cast("bigint").alias("weight"))
 
 
 def schedule(weights: DataFrame) -> DataFrame:
     """(key, slots, n, weight, j, release, deadline, slot) for all blocks of one cycle, earliest deadline first.
 
-    Work and memory go with slots times sources; both are bounded by the number of sources and the cycle wanted.
+    Blocks are taken by deadline, ties by key, and each gets the first free slot from its release on: what is due
+    later cannot take a slot from what is due earlier, so this is the order of earliest deadlines without asking all sources
+    at each slot. Free slots before the last taken one are kept in a list; there are fewer of them than sources.
     """
     one = weights.agg(F.array_sort(F.collect_list(F.struct("key", "n", "weight"))).alias("sources"), F.sum("weight").alias("slots"))
-
-    def release(j: Column, weight: Column) -> Column:
-        return F.floor(j * F.col("slots") / weight).cast("bigint")
-
-    def deadline(j: Column, weight: Column) -> Column:
-        return F.ceil((j + 1) * F.col("slots") / weight).cast("bigint")
-
-    def choose(state: Column, slot: Column) -> Column:
-        due = F.transform(
-            "sources",
-            lambda s, i: F.when(
-                release(F.get(state["next"], i), s["weight"]) <= slot, deadline(F.get(state["next"], i), s["weight"]) * _CODE + i
+    blocks = one.select("slots", F.posexplode("sources").alias("i", "source")).select("slots", "i", "source.*")
+    blocks = blocks.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("weight") - 1)).alias("j"))
+    release = F.floor(F.col("j") * F.col("slots") / F.col("weight")).cast("bigint").alias("release")
+    deadline = F.ceil((F.col("j") + 1) * F.col("slots") / F.col("weight")).cast("bigint").alias("deadline")
+    by_deadline = F.struct(deadline, "i", "j", release, "key", "slots", "n", "weight")
+    ordered = blocks.agg(F.array_sort(F.collect_list(by_deadline)).alias("blocks"))
+
+    def take(state: Column, block: Column) -> Column:
+        later = F.filter(state["free"], lambda s: s >= block["release"])
+        slot = F.coalesce(F.get(later, 0), F.greatest(state["end"], block["release"]))
+        passed = F.when(slot > state["end"], F.sequence(state["end"], slot - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(
+            F.array(F.struct(slot.alias("slot"), passed.alias("passed"))),
+            lambda found: F.struct(
+                F.concat(F.filter(state["free"], lambda s: s != found["slot"]), found["passed"]).alias("free"),
+                F.greatest(state["end"], found["slot"] + 1).alias("end"),
+                F.array_append(state["taken"], found["slot"]).alias("taken"),
             ),
-        )
+        )[0]
+
+    def take_chunk(state: Column, chunk: Column) -> Column:
+        start = F.struct(state["free"].alias("free"), state["end"].alias("end"), F.array().cast("array<bigint>").alias("taken"))
         return F.transform(
-            F.array(F.array_min(due) % _CODE),
-            lambda best: F.struct(
-                F.transform(state["next"], lambda j, i: F.when(i == best, j + 1).otherwise(j)).alias("next"),
-                F.array_append(
-                    state["taken"], F.struct(best.cast("int").alias("source"), F.get(state["next"], best.cast("int")).alias("j"), slot.alias("slot"))
-                ).alias("taken"),
+            F.array(F.aggregate(chunk, start, take)),
+            lambda after: F.struct(
+                after["free"].alias("free"), after["end"].alias("end"), F.array_append(state["taken"], after["taken"]).alias("taken")
             ),
         )[0]
 
+    # the list of slots grows by chunks, since appending copies it
+    last = F.greatest(F.floor((F.size("blocks") - 1) / _CHUNK), F.lit(0)).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice("blocks", c * _CHUNK + 1, F.lit(_CHUNK)))
     start = F.struct(
-        F.transform("sources", lambda s: F.lit(0).cast("bigint")).alias("next"),
-        F.array().cast("array<struct<source:int,j:bigint,slot:bigint>>").alias("taken"),
+        F.array().cast("array<bigint>").alias("free"),
+        F.lit(0).cast("bigint").alias("end"),
+        F.array().cast("array<array<bigint>>").alias("taken"),
     )
-    steps = F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)
-    taken = one.where("slots is not null").select("sources", "slots", F.explode(F.aggregate(steps, start, choose, lambda s: s["taken"])).alias("t"))
-    source = F.get("sources", F.col("t.source"))
-    rows = taken.select(source["key"].alias("key"), "slots", source["n"].alias("n"), source["weight"].alias("weight"), "t.j", "t.slot")
-    return rows.select("*", release(F.col("j"), F.col("weight")).alias("release"), deadline(F.col("j"), F.col("weight")).alias("deadline"))
+    slots = F.flatten(F.aggregate(chunks, start, take_chunk, lambda s: s["taken"])).alias("slot")
+    taken = ordered.select("blocks", slots).select(F.explode(F.arrays_zip(F.col("blocks").alias("b"), F.col("slot").alias("slot"))).alias("t"))
+    kept = ("key", "slots", "n", "weight", "j", "release", "deadline")
+    return taken.select(*(F.col(f"t.b.{c}").alias(c) for c in kept), F.col("t.slot").alias("slot"))
 
 
 def mix(
@@ -156,7 +197,7 @@ def plan(docs: DataFrame, **options) -> DataFrame:
 ORACLE_SQL = f"""
 WITH RECURSIVE sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 weights AS (
-  SELECT source, n, greatest(1, round({CYCLE} * sqrt(n) / sum(sqrt(n)) OVER ()))::BIGINT AS weight FROM sizes
+  SELECT source, n, greatest(1, round(sqrt(n) / ceil(sum(sqrt(n)) OVER () / {MAX_SLOTS})))::BIGINT AS weight FROM sizes
 ),
 lists AS (
   SELECT list(source ORDER BY source NULLS FIRST) AS names, list(weight ORDER BY source NULLS FIRST) AS ws, sum(weight)::BIGINT AS slots FROM weights
@@ -167,7 +208,7 @@ walk AS (
   SELECT t + 1, list_transform(range(1, len(ws) + 1), lambda i: upcoming[i] + CASE WHEN i = best THEN 1 ELSE 0 END), best, upcoming[best]
   FROM (
     SELECT t, upcoming, ws, slots, list_min(list_transform(range(1, len(ws) + 1), lambda i:
-      CASE WHEN floor(upcoming[i] * slots / ws[i]) <= t THEN ceil((upcoming[i] + 1) * slots / ws[i])::BIGINT * {_CODE} + i END)) % {_CODE} AS best
+      CASE WHEN floor(upcoming[i] * slots / ws[i]) <= t THEN ceil((upcoming[i] + 1) * slots / ws[i])::BIGINT * 16777216 + i END)) % 16777216 AS best
     FROM walk, lists WHERE t < slots
   )
 ),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 
@@ -55,3 +56,54 @@ def test_no_python_in_the_plan(spark):
         mixing.in_mixed_order(documents(spark)).explain()
     assert not any(word in out.getvalue() for word in ("Python", "Pandas", "InArrow"))
     assert plain(mixing.in_mixed_order(documents(spark))) == plain(documents(spark))
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"a": Fraction(1, 3), "b": Fraction(2, 3)},
+        {"a": 0.0005, "b": 0.2495, "c": 0.75},
+        {"a": 7, "b": 11, "c": 13, "d": 1000},
+        {f"s{i:04}": 1 + i % 3 for i in range(2000)},
+    ],
+    ids=["thirds", "small", "primes", "many"],
+)
+def test_cycles_hold_the_given_weights(spark, weights):
+    """Less than one block off within a cycle, not at all at its end: so it holds over any number of cycles."""
+    sizes = spark.createDataFrame([("=" + s, 1) for s in weights], "key string, n bigint")
+    given = {s: float(w) for s, w in weights.items()}
+    found = sorted((r["slot"], r["key"][1:], r["release"], r["deadline"]) for r in mixing.schedule(mixing.target_weights(sizes, given, 500)).collect())
+    slots, total = len(found), sum(weights.values())
+    share = {s: Fraction(w) / Fraction(total).limit_denominator(10**6) for s, w in weights.items()}
+    share = {s: x.limit_denominator(10**6) for s, x in share.items()}
+    assert [slot for slot, *_ in found] == list(range(slots)) and sum(share.values()) == 1
+    assert all(release <= slot < deadline for slot, _, release, deadline in found)
+    taken = Counter()
+    for slot, source, _, _ in found:
+        taken[source] += 1
+        if len(weights) < 10:
+            assert all(abs(taken[s] - x * (slot + 1)) < 1 for s, x in share.items())
+        # a source is behind most just before it is served and ahead most just after
+        assert abs(taken[source] - share[source] * (slot + 1)) < 1 and abs(taken[source] - 1 - share[source] * slot) < 1
+    assert all(taken[s] == share[s] * slots for s in weights)
+
+
+def test_schedule_is_earliest_deadline_first(spark):
+    """Against a walk slot by slot that asks all sources."""
+    weights = {"a": 3, "b": 5, "c": 1, "d": 14, "e": 4}
+    sizes = spark.createDataFrame([("=" + s, 1) for s in weights], "key string, n bigint")
+    found = {r["slot"]: (r["key"][1:], r["j"]) for r in mixing.schedule(mixing.target_weights(sizes, weights, 500)).collect()}
+    slots, upcoming = sum(weights.values()), dict.fromkeys(weights, 0)
+    for t in range(slots):
+        due = [(-(-(upcoming[s] + 1) * slots // w), s) for s, w in weights.items() if upcoming[s] * slots // w <= t]
+        source = min(due)[1]
+        assert found[t] == (source, upcoming[source])
+        upcoming[source] += 1
+
+
+def test_weights_that_do_not_repeat_soon_raise():
+    assert mixing.whole_weights({"a": 1 / 3, "b": 2 / 3}) == {"a": 1, "b": 2}
+    assert mixing.whole_weights({"a": 0.0005, "b": 1, "c": 0}) == {"a": 1, "b": 2000, "c": 0}
+    for bad in ({"a": 0.123456789, "b": 1}, {"a": -1}, {"a": float("nan")}, {"a": float("inf")}):
+        with pytest.raises(ValueError):
+            mixing.whole_weights(bad)
