@@ -4,7 +4,9 @@ A sort-merge join sends all rows of a key to one task. So both key sets are sket
 in one job over the key columns alone. A side that is small, counted in rows and bytes, is
 broadcast. Otherwise both are sorted and merged, once: the rows of a frequent key are dealt
 out over ``SALTS`` parts of that key, and the few matching rows of the other side, counted
-as well, go to each part. Spark's own guess of a size is not asked: it comes from the size
+as well, go to each part. Where a key has many rows on both sides, its pairs form a grid of
+cells: a row of the left goes to all cells of one grid row, a row of the right to all cells
+of one grid column, so each pair meets in one cell. Spark's own guess of a size is not asked: it comes from the size
 of files, and a table of 0/1 columns is a hundred times larger than its files.
 
 Sketches and counts are Spark jobs that run while the frame is built. The sizes hold for the
@@ -39,6 +41,9 @@ BROADCAST_BYTES = 64 << 20
 SALTS = 64
 """Parts of a frequent key, and how often the few rows that match it are repeated."""
 
+CELLS_PER_PARTITION = 4
+"""Least cells, by shuffle partitions, of a key that is frequent on both sides, so that no task gets many more than others."""
+
 
 def key_hash(keys: Sequence[str], types: Sequence[T.DataType] | None = None) -> Column:
     """Hash of the keys, as values of ``types`` where given."""
@@ -154,6 +159,32 @@ def repeatable_hashes(
     return chosen
 
 
+def matching_rows(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], types: Sequence[T.DataType], hashes: list[int]
+) -> dict[int, tuple[int, int]]:
+    """Rows of both sides for each of the key hashes that both have."""
+    h = key_hash(keys, types)
+    sides = [df.filter(h.isin(hashes)).select(h.alias("h"), F.lit(i).alias("side")) for i, df in enumerate((left, right))]
+    of_left = F.count(F.when(F.col("side") == 0, 1))
+    found = sides[0].union(sides[1]).groupBy("h").agg(of_left.alias("m"), (F.count("*") - of_left).alias("n"))
+    # one row per frequent key
+    return {row["h"]: (row["m"], row["n"]) for row in found.collect() if row["m"] and row["n"]}
+
+
+def grid_shape(m: int, n: int, partitions: int) -> tuple[int, int]:
+    """Rows and columns, powers of two, of the grid for m left and n right rows of a key.
+
+    There are at least ``SALTS`` cells and ``CELLS_PER_PARTITION`` for each partition. Left rows are repeated once per
+    column, right rows once per row; of all shapes with that many cells this one repeats least.
+    """
+    cells = 1
+    while cells < max(SALTS, CELLS_PER_PARTITION * partitions):
+        cells *= 2
+    heights = [1 << i for i in range(cells.bit_length())]
+    height = min(heights, key=lambda r: m * (cells // r) + n * r)
+    return height, cells // height
+
+
 def join_on_keys(
     left: DataFrame,
     right: DataFrame,
@@ -170,7 +201,8 @@ def join_on_keys(
     SQL inner join: a key that occurs m times on the left and n times on the right gives
     m * n rows, so one of the sides should have each key once. ``handle_frequent`` reads
     the key columns of both sides once more beforehand, from ``key_frames`` where those
-    hold the keys (and maybe more) at less cost, unless ``sketches`` of them are given. Keys
+    hold the keys (and maybe more) at less cost, unless ``sketches`` of them are given. A key with many rows on both sides
+    is joined in a grid of cells (``grid_shape``): each row is repeated about as often as the square root of their number. Keys
     with a collation, and pairs of types without a common one, are joined without salt.
     """
     keys = list(keys)
@@ -190,17 +222,23 @@ def join_on_keys(
         return _inner(F.broadcast(left), right, keys, extra)
     if types is None or not (sketches[0].frequent or sketches[1].frequent):
         return _inner(left, right.hint("merge"), keys, extra)
-    # a key with many rows on both sides is left to the join's own handling of skew
     hot_left = repeatable_hashes(right, keys, types, sketches[0].frequent, rows, size) if sketches[0].frequent else []
     of_right = [h for h in sketches[1].frequent if h not in hot_left]
     hot_right = repeatable_hashes(left, keys, types, of_right, rows, size) if of_right else []
-    if not hot_left and not hot_right:
+    shapes = {(SALTS, 1): hot_left, (1, SALTS): hot_right}
+    both = [h for h in {*sketches[0].frequent, *sketches[1].frequent} if h not in {*hot_left, *hot_right}]
+    if both:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        for h, counts in matching_rows(left, right, keys, types, both).items():
+            shapes.setdefault(grid_shape(*counts, partitions), []).append(h)
+    shapes = {shape: hashes for shape, hashes in shapes.items() if hashes}
+    if not shapes:
         return _inner(left, right.hint("merge"), keys, extra)
     salt = "__salt"
     while salt in left.columns or salt in right.columns:
         salt += "_"
-    salted = _salted(left, keys, types, hot_left, hot_right, salt), _salted(right, keys, types, hot_right, hot_left, salt)
-    return _inner(salted[0], salted[1].hint("merge"), keys, extra, salt)
+    cells = [_in_cells(df, keys, types, shapes, salt, side) for side, df in enumerate((left, right))]
+    return _inner(cells[0], cells[1].hint("merge"), keys, extra, salt)
 
 
 def join_column(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str, **options) -> DataFrame:
@@ -216,17 +254,22 @@ def complete_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(condition)
 
 
-def _salted(
-    df: DataFrame, keys: list[str], types: Sequence[T.DataType], dealt: list[int], repeated: list[int], salt: str
+def _in_cells(
+    df: DataFrame, keys: list[str], types: Sequence[T.DataType], shapes: dict[tuple[int, int], list[int]], salt: str, side: int
 ) -> DataFrame:
-    """Rows of ``dealt`` keys with a salt by their content, those of ``repeated`` keys with each salt, others with 0."""
+    """Each row once for every cell it belongs to: by its content in one row (side 0) or column (side 1) of its key's grid.
+
+    Cells are numbered row by row. Keys without a grid have one cell.
+    """
     h = key_hash(keys, types)
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
     # only what has an order can be hashed; maps count as text
-    content = [column(f.name) if _hashable(f.dataType) else F.to_json(F.struct(column(f.name))) for f in df.schema]
-    own = F.array(F.pmod(F.xxhash64(*content), F.lit(SALTS)).cast("int"))
-    salts = F.when(h.isin(repeated), every).when(h.isin(dealt), own).otherwise(F.array(F.lit(0)))
-    return df.withColumn(salt, F.explode(salts))
+    content = F.xxhash64(*[column(f.name) if _hashable(f.dataType) else F.to_json(F.struct(column(f.name))) for f in df.schema])
+    cells = F.array(F.lit(0))
+    for (height, width), hashes in shapes.items():
+        first, step, count = (width, 1, width) if side == 0 else (1, width, height)
+        own = F.pmod(content, F.lit(height if side == 0 else width)).cast("int") * first
+        cells = F.when(h.isin(hashes), F.sequence(own, own + (count - 1) * step, F.lit(step))).otherwise(cells)
+    return df.withColumn(salt, F.explode(cells))
 
 
 def _hashable(kind: T.DataType) -> bool:

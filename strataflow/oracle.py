@@ -123,6 +123,8 @@ ORACLE: dict[str, str] = {
     "q_label_join_frequent": """SELECT e.event_id, e.key, e.value, c.c_mktsegment FROM
         (SELECT event_id, value, CASE WHEN event_type = 'view' THEN 0 ELSE user_id END AS key FROM events) AS e
         JOIN customer c ON e.key = c.c_custkey""",
+    "q_join_frequent_both": """SELECT c.c_nationkey AS nation, c.c_custkey, s.s_suppkey, s.s_acctbal
+        FROM customer c JOIN supplier s ON c.c_nationkey = s.s_nationkey""",
     "q_labelled_features": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",
     "q_labelled_vectors": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",
     "q_training_table": f"SELECT s.*, l.quality FROM ({SILVER}) AS s JOIN labels l ON s.doc_id = l.doc_id",

@@ -26,6 +26,7 @@ from strataflow.operators import (
     hash_bucket,
     hash_split,
     join_column,
+    join_on_keys,
     load_preparation,
     save_preparation,
     sparse_features,
@@ -391,6 +392,13 @@ def label_join_frequent(spark, sf_dir):
     )
 
 
+def join_frequent_both(spark, sf_dir):
+    """Customers and the suppliers of their nation: each of 25 keys holds some 4 % of both sides."""
+    customers = load(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey")
+    suppliers = load(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), "s_suppkey", "s_acctbal")
+    return join_on_keys(customers, suppliers, ["nation"], broadcast_rows=SMALL_ROWS)
+
+
 def gold_join_frequent(spark, sf_dir):
     """Events with the class predicted for their customer; a fifth of them has the same one."""
     customer = load(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "key")
@@ -737,6 +745,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_vectors_many": vectors_many,
     "q_label_join": label_join,
     "q_label_join_frequent": label_join_frequent,
+    "q_join_frequent_both": join_frequent_both,
     "q_labelled_features": labelled,
     "q_labelled_vectors": labelled_as_vectors,
     "q_training_table": _training_table,

@@ -111,7 +111,7 @@ def test_what_was_not_counted_small_is_not_broadcast(spark, monkeypatch):
     assert "Union" not in text and "Broadcast" not in text and "SortMergeJoin" in text
 
 
-def test_frequent_keys_with_many_partners_stay_in_the_plain_join(spark, monkeypatch):
+def test_frequent_keys_with_many_partners_are_not_repeated_for_all_salts(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 30)
     left = [(i % 3, i) for i in range(300)] + [(100 + i, i) for i in range(300)]
     right = [(0, "a"), (1, "b"), (1, "c")] + [(2, f"y{i}") for i in range(40)] + [(100 + i, "z") for i in range(300)]
@@ -169,3 +169,44 @@ def test_columns_of_equal_name_on_both_sides(spark):
     left = spark.createDataFrame([(1, "l")], "k int, `v.w` string")
     right = spark.createDataFrame([(1, "r", "o")], "k int, `v.w` string, `other col` string")
     assert join_column(left, right, ["k"], "other col").first() == (1, "l", "o")
+
+
+@pytest.mark.parametrize("m, n", [(1000, 1000), (100_000, 10), (10, 100_000), (5_000, 300), (1, 1)])
+@pytest.mark.parametrize("partitions", [1, 8, 200])
+def test_grid_repeats_as_little_as_a_grid_can(m, n, partitions):
+    height, width = joins.grid_shape(m, n, partitions)
+    cells = height * width
+    assert 2 * max(joins.SALTS, joins.CELLS_PER_PARTITION * partitions) > cells >= max(joins.SALTS, joins.CELLS_PER_PARTITION * partitions)
+    repeated = m * width + n * height
+    assert all(repeated <= m * (cells // r) + n * r for r in (1 << i for i in range(cells.bit_length())))
+
+
+def test_each_pair_of_a_grid_meets_once(spark):
+    left, right = spark.range(50).selectExpr("7L AS k", "id AS x"), spark.range(30).selectExpr("7L AS k", "id AS y")
+    h = spark.range(1).selectExpr("xxhash64(7L)").first()[0]
+    types = [left.schema["k"].dataType]
+    for shape in [(8, 4), (1, 16), (16, 1), (2, 32)]:
+        cells = [joins._in_cells(df, ["k"], types, {shape: [h], (3, 5): [h + 1]}, "s", i) for i, df in enumerate((left, right))]
+        assert (cells[0].count(), cells[1].count()) == (50 * shape[1], 30 * shape[0])
+        met = cells[0].join(cells[1], ["k", "s"])
+        assert met.count() == 1500 and met.select("x", "y").distinct().count() == 1500
+        assert met.agg(F.min("s") >= 0, F.max("s") < shape[0] * shape[1]).first() == (True, True)
+
+
+def test_work_of_a_key_with_a_third_of_both_sides_is_spread(spark, monkeypatch):
+    """Rows that a task makes: with one cell per key a single task made nearly all of them."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1 << 20)
+    left = spark.range(3000).selectExpr("IF(id % 3 = 0, -1L, id) AS k", "id AS x")
+    right = spark.range(2400).selectExpr("IF(id % 3 = 1, -1L, id) AS k", "concat('y', id) AS y")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_on_keys(left, right, ["k"])
+        made = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        plain = joins._inner(left, right.hint("merge"), ["k"], ["y"])
+        lumped = sorted(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("task")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(made) == sum(lumped) >= 1000 * 800 and lumped[-1] >= 1000 * 800
+    assert len(made) == 8 and made[-1] <= 3 * made[len(made) // 2]
