@@ -1,6 +1,6 @@
 """Fitted features, key joins, the hash split, the classifier and its registry."""
 
-from strataflow.operators.categories import CategoryTable, fit_category_table, sparse_features
+from strataflow.operators.categories import CategoryTable, fit_category_table, merge_category_tables, sparse_features
 from strataflow.operators.classifier import LinearClassifier, accuracy, fit_logistic, split_target
 from strataflow.operators.features import (
     Preparation,
@@ -9,6 +9,7 @@ from strataflow.operators.features import (
     fit_categories,
     fit_ranges,
     load_preparation,
+    merge_preparations,
     save_preparation,
     to_vectors,
     transform,
@@ -39,6 +40,8 @@ __all__ = [
     "join_on_keys",
     "load_preparation",
     "may_broadcast",
+    "merge_category_tables",
+    "merge_preparations",
     "save_preparation",
     "sketch_keys",
     "split_target",

@@ -5,12 +5,13 @@ from __future__ import annotations
 import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import all_present, column, combine, number, numbers_present
-from strataflow.operators.features import category_pairs, fit_ranges
+from strataflow.operators.features import category_pairs, fit_ranges, merge_ranges
 from strataflow.operators.joins import join_column, may_broadcast
 from strataflow.spec import FeatureSpec
 
@@ -21,13 +22,24 @@ PLACES = "column int, category string, place bigint"
 class CategoryTable:
     """Fitted state under a path: for each column its sorted categories and their places among all features.
 
-    ``sizes`` are the numbers of categories of the columns, ``ranges`` the numeric columns, which come after them.
+    ``sizes`` are the numbers of categories of the columns, ``ranges`` the numeric columns. ``blocks`` are the places of each
+    column as ranges without their ends, ``numbers`` those of the numeric columns: columns in order and numbers last, unless
+    states were merged, which adds a block for the categories that were new.
     """
 
     path: str
     columns: tuple[str, ...]
     sizes: tuple[int, ...]
     ranges: Mapping[str, tuple[float, float]]
+    blocks: tuple[tuple[tuple[int, int], ...], ...] | None = None
+    numbers: tuple[int, ...] | None = None
+
+    def __post_init__(self):
+        if self.blocks is None:
+            object.__setattr__(self, "blocks", tuple((block,) for block in _blocks(self.sizes, 0)))
+        if self.numbers is None:
+            first = sum(self.sizes)
+            object.__setattr__(self, "numbers", tuple(range(first, first + len(self.ranges))))
 
     @property
     def size(self) -> int:
@@ -37,32 +49,71 @@ class CategoryTable:
         return spark.read.schema(PLACES).parquet(f"{self.path}/places")
 
 
-def fit_category_table(df: DataFrame, spec: FeatureSpec, path: str, on_bad: str = "error") -> CategoryTable:
-    """Learn categories and ranges as :func:`strataflow.operators.features.fit` does, and keep the categories under ``path``.
+def _blocks(sizes: Sequence[int], start: int) -> list[tuple[int, int]]:
+    """The places of columns with so many categories, one column after the other."""
+    ends = list(accumulate(sizes, initial=start))
+    return list(zip(ends, ends[1:]))
 
-    The distinct categories are sorted and stored; a place is the number of a row in its file part and what the
-    parts before it hold. Only the sizes of the parts come to the driver.
-    """
+
+def fit_category_table(df: DataFrame, spec: FeatureSpec, path: str, on_bad: str = "error") -> CategoryTable:
+    """Learn categories and ranges as :func:`strataflow.operators.features.fit` does, and keep the categories under ``path``."""
     spark = df.sparkSession
     ranges = fit_ranges(df, spec.numeric, on_bad)
     if not spec.categorical:
         return CategoryTable(path, (), (), ranges)
+    pairs = category_pairs(df, spec.categorical).select(F.col("position").alias("column"), "category")
+    placed, sizes = _in_places(pairs, len(spec.categorical), f"{path}/sorted", 0)
+    if not sum(sizes):
+        raise ValueError(f"no row is complete in {spec.categorical}")
+    placed.write.parquet(f"{path}/places")
+    return CategoryTable(path, spec.categorical, sizes, ranges)
+
+
+def merge_category_tables(spark: SparkSession, old: CategoryTable, new: CategoryTable, path: str) -> CategoryTable:
+    """One fitted state of two, kept under ``path``, as if fitted on the rows of both, which are not read again.
+
+    What ``old`` placed keeps its place, numeric columns too; categories that only ``new`` has come after all of them,
+    by column and category. So features made with ``old`` stay right, and merging the same state twice changes nothing.
+    """
+    if old.columns != new.columns or list(old.ranges) != list(new.ranges):
+        raise ValueError("only states of the same columns can be merged")
+    ranges = merge_ranges(old.ranges, new.ranges)
+    if not old.columns:
+        return CategoryTable(path, (), (), ranges)
+    known = old.places(spark)
+    fresh = new.places(spark).join(known, ["column", "category"], "left_anti").select("column", "category")
+    placed, sizes = _in_places(fresh, len(old.columns), f"{path}/sorted", old.size)
+    known.unionByName(placed).write.parquet(f"{path}/places")
+    added = _blocks(sizes, old.size)
+    return CategoryTable(
+        path,
+        old.columns,
+        tuple(a + b for a, b in zip(old.sizes, sizes)),
+        ranges,
+        tuple((*blocks, block) if block[0] < block[1] else blocks for blocks, block in zip(old.blocks, added)),
+        old.numbers,
+    )
+
+
+def _in_places(pairs: DataFrame, columns: int, path: str, first: int) -> tuple[DataFrame, tuple[int, ...]]:
+    """(column, category, place) of distinct pairs in their order, places from ``first`` on, and the pairs of each column.
+
+    They are sorted and stored under ``path``; a place is the number of a row in its file part and what the
+    parts before it hold. Only the sizes of the parts come to the driver.
+    """
+    spark = pairs.sparkSession
     part, inner = F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")
-    ordered = category_pairs(df, spec.categorical).orderBy("position", "category")
-    ordered.select(F.col("position").alias("column"), "category", part, inner).write.parquet(f"{path}/sorted")
-    rows = spark.read.schema("column int, category string, part int, row bigint").parquet(f"{path}/sorted")
+    pairs.orderBy("column", "category").select("column", "category", part, inner).write.parquet(path)
+    rows = spark.read.schema("column int, category string, part int, row bigint").parquet(path)
     found = rows.groupBy("part", "column").agg(F.count("*").alias("n")).collect()
-    if not found:
-        raise ValueError(f"no row is complete in {spec.categorical}")
-    before, starts = 0, []
+    before, starts = first, []
     for number_of_part in sorted({r["part"] for r in found}):
         starts.append((number_of_part, before))
         before += sum(r["n"] for r in found if r["part"] == number_of_part)
     start = F.broadcast(spark.createDataFrame(starts, "part int, start bigint"))  # one row per file part
     place = F.col("start") + F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
-    rows.join(start, "part").select("column", "category", place.alias("place")).write.parquet(f"{path}/places")
-    sizes = tuple(sum(r["n"] for r in found if r["column"] == i) for i in range(len(spec.categorical)))
-    return CategoryTable(path, spec.categorical, sizes, ranges)
+    sizes = tuple(sum(r["n"] for r in found if r["column"] == i) for i in range(columns))
+    return rows.join(start, "part").select("column", "category", place.alias("place")), sizes
 
 
 def sparse_features(
@@ -109,8 +160,8 @@ def sparse_features(
     for i, (low, high) in enumerate(fitted.ranges.values()):
         width = high - low if high - low > 1e-15 else 1.0
         value = (F.col(f"__number_{i}") - F.lit(low)) / F.lit(width)
-        entries.append(F.struct(F.lit(sum(fitted.sizes) + i).cast("bigint").alias("i"), value.alias("v")))
-    present = F.filter(F.array(*entries), lambda e: e["i"].isNotNull() & (e["v"] != 0))
+        entries.append(F.struct(F.lit(fitted.numbers[i]).cast("bigint").alias("i"), value.alias("v")))
+    present = F.array_sort(F.filter(F.array(*entries), lambda e: e["i"].isNotNull() & (e["v"] != 0)))
     vector = F.struct(
         F.lit(fitted.size).cast("bigint").alias("size"),
         F.transform(present, lambda e: e["i"]).alias("indices"),

@@ -117,6 +117,28 @@ def fit(df: DataFrame, spec: FeatureSpec, limit: int = WIDE_LIMIT, on_bad: str =
     return preparation
 
 
+def merge_ranges(
+    old: Mapping[str, tuple[float, float]], new: Mapping[str, tuple[float, float]]
+) -> dict[str, tuple[float, float]]:
+    """The ranges of all rows from those of two parts."""
+    return {name: (min(low, new[name][0]), max(high, new[name][1])) for name, (low, high) in old.items()}
+
+
+def merge_preparations(old: Preparation, new: Preparation) -> Preparation:
+    """One fitted state of two, as if fitted on the rows of both; categories that only ``new`` has come last in their column.
+
+    Merging the same state again changes nothing.
+    """
+    if list(old.categories) != list(new.categories) or list(old.ranges) != list(new.ranges):
+        raise ValueError("only states of the same columns can be merged")
+    categories = {
+        name: (*values, *sorted(set(new.categories[name]) - set(values))) for name, values in old.categories.items()
+    }
+    preparation = Preparation(categories, merge_ranges(old.ranges, new.ranges))
+    check_names(preparation.feature_names)
+    return preparation
+
+
 def transform(
     df: DataFrame,
     preparation: Preparation,

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import operator
 import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -128,47 +130,43 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 def _parts(fitted: CategoryTable, features: str) -> list[Column]:
     """The place of each categorical column (null without one) and the value of each numeric one, from sparse features."""
     indices, values = F.col(f"`{features}`.indices"), F.col(f"`{features}`.values")
-    out, start = [], 0
-    for i, size in enumerate(fitted.sizes):
-        out.append(F.get(F.filter(indices, _within(start, start + size)), F.lit(0)).alias(f"p{i}"))
-        start += size
-    for i in range(len(fitted.ranges)):
-        at = F.array_position(indices, F.lit(start + i).cast("bigint"))
+    out = []
+    for i, blocks in enumerate(fitted.blocks):
+        out.append(F.get(F.filter(indices, _within(blocks)), F.lit(0)).alias(f"p{i}"))
+    for i, place in enumerate(fitted.numbers):
+        at = F.array_position(indices, F.lit(place).cast("bigint"))
         out.append(F.coalesce(F.get(values, (at - 1).cast("int")), F.lit(0.0)).alias(f"x{i}"))
     return out
 
 
-def _within(start: int, end: int) -> Callable[[Column], Column]:
-    return lambda place: (place >= start) & (place < end)
+def _within(blocks: Sequence[tuple[int, int]]) -> Callable[[Column], Column]:
+    return lambda place: reduce(operator.or_, [(place >= start) & (place < end) for start, end in blocks])
 
 
 def _with_product(rows: DataFrame, table: DataFrame, value: str, fitted: CategoryTable, output: str) -> DataFrame:
     """``rows`` with the sum of ``value`` over the places of a row, each times the row's value there."""
-    first = sum(fitted.sizes)
-    dense = {r["place"]: r[value] for r in table.where(F.col("place") >= first).collect()}  # numeric columns and the intercept
+    few = [*fitted.numbers, fitted.size]  # numeric columns and the intercept
+    dense = {r["place"]: r[value] for r in table.where(F.col("place").isin(few)).collect()}
     total = F.lit(float(dense[fitted.size]))
-    for i in range(len(fitted.ranges)):
-        total = total + F.lit(float(dense[first + i])) * F.col(f"x{i}")
-    kept, start = rows.columns, 0
-    for i, size in enumerate(fitted.sizes):
-        mine = (F.col("place") >= start) & (F.col("place") < start + size)
-        lookup = table.where(mine).select(F.col("place").alias(f"p{i}"), F.col(value).alias(f"__w{i}"))
+    for i, place in enumerate(fitted.numbers):
+        total = total + F.lit(float(dense[place])) * F.col(f"x{i}")
+    kept = rows.columns
+    for i, blocks in enumerate(fitted.blocks):
+        lookup = table.where(_within(blocks)(F.col("place"))).select(F.col("place").alias(f"p{i}"), F.col(value).alias(f"__w{i}"))
         if may_broadcast(lookup):
             rows = rows.join(F.broadcast(lookup), f"p{i}", "left")
         else:
             found = join_column(rows.where(F.col(f"p{i}").isNotNull()), lookup, [f"p{i}"], f"__w{i}")
             rows = found.unionByName(rows.where(F.col(f"p{i}").isNull()).withColumn(f"__w{i}", F.lit(0.0)))
         total = total + F.coalesce(F.col(f"__w{i}"), F.lit(0.0))
-        start += size
     return rows.select(*kept, total.alias(output))
 
 
 def _gradient(rows: DataFrame, fitted: CategoryTable, c: float) -> DataFrame:
     """(place, gradient) of the loss, for places that some row has."""
     error = c * (1 / (1 + F.exp(-F.col("margin"))) - F.col("y"))
-    first = sum(fitted.sizes)
     entries = [(F.col(f"p{i}"), F.lit(1.0)) for i in range(len(fitted.sizes))]
-    entries += [(F.lit(first + i).cast("bigint"), F.col(f"x{i}")) for i in range(len(fitted.ranges))]
+    entries += [(F.lit(place).cast("bigint"), F.col(f"x{i}")) for i, place in enumerate(fitted.numbers)]
     entries.append((F.lit(fitted.size).cast("bigint"), F.lit(1.0)))
     each = rows.select(error.alias("error"), *(f"p{i}" for i in range(len(fitted.sizes))), *(f"x{i}" for i in range(len(fitted.ranges))))
     each = each.select(F.explode(F.array(*(F.struct(p.alias("place"), (v * F.col("error")).alias("v")) for p, v in entries))).alias("e"))

@@ -117,6 +117,17 @@ ORACLE: dict[str, str] = {
         (SELECT count(DISTINCT p_brand) FROM part) + dense_rank() OVER (ORDER BY p_type) - 1 AS type_place,
         {_scaled('p_retailprice', 'part')} AS price FROM part""",
     "q_vectors_many": PLACES,
+    "q_merged_state": f"""WITH categories AS (
+            SELECT 0 AS c, p_name AS v, min(CASE WHEN p_size <= 25 THEN 0 ELSE 1 END) AS late FROM part GROUP BY p_name
+            UNION ALL
+            SELECT 1 AS c, p_brand AS v, min(CASE WHEN p_size <= 25 THEN 0 ELSE 1 END) AS late FROM part GROUP BY p_brand),
+        places AS (SELECT c, v, row_number() OVER (ORDER BY late, c, v) - 1 + late AS place FROM categories),
+        scaled AS (SELECT p_partkey, p_name, p_brand, {_scaled('p_retailprice', 'part')} AS price FROM part),
+        early AS (SELECT count(*) AS number FROM categories WHERE late = 0)
+        SELECT p_partkey, array_to_string(list_sort(
+            CASE WHEN price <> 0 THEN [n.place, b.place, number] ELSE [n.place, b.place] END), ',') AS places, price,
+            (SELECT count(*) + 1 FROM categories) AS size
+        FROM scaled JOIN places n ON n.c = 0 AND n.v = p_name JOIN places b ON b.c = 1 AND b.v = p_brand, early""",
     "q_stream_silver_many": PLACES,
     "q_label_join": """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",

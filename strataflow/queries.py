@@ -28,6 +28,7 @@ from strataflow.operators import (
     join_column,
     join_on_keys,
     load_preparation,
+    merge_category_tables,
     save_preparation,
     sparse_features,
     split_target,
@@ -364,6 +365,24 @@ def vectors_many(spark, sf_dir):
     return _places(rows)
 
 
+def merged_state(spark, sf_dir):
+    """Fitted on small parts, then merged with what large ones have; the first places stay."""
+    part = load(spark, sf_dir, "part")
+    spec = FeatureSpec(("p_partkey",), ("p_name", "p_brand"), ("p_retailprice",))
+    small, large = (
+        fit_category_table(part.where(rows), spec, scratch_path(spark, "categories"))
+        for rows in ("p_size <= 25", "p_size > 25")
+    )
+    fitted = merge_category_tables(spark, small, large, scratch_path(spark, "merged"))
+    price = F.get("features.values", (F.array_position("features.indices", F.lit(fitted.numbers[0]).cast("bigint")) - 1).cast("int"))
+    return sparse_features(part, fitted, ["p_partkey"]).select(
+        "p_partkey",
+        F.array_join(F.transform("features.indices", lambda i: i.cast("string")), ",").alias("places"),
+        F.coalesce(price, F.lit(0.0)).alias("price"),
+        F.col("features.size").alias("size"),
+    )
+
+
 def _places(rows: DataFrame) -> DataFrame:
     price = F.when(F.size("features.indices") == 3, F.get("features.values", F.lit(2))).otherwise(0.0)
     return rows.select(
@@ -743,6 +762,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_features_lineitem": lineitem_features,
     "q_vectors": vectors,
     "q_vectors_many": vectors_many,
+    "q_merged_state": merged_state,
     "q_label_join": label_join,
     "q_label_join_frequent": label_join_frequent,
     "q_join_frequent_both": join_frequent_both,
