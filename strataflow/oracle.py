@@ -176,6 +176,8 @@ ORACLE: dict[str, str] = {
         FROM documents""",
     "q_stream_bronze": f"SELECT {EVENT_TEXT} FROM events",
     "q_stream_after_batch": f"SELECT {EVENT_TEXT} FROM events",
+    "q_stream_quarantine": """SELECT CASE WHEN event_id % 7 <> 0 THEN event_id::varchar END AS event_id,
+        CASE WHEN event_id % 7 = 0 THEN '{"event_id":"' || event_id::varchar END AS message FROM events""",
     "q_stream_gold_batches": f"SELECT {EVENT_TEXT}, {EVENT_CLASS} AS class FROM events",
     "q_stream_silver": f"""SELECT event_id::varchar AS event_id, {_hits('event_type', EVENT_TYPES, 'event_type')},
         {VALUE} AS value FROM events""",

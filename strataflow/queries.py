@@ -688,6 +688,22 @@ def stream_layer(spark, sf_dir, layer: str):
     return rows.withColumn("value", F.col("value").cast("double"))
 
 
+def stream_quarantine(spark, sf_dir):
+    """Events of which each message with an id divisible by seven is cut off, in bronze or in the quarantine."""
+    events = load(spark, sf_dir, "events")
+    layers = Layers(new_database(spark), fmt=TableFormat(streamed=True))
+    stream = LayerStream(EVENT_FIELDS, EVENTS, layers, fit(events, EVENTS), EVENT_SCORER, quarantine="quarantine")
+    path = scratch_path(spark, "messages")
+    cut = F.concat(F.lit('{"event_id":"'), F.col("event_id").cast("string"))
+    broken = events.where("event_id % 7 = 0").select(cut.alias("value"))
+    texts = encode_json(events.where("event_id % 7 <> 0"), EVENT_FIELDS).unionByName(broken)
+    texts.repartition(MESSAGE_FILES, "value").write.text(path)
+    messages = read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path)
+    _finish(stream.start(messages, scratch_path(spark, "checkpoint"), available_now=True))
+    bronze = read_table(spark, layers.table("bronze")).select("event_id", F.lit(None).cast("string").alias("message"))
+    return bronze.unionByName(read_table(spark, stream.quarantine_table).select(F.lit(None).cast("string").alias("event_id"), "message"))
+
+
 def stream_silver_many(spark, sf_dir):
     """Streamed parts with a column in which many rows have a category of their own, looked up in the fitted table."""
     part = load(spark, sf_dir, "part")
@@ -793,4 +809,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_gold": partial(stream_layer, layer="gold"),
     "q_stream_silver_many": stream_silver_many,
     "q_stream_gold_batches": stream_gold_batches,
+    "q_stream_quarantine": stream_quarantine,
 }
