@@ -210,3 +210,20 @@ def test_work_of_a_key_with_a_third_of_both_sides_is_spread(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert sum(made) == sum(lumped) >= 1000 * 800 and lumped[-1] >= 1000 * 800
     assert len(made) == 8 and made[-1] <= 3 * made[len(made) // 2]
+
+
+@pytest.mark.parametrize("left_type, right_type", [("bigint", "bigint"), ("int", "bigint"), ("string", "string")])
+def test_tasks_grow_with_the_pairs_of_frequent_keys(spark, monkeypatch, left_type, right_type):
+    """Twice the rows on both sides make four times the pairs: more tasks, none of which makes more of them."""
+    monkeypatch.setattr(joins, "PAIRS_PER_TASK", 4_000, raising=False)
+    most = []
+    for size in (1, 2):
+        left = spark.range(400 * size).selectExpr(f"cast(id % 5 as {left_type}) AS k", "id AS x")
+        right = spark.range(200 * size).selectExpr(f"cast(id % 5 as {right_type}) AS k", "id AS y")
+        joined = join_on_keys(left, right, ["k"], broadcast_rows=10)
+        made = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert sum(made) == 16_000 * size * size
+        assert joined.select("x", "y").distinct().count() == sum(made)
+        assert plan(joined).count("Exchange") == 2
+        most.append(max(made))
+    assert max(most) <= 5 * 4_000
