@@ -81,6 +81,9 @@ EVENTS = FeatureSpec(("event_id",), ("event_type",), ("value",))
 EVENT_FIELDS = ("event_id", "user_id", "event_type", "value", "props")
 
 CUSTOMERS = FeatureSpec(("key",), ("c_mktsegment",), ("c_acctbal",))
+FILE_BYTES = 256 << 20
+"""Of a table's files, what goes to one CSV file that is read in ranges."""
+
 SMALL_ROWS = 50
 """A size at which the joins of the given tables take the way of large ones."""
 
@@ -138,10 +141,14 @@ def csv_documents(spark, sf_dir):
 
 
 def csv_split(spark, sf_dir):
-    """Whole documents from a single file that is cut into ranges, whatever line breaks stand in their texts."""
+    """Whole documents from large files that are cut into ranges, whatever line breaks stand in their texts.
+
+    One task writes a file, so there is one for each ``FILE_BYTES`` of the table: a single one as long as it is smaller.
+    """
     path = scratch_path(spark, "csv")
     documents = load(spark, sf_dir, "documents")
-    export_csv(documents, path, single_file=True)
+    size = documents.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
+    export_csv(documents.coalesce(-(-size // FILE_BYTES) or 1), path)
     return read_csv(spark, path, documents.schema, multi_line="split")
 
 

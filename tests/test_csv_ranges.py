@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from strataflow import queries
 from strataflow.sources import export_csv, read_csv, scratch_path
 
 SCHEMA = "i bigint, t string, u string"
@@ -104,3 +105,17 @@ def test_other_ranges_than_those_counted_raise(spark, small_ranges):
     small_ranges(70)
     with pytest.raises(Exception, match="changed since"):
         found.collect()
+
+
+def test_no_task_writes_more_than_a_share_of_a_large_table(spark, small_ranges, monkeypatch, tmp_path):
+    rows = table(300, 7)
+    spark.createDataFrame(rows, SCHEMA).repartition(12).write.parquet(str(tmp_path / "documents.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("*.parquet"))
+    small_ranges(1 << 10)
+    for parts in (1, 4):
+        monkeypatch.setattr(queries, "FILE_BYTES", -(-size // parts), raising=False)
+        monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / f"{name}-{parts}"))
+        found = queries.csv_split(spark, str(tmp_path))
+        assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(rows, key=repr)
+        files = len(list((tmp_path / f"csv-{parts}").glob("*.csv")))
+        assert (files == 1) if parts == 1 else (1 < files <= parts)  # a share without rows makes no file
