@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.arrays import owners, shingles, slices, word_hashes
@@ -33,6 +33,10 @@ WORDS = 5
 PERCENT = 80
 #: One in so many shingles makes the prefixes of the first step longer.
 RESERVE = 16
+#: Bits of a shingle's hash in the first step: equal ones by chance only leave sets in that have no partner.
+SHORT = 40
+#: Bits of the map of wanted texts that is broadcast, at most 262,144 rows whatever their number.
+MAP_BITS = 1 << 24
 #: Parts into which the suffix filter cuts two sets.
 PARTS = 16
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -60,7 +64,7 @@ def fewest(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(name, doc_id, text) to (number, name, doc_id, n_shingles, least, prefix).
+    """(name, doc_id, text) to (number, name, doc_id, n_shingles, least, prefix), shingles by the upper ``SHORT`` bits.
 
     ``least`` is how many shingles of the prefix each partner's has. Numbers are given by partition and row.
     """
@@ -74,7 +78,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> It
             reserve, least = -(-n // RESERVE), -(-smallest // RESERVE)
             size = np.minimum(n - smallest + reserve, n)
             at = np.arange(len(grams)) - np.repeat(bounds[:-1], n)
-            prefix = _lists(grams[at < np.repeat(size, n)], np.concatenate(([0], np.cumsum(size))))
+            prefix = _lists(grams[at < np.repeat(size, n)] >> np.uint64(64 - SHORT), np.concatenate(([0], np.cumsum(size))))
             columns = [pa.array(np.arange(number, number + end - first)), *(batch.column(i).slice(first, end - first) for i in range(2))]
             columns += [pa.array(n), pa.array(least), prefix]
             number += end - first
@@ -120,6 +124,14 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(i).take(chosen) for i in range(2)], ["a", "b"])
 
 
+def _maybe_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Those of ``rows`` whose name and id have their bit in a map of the wanted ones, so that few others are shuffled."""
+    at = f"pmod(xxhash64(name, doc_id), {MAP_BITS})"
+    bits = wanted.selectExpr(f"{at} >> 6 AS word", f"shiftleft(1L, cast({at} & 63 AS int)) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    near = rows.withColumn("word", F.expr(f"{at} >> 6")).join(F.broadcast(bits), "word")
+    return near.where(f"shiftrightunsigned(bits, cast({at} & 63 AS int)) & 1 = 1").select(rows.columns)
+
+
 def _needed(a: Column, b: Column, percent: int) -> Column:
     """Shingles that sets of these sizes must share."""
     return F.ceil((a + b) * percent / (100 + percent) - 1e-9)
@@ -142,25 +154,25 @@ def components_of(
     schema = f"number bigint, name binary, doc_id {dict(rows.dtypes)['doc_id']}, n_shingles bigint, least bigint, prefix array<bigint>"
     sets = stored(rows.mapInArrow(lambda b: _prefixes(b, words, percent), schema), f"{folder}/sets")
 
-    # 1. sets that may have a partner
-    grams = sets.select("number", F.explode("prefix").alias("gram"))
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    shared = stored(shared, f"{folder}/shared")
-    met = grams.join(shared, "gram", "left_semi").groupBy("number").agg(F.count(F.lit(1)).alias("met"))
+    # 1. sets that may have a partner; a shingle's rows are shuffled once, and counted where they meet
+    of_gram = Window.partitionBy("gram")
+    grams = sets.select("number", F.explode("prefix").alias("gram")).withColumn("n", F.count(F.lit(1)).over(of_gram))
+    met = grams.where("n > 1").groupBy("number").agg(F.count(F.lit(1)).alias("met"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "number")).alias("first")
     some = sets.join(stored(met, f"{folder}/met"), "number").where("met >= least")
     texts = some.groupBy("name").agg(first, F.first("n_shingles").alias("n"))
     texts = stored(texts.select("name", F.col("first.number").alias("member"), F.col("first.doc_id").alias("doc_id"), "n"), f"{folder}/texts")
 
     # 2. shingles in order, rare ones first
-    chosen = rows.withColumnRenamed("doc_id", "id").join(texts.select("name", "member", "doc_id"), "name")
-    chosen = chosen.where(F.col("id").eqNullSafe(F.col("doc_id"))).select("member", "text")
-    members = stored(chosen.mapInArrow(lambda b: _members(b, words), "member bigint, grams array<bigint>"), f"{folder}/members")
-    grams = members.dropDuplicates(["member"]).select("member", F.explode("grams").alias("gram"))
-    counts = stored(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), f"{folder}/counts")
+    # equal names are equal texts, so that any row of them will do
+    chosen = _maybe_wanted(rows, texts).groupBy("name").agg(F.first("text").alias("text"))
+    chosen = chosen.join(texts.select("name", "member").hint("merge"), "name")
+    members = chosen.select("member", "text").mapInArrow(lambda b: _members(b, words), "member bigint, grams array<bigint>")
+    members = stored(members, f"{folder}/members")
+    grams = members.select("member", F.explode("grams").alias("gram")).withColumn("df", F.count(F.lit(1)).over(of_gram)).where("df > 1")
     rarity = F.least(F.floor(F.log2(F.col("df").cast("double"))), F.lit(63)).cast("int")
     key = F.shiftleft(rarity.cast("bigint"), 57).bitwiseOR(F.shiftrightunsigned("gram", 7))
-    ordered = grams.join(counts, "gram").groupBy("member").agg(F.sort_array(F.collect_list(key)).alias("shared"))
+    ordered = grams.groupBy("member").agg(F.sort_array(F.collect_list(key)).alias("shared"))
     ordered = ordered.join(texts.select("member", "n"), "member").where(F.size("shared") * 100 >= F.col("n") * percent)
     ordered = stored(ordered, f"{folder}/ordered")
 

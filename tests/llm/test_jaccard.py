@@ -7,6 +7,8 @@ import random
 import numpy as np
 
 from helpers import documents, odd_rows, plain, prose
+from plan import plan
+from strataflow.llm import jaccard
 from strataflow.llm.jaccard import common, components_of, fewest
 
 LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
@@ -98,3 +100,30 @@ def test_suffix_filter_loses_nothing():
             both = len(np.intersect1d(a, b))
             assert common(a, b, needed) == (both if both >= needed else 0)
     assert fewest(np.array([0, 1, 5, 10, 11]), 80).tolist() == [0, 1, 4, 8, 9]
+
+
+def test_shingles_and_texts_are_shuffled_once(spark, monkeypatch):
+    """Shingles go over the network once in each of the two steps that count them, texts once and only those that may have a partner."""
+    plans = []
+
+    def stored(df, path):
+        plans.append(plan(df))
+        return jaccard_stored(df, path)
+
+    jaccard_stored = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", stored)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 60)) for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(6)] + [(200 + i, rows[i][1]) for i in range(4)]
+    found = {r.doc_id: r.component_id for r in components_of(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(found[100 + i] == i for i in range(6)) and all(found[200 + i] == i for i in range(4))
+    assert sum(p.count("hashpartitioning(gram") for p in plans) == 2
+    assert sum(p.count("BroadcastHashJoin") for p in plans if "mapInArrow" in p or "MapInArrow" in p) >= 1
+
+
+def test_few_but_the_wanted_rows_pass_the_map(spark):
+    rows = spark.range(2000).selectExpr("unhex(md5(cast(id % 1000 AS string))) AS name", "IF(id % 3 = 0, NULL, id) AS doc_id", "'t' AS text")
+    wanted = rows.limit(50)
+    found = jaccard._maybe_wanted(rows, wanted)
+    assert found.columns == rows.columns
+    assert wanted.exceptAll(found).count() == 0 and found.count() <= 60
