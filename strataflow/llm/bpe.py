@@ -7,7 +7,8 @@ than ``SHORT`` bytes keep their ranks in a heap, since looking for the least one
 grows with the square of the length; the merges are the same.
 
 A piece of text between two single spaces is encoded the same wherever it stands, so the ids of such pieces
-are kept; what is kept has a bound.
+are kept while a task lasts; what is kept has a bound. Python workers outlive their tasks and go on with other operators,
+so what a task has learned goes when it ends.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import heapq
 import json
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,7 +33,7 @@ from strataflow.llm.arrays import slices
 
 VOCABULARY = "byte_bpe_50k.json"
 SHORT = 32
-KEPT_PIECES = 3 << 18
+KEPT_PIECES = 1 << 18
 NONE = np.int64(1 << 40)
 
 OUT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -111,6 +112,10 @@ class Encoder:
         data = parts.astype("<u4")
         return [row[:k].tobytes() for row, k in zip(data, length.tolist())]
 
+    def forget(self) -> None:
+        """Drop the ids of words and pieces; the vocabulary stays."""
+        self.words, self.pieces_between = {}, {}
+
     def learn(self, words: Iterable[str]) -> None:
         """Encode the words among these that are not known yet."""
         short: defaultdict[int, list[tuple[str, bytes]]] = defaultdict(list)
@@ -210,13 +215,20 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@cache
+@lru_cache(maxsize=1)
 def _encoder(content: str) -> Encoder:
     return Encoder(content)
 
 
 def _digests(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(vocabulary.value)
+    try:
+        yield from _digests_of(encoder, batches, with_ids)
+    finally:
+        encoder.forget()
+
+
+def _digests_of(encoder: Encoder, batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, end, data, offsets in slices(batch.column(1)):
             everything = data.tobytes()

@@ -5,6 +5,7 @@ import random
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -54,3 +55,22 @@ def test_documents(spark, library):
         assert row["n_tokens"] == len(ids) and row["ids"] == ids
         assert row["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_what_a_task_has_learned_goes_with_it():
+    """Workers are used again by other operators, which had to live beside the words of all tasks before."""
+
+    class Content:
+        with open(public_tokenizers.path(bpe.VOCABULARY), encoding="utf-8") as file:
+            value = file.read()
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": pa.array([b"some words to learn", b"and more of them"], pa.binary())})
+    held = []
+    for _ in bpe._digests(iter([batch]), Content, False):
+        held.append(len(bpe._encoder(Content.value).words))
+    assert held[0] > 5
+    assert not bpe._encoder(Content.value).words and not bpe._encoder(Content.value).pieces_between
+    stopped = bpe._digests(iter([batch, batch]), Content, False)
+    next(stopped)
+    stopped.close()
+    assert not bpe._encoder(Content.value).words
