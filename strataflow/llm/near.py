@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.arrays import mix, occurrence_labels, order_minhash, shingles, slices, word_hashes
+from strataflow.llm.arrays import SMALL_SLICE, mix, occurrence_labels, order_minhash, shingles, slices, word_hashes
 from strataflow.llm.graph import every_link, linked, stored
 from strataflow.sources import scratch_path
 
@@ -104,7 +104,7 @@ def short_keys(grams: np.ndarray, bounds: np.ndarray, length: int, similarity: f
 def _sketch(batches: Iterator[pa.RecordBatch], words: int, length: int, sketches: int, similarity: float) -> Iterator[pa.RecordBatch]:
     """(text, key, doc_id, body) to (text, key, doc_id, n_grams, sketches, short)."""
     for batch in batches:
-        for first, end, data, offsets in slices(batch.column(3)):
+        for first, end, data, offsets in slices(batch.column(3), SMALL_SLICE):
             grams, bounds = shingles(*word_hashes(data, offsets), words)
             numbers = order_minhash(occurrence_labels(grams, bounds), bounds, sketches, length).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, numbers.size + 1, sketches, dtype=np.int32)), pa.array(numbers.ravel()))
@@ -130,7 +130,7 @@ def parities(labels: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _sequences(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(text, body) to (text, grams, bits): the shingles as 32-bit numbers, and parities."""
     for batch in batches:
-        for first, end, data, offsets in slices(batch.column(1)):
+        for first, end, data, offsets in slices(batch.column(1), SMALL_SLICE):
             grams, bounds = shingles(*word_hashes(data, offsets), words)
             raw = pa.py_buffer(np.ascontiguousarray(grams.astype("<u4")))
             ends = pa.py_buffer((bounds * 4).astype(np.int32))
