@@ -227,3 +227,25 @@ def test_tasks_grow_with_the_pairs_of_frequent_keys(spark, monkeypatch, left_typ
         assert plan(joined).count("Exchange") == 2
         most.append(max(made))
     assert max(most) <= 5 * 4_000
+
+
+@pytest.mark.parametrize("wide_right", [True, False])
+def test_rounds_of_held_rows_stay_short(spark, monkeypatch, wide_right):
+    """The rows of a cell that come again for each row of the other side grew with the tables, and with them the bytes of each row of the result."""
+    monkeypatch.setattr(joins, "HELD_ROWS", 8, raising=False)
+    left, right = spark.range(3000).selectExpr("id % 5 AS k", "id AS x"), spark.range(1000).selectExpr("id % 5 AS k", "id AS y", "-id AS z")
+    a, b = (left, right) if wide_right else (right, left)
+    joined = join_on_keys(a, b, ["k"], broadcast_rows=10)
+    runs = []
+    for task in joined.select("y", "x").rdd.glom().collect():
+        changes = [i for i, (row, before) in enumerate(zip(task[1:], task), 1) if row[0] != before[0]]
+        runs += [end - begin for begin, end in zip([0, *changes], [*changes, len(task)])]
+    assert sum(runs) == 600_000
+    assert joined.select("x", "y").distinct().count() == 600_000
+    assert max(runs) <= 4 * 8 and sum(runs) / len(runs) <= 8
+
+
+def test_cells_of_short_rounds_are_about_as_many():
+    assert joins.short_rounds((8, 16), 200, 100, True) == (8, 16)
+    assert joins.short_rounds((8, 16), 200_000, 14_400, True) == (1024, 1)
+    assert joins.short_rounds((8, 16), 200_000, 14_400, False) == (2, 64)
